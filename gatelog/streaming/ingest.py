@@ -206,11 +206,13 @@ def run_batch(
     load_ts: datetime | None = None,
     options: LoadOptions = LoadOptions(),
 ) -> None:
-    """Stage one batch, create its unknown users, append its facts.
+    """Stage one batch, create its unknown users, append its facts; nothing if it is empty.
 
     Safe to repeat: staging overwrites its own partition; users and facts are checked
     against what is already stored, so a replay adds only what a lost attempt left out.
     """
+    if changes.isEmpty():
+        return
     load_ts = load_ts or utc_now()
     staged = _logged(
         warehouse, STAGE_TASK, batch_id,
@@ -233,8 +235,7 @@ def start_load(
     """Run ``run_batch`` for every non-empty micro-batch of the change feed."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            run_batch(warehouse, batch, batch_id, options=options)
+        run_batch(warehouse, batch, batch_id, options=options)
 
     return (
         changes.writeStream.foreachBatch(load)

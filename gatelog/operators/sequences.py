@@ -32,13 +32,13 @@ def hour_spine(spark, start: datetime, end: datetime) -> DataFrame:
 def runs(df: DataFrame, keys: list[str], order: list[Column], flag: Column) -> DataFrame:
     """Number the maximal runs of consecutive rows where ``flag`` holds.
 
-    Rows outside a run are dropped; ``run_id`` counts the breaks seen so far.
+    Rows outside a run are dropped; ``run`` counts the breaks seen so far.
     """
     ordered = Window.partitionBy(*keys).orderBy(*order)
     breaks = F.sum(F.when(flag, 0).otherwise(1)).over(
         ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return df.withColumn("run_id", breaks).filter(flag)
+    return df.withColumn("run", breaks).filter(flag)
 
 
 def dwell_times(

@@ -24,14 +24,14 @@ def ingestion_stopped(tables, as_of: datetime, hours: int = 2) -> DataFrame:
     counted = spine.join(seen, spine["hour"] == seen["ingestion_hour"], "left")
     idle = runs(counted, [], [F.col("hour")], F.col("event_count").isNull())
     return (
-        idle.groupBy("run_id")
+        idle.groupBy("run")
         .agg(
             F.min("hour").alias("first_hour"),
             F.max("hour").alias("last_hour"),
             F.count("*").alias("idle_hours"),
         )
         .filter(F.col("idle_hours") > hours)
-        .drop("run_id")
+        .drop("run")
     )
 
 
@@ -114,14 +114,14 @@ def idle_runs(tables, as_of: datetime, count: int = 5, run_id: str = "run_id") -
     order = [F.col("scheduled_time"), F.col(run_id), F.col("completed_time")]
     idle = runs(history, ["task_name"], order, F.col("rows_processed") == 0)
     return (
-        idle.groupBy("task_name", "run_id")
+        idle.groupBy("task_name", "run")
         .agg(
             F.min("scheduled_time").alias("first_run"),
             F.max("scheduled_time").alias("last_run"),
             F.count("*").alias("idle_runs"),
         )
         .filter(F.col("idle_runs") > count)
-        .drop("run_id")
+        .drop("run")
     )
 
 

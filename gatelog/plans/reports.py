@@ -317,12 +317,12 @@ def latency_distribution(facts: DataFrame, accuracy: int | None = None) -> DataF
         p95 = F.percentile_approx("s", 0.95, accuracy)
         source, total = facts.select(seconds.alias("s"), F.lit(1).alias("n")), F.count("*")
     else:
-        p95, source, total = F.percentile("s", 0.95, "n"), per_second, F.sum("n")
+        p95, source, total = F.percentile("s", 0.95, n), per_second, F.sum("n")
     return source.groupBy(bucket.alias("lag_bucket")).agg(
         total.alias("event_count"),
         (F.sum(s * n) / total).alias("avg_latency_seconds"),
         F.max("s").alias("max_latency_seconds"),
-        p95.alias("p95_latency_seconds"),
+        F.round(p95, 6).alias("p95_latency_seconds"),
     )
 
 

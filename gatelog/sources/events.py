@@ -121,6 +121,8 @@ def with_variant(df: DataFrame, column: str = "raw_json") -> DataFrame:
 
 def dedupe_retries(df: DataFrame, token: str, event_time: str, delay: str) -> DataFrame:
     """Drop resent rows by producer token; streaming state is bounded by ``delay``."""
-    if df.isStreaming:
-        return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([token])
-    return df.dropDuplicates([token])
+    if not df.isStreaming:
+        return df.dropDuplicates([token])
+    timed = df.withColumn("_event_time", F.col(event_time).cast("timestamp"))
+    kept = timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark([token])
+    return kept.drop("_event_time")

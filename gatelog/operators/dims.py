@@ -21,16 +21,18 @@ UNKNOWN_USER = {
 
 
 def assign_keys(
-    df: DataFrame, key: str, start: int | Column, by: Sequence[str], partitions: int
+    df: DataFrame, key: str, start: int, by: Sequence[str], partitions: int | None = None
 ) -> DataFrame:
     """Number rows from ``start`` without a global sort; unique, not dense.
 
-    ``by`` identifies a row. Hashing to a fixed count and sorting inside each partition
-    makes the numbering repeatable when a lost task is run again.
+    ``by`` identifies a row. Rows are placed by its hash into a fixed number of tasks (by
+    default the session's shuffle partitions) and sorted there, so the numbering is the
+    same when a lost task or the whole plan is run again. Placing by a hash value, not by
+    the columns, keeps Spark from reusing an earlier exchange that it may resize.
     """
-    placed = df.repartition(partitions, *by).sortWithinPartitions(*by)
-    first = start if isinstance(start, Column) else F.lit(start)
-    return placed.withColumn(key, first + F.monotonically_increasing_id())
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartition(n, F.xxhash64(*by)).sortWithinPartitions(*by)
+    return placed.withColumn(key, F.lit(start) + F.monotonically_increasing_id())
 
 
 def next_key(df: DataFrame, key: str) -> int:
@@ -49,7 +51,8 @@ def unknown_user_ids(events: DataFrame, users: DataFrame) -> DataFrame:
 
 
 def new_user_rows(
-    events: DataFrame, users: DataFrame, load_ts: datetime, start: int, partitions: int
+    events: DataFrame, users: DataFrame, load_ts: datetime, start: int,
+    partitions: int | None = None,
 ) -> DataFrame:
     """The rows an insert-only merge adds to the user dimension."""
     keyed = assign_keys(
@@ -75,7 +78,8 @@ def new_user_rows(
 
 
 def upsert_unknown_users(
-    events: DataFrame, users: DataFrame, load_ts: datetime, start: int, partitions: int = 8
+    events: DataFrame, users: DataFrame, load_ts: datetime, start: int,
+    partitions: int | None = None,
 ) -> DataFrame:
     """The user dimension after the merge."""
     return users.unionByName(new_user_rows(events, users, load_ts, start, partitions))
@@ -87,7 +91,7 @@ def scd2_apply(
     ts: datetime,
     start: int,
     tracked: Sequence[str] = ("user_name", "user_type", "department", "clearance_level"),
-    partitions: int = 8,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Close current rows whose tracked attributes changed and insert their successors.
 

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from gatelog import schemas
 from gatelog.functions.numbers import sum_if
 from gatelog.functions.times import ntz
-from gatelog.operators.dims import new_user_rows, next_key
+from gatelog.operators.dims import new_user_rows, next_key, unknown_user_ids
 from gatelog.operators.facts import (
     dates_present,
     drop_faint,
@@ -47,7 +47,7 @@ class LoadOptions:
     keep_missing_signal: bool = True
     dimension_join: str = "inner"  # or "left": keep unknown zones with null keys
     unique_facts: bool = False
-    key_partitions: int = 8
+    key_partitions: int | None = None  # tasks that number new users
 
 
 def start_landing(
@@ -152,13 +152,13 @@ def _first_event_key(warehouse: Warehouse, batch_id: int) -> int:
 
 
 def create_unknown_users(
-    warehouse: Warehouse, staged: DataFrame, load_ts: datetime, partitions: int
+    warehouse: Warehouse, staged: DataFrame, load_ts: datetime, partitions: int | None
 ) -> None:
     """Append a row for each user id without a current one; usually there is none."""
     users = warehouse.users
-    rows = new_user_rows(staged, users, load_ts, next_key(users, "user_key"), partitions)
-    if not rows.isEmpty():
-        warehouse.append(rows, "users")
+    if not unknown_user_ids(staged, users).isEmpty():
+        first = next_key(users, "user_key")
+        warehouse.append(new_user_rows(staged, users, load_ts, first, partitions), "users")
 
 
 def append_new_facts(
@@ -245,7 +245,9 @@ def start_load(
     )
 
 
-def process_badge_events(warehouse: Warehouse, load_ts: datetime, partitions: int = 8) -> dict:
+def process_badge_events(
+    warehouse: Warehouse, load_ts: datetime, partitions: int | None = None
+) -> dict:
     """Enrich everything staged and not yet loaded, in one call.
 
     Reads all of staging, so two staged copies of a key first seen in the same call are

@@ -63,10 +63,8 @@ SELECT seq, badge_id, user_id, zone_id, reader_id,
   signal_in AS signal_strength, direction_in AS direction FROM badge_feed""")
 def _(t):
     return events.extract_fields(t.json_lines()).select(
-        "seq", "event.badge_id", "event.user_id", "event.zone_id", "event.reader_id",
-        "event.event_timestamp",
-        F.col("event.signal_strength").cast("decimal(9,2)").alias("signal_strength"),
-        "event.direction")
+        "seq", "badge_id", "user_id", "zone_id", "reader_id", "event_timestamp",
+        F.col("signal_strength").cast("decimal(9,2)").alias("signal_strength"), "direction")
 
 
 STAMP_FORMS = ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss.SSS", "yyyy-MM-dd'T'HH:mm:ss'Z'",

@@ -15,10 +15,11 @@ from gatelog.functions.times import ntz
 ISO_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})?$"
 MISSING_SIGNAL = -999
 
-_ENVELOPE = (
-    "badge_id string, user_id string, zone_id string, reader_id string, "
-    "event_timestamp string, signal_strength string, direction string, _malformed string"
+_FIELDS = (
+    "badge_id", "user_id", "zone_id", "reader_id", "event_timestamp", "signal_strength",
+    "direction",
 )
+_ENVELOPE = ", ".join(f"{name} string" for name in (*_FIELDS, "_malformed"))
 
 
 def read_events(spark: SparkSession, path: str, stream: bool = True, **options) -> DataFrame:
@@ -28,13 +29,15 @@ def read_events(spark: SparkSession, path: str, stream: bool = True, **options)
 
 
 def extract_fields(df: DataFrame) -> DataFrame:
-    """Add the payload struct ``event``, every field still as text.
+    """Add the payload's fields as text columns, and ``_malformed`` with unreadable lines.
 
     Text keeps one bad field from nulling its neighbours: each one is cast, and
-    rejected, on its own.
+    rejected, on its own. Going through a generator makes the fields real columns;
+    otherwise Spark would copy the JSON parse into every expression that uses one.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}
-    return df.withColumn("event", F.from_json("value", _ENVELOPE, options))
+    event = F.from_json("value", _ENVELOPE, options)
+    return df.select("*", F.inline(F.array(event)))
 
 
 def iso_timestamp(text: Column) -> Column:
@@ -49,25 +52,20 @@ def whole_signal(text: Column) -> Column:
 
 def reject_reasons() -> Column:
     """Comma-separated reasons for the columns of ``extract_fields``; '' if acceptable."""
-    event = lambda name: F.col(f"event.{name}")
-    malformed = F.col("event").isNull() | event("_malformed").isNotNull()
-    signal = whole_signal(event("signal_strength"))
-    checks = [(malformed, "malformed_json")]
-    for name in schemas.REQUIRED:
-        checks.append((~malformed & event(name).isNull(), f"missing_{name}"))
+    signal = whole_signal(F.col("signal_strength"))
+    moment = iso_timestamp(F.col("event_timestamp"))
+    checks = [(F.col(name).isNull(), f"missing_{name}") for name in schemas.REQUIRED]
     for name in schemas.REQUIRED[:-1]:
-        checks.append((F.length(event(name)) > schemas.MAX_ID_LENGTH, f"too_long_{name}"))
+        checks.append((F.length(name) > schemas.MAX_ID_LENGTH, f"too_long_{name}"))
     checks += [
-        (
-            event("event_timestamp").isNotNull()
-            & iso_timestamp(event("event_timestamp")).isNull(),
-            "bad_event_timestamp",
-        ),
-        (event("signal_strength").isNotNull() & signal.isNull(), "bad_signal_strength"),
+        (F.col("event_timestamp").isNotNull() & moment.isNull(), "bad_event_timestamp"),
+        (F.col("signal_strength").isNotNull() & signal.isNull(), "bad_signal_strength"),
         (F.abs(signal) > 999, "signal_strength_out_of_range"),
-        (F.length(event("direction")) > schemas.MAX_DIRECTION_LENGTH, "too_long_direction"),
+        (F.length("direction") > schemas.MAX_DIRECTION_LENGTH, "too_long_direction"),
     ]
-    return F.concat_ws(",", *[F.when(condition, reason) for condition, reason in checks])
+    found = F.concat_ws(",", *[F.when(condition, reason) for condition, reason in checks])
+    malformed = F.col("_malformed").isNotNull() | (F.trim("value") == "")
+    return F.when(malformed, "malformed_json").otherwise(found)
 
 
 def _stamp(load_ts: datetime | None) -> Column:
@@ -80,18 +78,18 @@ def project_raw(df: DataFrame, load_ts: datetime | None = None) -> DataFrame:
     Without ``load_ts`` the stamp is the micro-batch's own time, the same for all its
     rows. Fields that are not columns survive in ``raw_json``.
     """
-    signal = whole_signal(F.col("event.signal_strength"))
+    signal = whole_signal(F.col("signal_strength"))
     return df.select(
-        "event.badge_id",
-        "event.user_id",
-        "event.zone_id",
-        "event.reader_id",
-        iso_timestamp(F.col("event.event_timestamp")).alias("event_timestamp"),
+        "badge_id",
+        "user_id",
+        "zone_id",
+        "reader_id",
+        iso_timestamp(F.col("event_timestamp")).alias("event_timestamp"),
         F.coalesce(signal, F.lit(MISSING_SIGNAL))
         .cast(schemas.SIGNAL)
         .alias("signal_strength"),
         signal_quality(signal).alias("signal_quality"),
-        F.upper("event.direction").alias("direction"),
+        F.upper("direction").alias("direction"),
         _stamp(load_ts).alias("ingestion_time"),
         F.col("value").alias("raw_json"),
     )

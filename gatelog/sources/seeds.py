@@ -6,7 +6,6 @@ from datetime import datetime
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gatelog import schemas
@@ -36,20 +35,26 @@ ZONE_ROWS = [
 ]
 
 
+def _arrow(dtype: T.DataType) -> pa.DataType:
+    if isinstance(dtype, T.DecimalType):
+        return pa.decimal128(dtype.precision, dtype.scale)
+    return {
+        T.StringType(): pa.string(),
+        T.LongType(): pa.int64(),
+        T.IntegerType(): pa.int32(),
+        T.BooleanType(): pa.bool_(),
+        T.TimestampNTZType(): pa.timestamp("us"),
+        T.DateType(): pa.date32(),
+    }[dtype]
+
+
 def local_table(spark: SparkSession, rows: list[dict], schema: T.StructType) -> DataFrame:
     """A small literal table. Arrow input gives the optimizer its true size.
 
-    Columns absent from every row are null.
+    Columns a row does not name are null.
     """
-    given = spark.createDataFrame(pa.Table.from_pylist(rows))
-    return given.select(
-        *[
-            (F.col(field.name) if field.name in given.columns else F.lit(None))
-            .cast(field.dataType)
-            .alias(field.name)
-            for field in schema
-        ]
-    )
+    columns = pa.schema([(field.name, _arrow(field.dataType)) for field in schema])
+    return spark.createDataFrame(pa.Table.from_pylist(rows, schema=columns), schema)
 
 
 def seed_users(spark: SparkSession, load_ts: datetime) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import json
 from datetime import timedelta
+from decimal import Decimal
 
 import pytest
 from conftest import NOW
@@ -99,6 +100,20 @@ def test_table_wide_dedupe_keeps_the_first_batch(warehouse, batches):
     assert snapshot(warehouse) == before
 
 
+def test_left_joined_facts_keep_unknown_zones(warehouse, batches):
+    options = ingest.LoadOptions(dimension_join="left")
+    ingest.run_batch(warehouse, batches[0], 0, NOW, options)
+    zones = {r.badge_id: r.zone_key for r in warehouse.facts.collect()}
+    assert zones == {"B1": 1, "B2": 1, "B3": None}
+
+
+def test_faint_signals_can_be_left_out_of_staging(warehouse, raw_rows):
+    rows = raw_rows(*[
+        {"badge_id": str(s), "signal_strength": Decimal(s)} for s in (-95, -85, -999)])
+    ingest.run_batch(warehouse, rows, 0, NOW, ingest.LoadOptions(signal_floor=-90))
+    assert [k[0] for k in keys(warehouse.stg)] == ["-85", "-999"]
+
+
 def test_an_empty_batch_is_not_a_run(warehouse, batches):
     ingest.run_batch(warehouse, batches[0].limit(0), 0, NOW)
     assert warehouse.batch_log.isEmpty()

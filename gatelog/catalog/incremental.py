@@ -30,7 +30,7 @@ LATEST = """(SELECT * FROM raw_events QUALIFY row_number() OVER (
 def loaded(t, purpose: str):
     """A warehouse after landing the event stream and loading its change feed."""
     warehouse = landed(t, purpose)
-    changes = ingest.read_changes(t.spark, warehouse.path("raw"))
+    changes = ingest.read_changes(warehouse)
     ingest.start_load(
         changes, warehouse, warehouse.path("ckpt/load"), ONCE
     ).awaitTermination()

@@ -36,8 +36,9 @@ def landed(t, purpose: str) -> Warehouse:
     """A fresh warehouse with every event streamed into its landing table as JSON."""
     warehouse = new_warehouse(t, purpose)
     lines = json_lines(badge_feed(t.stream("events"))).select("value")
-    for running in ingest.start_landing(lines, warehouse, warehouse.path("ckpt"), ONCE):
-        running.awaitTermination()
+    ingest.start_landing(
+        lines, warehouse, warehouse.path("ckpt/landing"), ONCE
+    ).awaitTermination()
     return warehouse
 
 

@@ -24,7 +24,6 @@ RAW = _struct(
     signal_strength=SIGNAL, signal_quality=STRING, direction=STRING, ingestion_time=NTZ,
     raw_json=STRING,
 )
-QUARANTINE = _struct(value=STRING, reject_reason=STRING, ingestion_time=NTZ)
 STAGED_COLUMNS = [name for name in RAW.names if name != "raw_json"]
 STAGING = T.StructType(
     [RAW[name] for name in STAGED_COLUMNS] + [T.StructField("staging_time", NTZ)]

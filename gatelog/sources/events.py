@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,26 +74,40 @@ def _stamp(load_ts: datetime | None) -> Column:
     return ntz(load_ts) if load_ts else F.current_timestamp().cast("timestamp_ntz")
 
 
-def project_raw(df: DataFrame, load_ts: datetime | None = None) -> DataFrame:
-    """Typed landing columns from ``extract_fields`` output, matched by name.
+def classify_events(df: DataFrame, load_ts: datetime | None = None) -> DataFrame:
+    """JSON lines as typed landing columns, matched by name, plus ``reject_reason``.
 
     Without ``load_ts`` the stamp is the micro-batch's own time, the same for all its
-    rows. Fields that are not columns survive in ``raw_json``.
+    rows. Fields that are not columns survive in ``raw_json``. A rejected line keeps what
+    could be typed.
     """
     signal = whole_signal(F.col("signal_strength"))
-    return df.select(
+    return extract_fields(df).select(
         "badge_id",
         "user_id",
         "zone_id",
         "reader_id",
         iso_timestamp(F.col("event_timestamp")).alias("event_timestamp"),
         F.coalesce(signal, F.lit(MISSING_SIGNAL))
-        .cast(schemas.SIGNAL)
+        .try_cast(schemas.SIGNAL)
         .alias("signal_strength"),
         signal_quality(signal).alias("signal_quality"),
         F.upper("direction").alias("direction"),
         _stamp(load_ts).alias("ingestion_time"),
         F.col("value").alias("raw_json"),
+        reject_reasons().alias("reject_reason"),
+    )
+
+
+def accepted(classified: DataFrame) -> DataFrame:
+    """The typed rows of ``classify_events``."""
+    return classified.filter("reject_reason = ''").select(*schemas.RAW.names)
+
+
+def rejected(classified: DataFrame) -> DataFrame:
+    """The quarantined lines of ``classify_events`` with their reasons."""
+    return classified.filter("reject_reason <> ''").select(
+        F.col("raw_json").alias("value"), "reject_reason", "ingestion_time"
     )
 
 
@@ -99,12 +115,8 @@ def validate_events(
     df: DataFrame, load_ts: datetime | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Split JSON lines into (typed raw rows, quarantined lines with reasons)."""
-    checked = extract_fields(df).withColumn("reject_reason", reject_reasons())
-    good = project_raw(checked.filter(F.col("reject_reason") == ""), load_ts)
-    bad = checked.filter(F.col("reject_reason") != "").select(
-        "value", "reject_reason", _stamp(load_ts).alias("ingestion_time")
-    )
-    return good, bad
+    classified = classify_events(df, load_ts)
+    return accepted(classified), rejected(classified)
 
 
 def parse_events(df: DataFrame, load_ts: datetime | None = None) -> DataFrame:
@@ -117,10 +129,26 @@ def with_variant(df: DataFrame, column: str = "raw_json") -> DataFrame:
     return df.withColumn("payload", F.try_parse_json(column))
 
 
+def _first_copies(token: str):
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first = batch.column(token).to_pandas().drop_duplicates().index
+            yield batch.take(pa.array(first, pa.int64()))
+
+    return keep
+
+
 def dedupe_retries(df: DataFrame, token: str, event_time: str, delay: str) -> DataFrame:
-    """Drop resent rows by producer token; streaming state is bounded by ``delay``."""
+    """Drop resent rows by producer token; streaming state is bounded by ``delay``.
+
+    Spark's streaming duplicate check shuffles every copy to the task that owns the
+    token. Dropping copies inside each Arrow batch first keeps a token that is resent
+    without end from swamping that task.
+    """
     if not df.isStreaming:
         return df.dropDuplicates([token])
-    timed = df.withColumn("_event_time", F.col(event_time).cast("timestamp"))
+    timed = df.mapInArrow(_first_copies(token), df.schema).withColumn(
+        "_event_time", F.col(event_time).cast("timestamp")
+    )
     kept = timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark([token])
     return kept.drop("_event_time")

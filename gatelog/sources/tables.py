@@ -10,19 +10,39 @@ from pyspark.sql import types as T
 
 from gatelog import schemas
 from gatelog.functions.times import seconds_between
+from gatelog.sources.events import rejected
 from gatelog.sources.seeds import empty_readers, local_table, seed_users, seed_zones
 
 BATCH_ID = T.StructField("batch_id", T.LongType())
-STORED_RAW = T.StructType([*schemas.RAW.fields, T.StructField("ingestion_date", schemas.DATE)])
+LANDING_PARTITIONS = ("accepted", "ingestion_date")
+LANDING = T.StructType(
+    [
+        *schemas.RAW.fields,
+        T.StructField("reject_reason", T.StringType()),
+        T.StructField("accepted", T.BooleanType()),
+        T.StructField("ingestion_date", T.DateType()),
+    ]
+)
 STORED_STAGING = T.StructType([*schemas.STAGING.fields, BATCH_ID])
 
 
+def landing_rows(classified: DataFrame) -> DataFrame:
+    """Classified events with the landing table's partition columns."""
+    return classified.withColumns(
+        {
+            "accepted": F.col("reject_reason") == "",
+            "ingestion_date": F.to_date("ingestion_time"),
+        }
+    )
+
+
 class Warehouse:
     """Parquet tables below one root path.
 
-    ``raw`` is append-only, written by a stream and partitioned by ingestion date; ``stg``
-    is partitioned by batch so a replay overwrites its own output; ``facts`` is partitioned
-    by event date.
+    ``landing`` is append-only, written by one stream and partitioned into accepted and
+    rejected lines by ingestion date; ``raw`` and ``quarantine`` read one side each.
+    ``stg`` is partitioned by batch so a replay overwrites its own output; ``facts`` is
+    partitioned by event date.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -40,11 +60,12 @@ class Warehouse:
 
     @property
     def raw(self) -> DataFrame:
-        return self.read("raw", STORED_RAW)
+        landing = self.read("landing", LANDING).filter("accepted")
+        return landing.select(*schemas.RAW.names, "ingestion_date")
 
     @property
     def quarantine(self) -> DataFrame:
-        return self.read("quarantine", schemas.QUARANTINE)
+        return rejected(self.read("landing", LANDING).filter("NOT accepted"))
 
     @property
     def stg(self) -> DataFrame:
@@ -76,23 +97,21 @@ class Warehouse:
 
     def create(self, load_ts: datetime) -> Warehouse:
         """Empty tables and seeded dimensions, replacing what is at the root."""
-        empty = {
-            "quarantine": schemas.QUARANTINE,
-            "batch_log": schemas.BATCH_LOG,
+        tables = {
+            "batch_log": self.spark.createDataFrame([], schemas.BATCH_LOG),
+            "users": seed_users(self.spark, load_ts).coalesce(1),
+            "zones": seed_zones(self.spark, load_ts).coalesce(1),
+            "readers": empty_readers(self.spark),
         }
-        tables = {name: self.spark.createDataFrame([], s) for name, s in empty.items()}
-        tables["users"] = seed_users(self.spark, load_ts).coalesce(1)
-        tables["zones"] = seed_zones(self.spark, load_ts).coalesce(1)
-        tables["readers"] = empty_readers(self.spark)
         for name, df in tables.items():
             df.write.mode("overwrite").parquet(self.path(name))
-        for name, schema, key in (
-            ("raw", STORED_RAW, "ingestion_date"),
-            ("stg", STORED_STAGING, "batch_id"),
-            ("facts", schemas.FACTS, "event_date"),
+        for name, schema, keys in (
+            ("landing", LANDING, LANDING_PARTITIONS),
+            ("stg", STORED_STAGING, ("batch_id",)),
+            ("facts", schemas.FACTS, ("event_date",)),
         ):
             empty_table = self.spark.createDataFrame([], schema)
-            empty_table.write.mode("overwrite").partitionBy(key).parquet(self.path(name))
+            empty_table.write.mode("overwrite").partitionBy(*keys).parquet(self.path(name))
         return self
 
     def write_staging(self, staged: DataFrame, batch_id: int) -> None:

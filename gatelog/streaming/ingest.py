@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,9 +23,15 @@ from gatelog.operators.facts import (
     times_present,
     unstaged,
 )
-from gatelog.sources.events import validate_events
+from gatelog.sources.events import classify_events
 from gatelog.sources.seeds import local_table
-from gatelog.sources.tables import STORED_RAW, Warehouse, cluster_by_date
+from gatelog.sources.tables import (
+    LANDING,
+    LANDING_PARTITIONS,
+    Warehouse,
+    cluster_by_date,
+    landing_rows,
+)
 
 STAGE_TASK = "raw_to_staging_task"
 FACT_TASK = "staging_to_analytics_task"
@@ -52,30 +58,31 @@ class LoadOptions:
 
 def start_landing(
     lines: DataFrame, warehouse: Warehouse, checkpoint: str, trigger: dict | None = None
-) -> list[StreamingQuery]:
-    """Type JSON lines into ``raw`` and rejects into ``quarantine``.
+) -> StreamingQuery:
+    """Type JSON lines into the landing table, rejects beside accepted rows.
 
-    Two file sinks, each exactly-once through its own checkpoint; no Python in the path.
+    One pass: each line is read and parsed once. The file sink is exactly-once through
+    its checkpoint, and no Python runs per batch.
     """
-    good, bad = validate_events(lines)
-    dated = good.withColumn("ingestion_date", F.to_date("ingestion_time"))
-    sinks = (
-        ("raw", dated.writeStream.partitionBy("ingestion_date")),
-        ("quarantine", bad.writeStream),
-    )
-    return [
-        writer.format("parquet")
+    return (
+        landing_rows(classify_events(lines))
+        .writeStream.format("parquet")
+        .partitionBy(*LANDING_PARTITIONS)
         .outputMode("append")
-        .option("checkpointLocation", f"{checkpoint}/{name}")
+        .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or EVERY_MINUTE))
-        .start(warehouse.path(name))
-        for name, writer in sinks
-    ]
+        .start(warehouse.path("landing"))
+    )
 
 
-def read_changes(spark: SparkSession, raw_path: str, **options) -> DataFrame:
-    """The change feed of the append-only landing table: every row is an insert."""
-    return spark.readStream.schema(STORED_RAW).options(**options).parquet(raw_path)
+def read_changes(warehouse: Warehouse, **options) -> DataFrame:
+    """The change feed of the append-only landing table: every accepted row is an insert.
+
+    ``options`` go to the file source, such as maxFilesPerTrigger to bound a backfill.
+    """
+    reader = warehouse.spark.readStream.schema(LANDING).options(**options)
+    landing = reader.parquet(warehouse.path("landing")).filter("accepted")
+    return landing.select(*schemas.RAW.names)
 
 
 def only_inserts(changes: DataFrame, action: str = "_change_type") -> DataFrame:

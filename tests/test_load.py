@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gatelog.operators.selection import EVENT_KEY, duplicate_keys
 from gatelog.plans import reports, views
+from gatelog.sources.events import dedupe_retries, read_events
 from gatelog.streaming import ingest
 
 ONCE = {"availableNow": True}
@@ -145,10 +146,10 @@ def test_streams_equal_batches(spark, warehouse, tmp_path):
         lines.append(json.dumps(event) if i % 13 else json.dumps(event)[:-1])
 
     def run():
-        source = ingest_lines(spark, inbox)
-        for stream in ingest.start_landing(source, warehouse, checkpoint, ONCE):
-            stream.awaitTermination()
-        changes = ingest.read_changes(spark, warehouse.path("raw"))
+        source = read_events(spark, str(inbox))
+        ingest.start_landing(
+            source, warehouse, f"{checkpoint}/landing", ONCE).awaitTermination()
+        changes = ingest.read_changes(warehouse)
         ingest.start_load(
             changes, warehouse, f"{checkpoint}/load", ONCE).awaitTermination()
 
@@ -178,10 +179,20 @@ def test_streams_equal_batches(spark, warehouse, tmp_path):
         "OPEN"}
 
 
-def ingest_lines(spark, inbox):
-    from gatelog.sources.events import read_events
-
-    return read_events(spark, str(inbox))
+def test_a_token_resent_without_end_is_kept_once(spark, tmp_path):
+    rows = spark.range(0, 9000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("token"),
+        F.lit(NOW).alias("sent"), F.lit(Decimal("1.50")).alias("amount"))
+    rows.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    once = dedupe_retries(stream, "token", "sent", "1 hour")
+    once.writeStream.format("parquet").option(
+        "checkpointLocation", str(tmp_path / "ckpt")
+    ).trigger(**ONCE).start(str(tmp_path / "out")).awaitTermination()
+    kept = spark.read.schema(once.schema).parquet(str(tmp_path / "out"))
+    whole = dedupe_retries(rows, "token", "sent", "1 hour")
+    assert kept.count() == whole.count() == 6001
+    assert kept.exceptAll(whole).isEmpty()
 
 
 def test_deployment_metadata_is_one_row(warehouse):

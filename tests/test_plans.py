@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from gatelog.operators import dims, facts, selection
 from gatelog.plans import views
-from gatelog.sources.tables import Warehouse, cluster_by_date
+from gatelog.sources.events import validate_events
+from gatelog.sources.tables import LANDING_PARTITIONS, Warehouse, cluster_by_date, landing_rows
 from gatelog.streaming import ingest
 
 
@@ -51,17 +52,23 @@ def stored(spark, feeds, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("stored"))
     warehouse = Warehouse(spark, root).create(NOW)
     ingest.run_batch(warehouse, feeds.raw, 0, NOW)
-    raw = feeds.raw.drop("seq").withColumn("ingestion_date", F.to_date("ingestion_time"))
-    raw.write.mode("append").partitionBy("ingestion_date").parquet(warehouse.path("raw"))
+    rows = landing_rows(feeds.raw.drop("seq").withColumn("reject_reason", F.lit("")))
+    rows.write.mode("append").partitionBy(*LANDING_PARTITIONS).parquet(warehouse.path("landing"))
     return warehouse
 
 
 def test_lookbacks_reach_the_scan(stored):
     text = plan(views.ingestion_metrics(stored, NOW))
     scan = re.search(r"FileScan parquet.*", text).group()
-    assert "PartitionFilters: [isnotnull(ingestion_date" in scan
+    pruned = re.search(r"PartitionFilters: \[[^]]*", scan).group()
+    assert "accepted" in pruned and "ingestion_date" in pruned
     assert "GreaterThanOrEqual(ingestion_time" in scan
-    assert "raw_json" not in scan and "reader_id" not in scan
+    assert "raw_json" not in scan and "accepted" in scan and "reader_id" not in scan
+
+
+def test_json_is_parsed_once_per_line(feeds):
+    good, bad = validate_events(feeds.json_lines().select("value"), NOW)
+    assert plan(good).count("from_json") == plan(bad).count("from_json") == 1
 
 
 def test_latest_copy_is_limited_before_the_shuffle(feeds):
@@ -72,13 +79,13 @@ def test_latest_copy_is_limited_before_the_shuffle(feeds):
 
 def test_active_badges_scans_once_and_combines_before_the_shuffle(stored):
     badges = views.active_badges(stored, NOW)
-    assert len(scans(badges, "raw")) == 1
+    assert len(scans(badges, "landing")) == 1
     assert "partial_max_by" in plan(badges)
 
 
 def test_quality_metrics_scan_each_layer_once(stored):
     quality = views.data_quality_metrics(stored, NOW)
-    assert [len(scans(quality, name)) for name in ("raw", "stg", "facts")] == [1, 1, 1]
+    assert [len(scans(quality, name)) for name in ("landing", "stg", "facts")] == [1, 1, 1]
     text = plan(quality)
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 

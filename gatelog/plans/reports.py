@@ -75,7 +75,8 @@ def load_history(
 
 def batch_loads(batch_log: DataFrame) -> DataFrame:
     """The batch log as load history: one entry per staged batch."""
-    return batch_log.filter(F.col("name") == TASKS[0]).select(
+    staged = batch_log.filter((F.col("name") == TASKS[0]) & (F.col("batch_id") >= 0))
+    return staged.select(
         F.lit(views.RAW_TABLE).alias("table_name"),
         F.concat(F.lit("batch-"), F.col("batch_id").cast("string")).alias("file_name"),
         F.col("completed_time").alias("last_load_time"),

@@ -8,13 +8,18 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Pin what results depend on.
+    """Pin what results depend on, and keep streaming state off the heap.
 
     Event times are TIMESTAMP_NTZ; truncation and epoch functions go through
-    TIMESTAMP, which is lossless only when the session zone is UTC.
+    TIMESTAMP, which is lossless only when the session zone is UTC. State of the retry
+    check grows with the tokens seen within its delay, so it goes to RocksDB.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return spark
 
 

@@ -26,6 +26,7 @@ from gatelog.operators.facts import (
 from gatelog.sources.events import classify_events
 from gatelog.sources.seeds import local_table
 from gatelog.sources.tables import (
+    BADGE_LOOKUP,
     LANDING,
     LANDING_PARTITIONS,
     Warehouse,
@@ -68,6 +69,7 @@ def start_landing(
         landing_rows(classify_events(lines))
         .writeStream.format("parquet")
         .partitionBy(*LANDING_PARTITIONS)
+        .options(**BADGE_LOOKUP)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or EVERY_MINUTE))
@@ -143,19 +145,24 @@ def _stage(
     }
 
 
-def _first_event_key(warehouse: Warehouse, batch_id: int) -> int:
-    """Where this attempt's fact keys start.
+def _first_event_key(warehouse: Warehouse) -> int:
+    """Where this run's fact keys start.
 
-    The log knows the last key unless an earlier attempt of this batch got as far as
-    staging; that attempt may have appended facts, so then the facts themselves are asked.
+    The log knows the last key, unless an earlier run was staged and its outcome never
+    logged: it may have appended facts, so then the facts themselves are asked. The
+    newest staging entry is this run's own.
     """
-    log = warehouse.batch_log.filter(F.col("name") == FACT_TASK)
-    started = warehouse.batch_log.filter(
-        (F.col("batch_id") == batch_id) & (F.col("name") == STAGE_TASK)
-    )
-    if started.count() > 1:
+    log, state = warehouse.batch_log, F.col("state")
+    loaded = (F.col("name") == FACT_TASK) & state.isin("SUCCEEDED", "SKIPPED")
+    finished, last_key = log.agg(
+        F.max(F.when(loaded, F.col("completed_time"))), F.max("max_event_key")
+    ).first()
+    staged = log.filter((F.col("name") == STAGE_TASK) & (state == "SUCCEEDED"))
+    newest = staged.orderBy(F.desc("completed_time")).limit(2).collect()
+    earlier = newest[1].completed_time if len(newest) > 1 else None
+    if earlier and (finished is None or earlier > finished):
         return next_key(warehouse.facts, "event_key")
-    return next_key(log, "max_event_key")
+    return (last_key or 0) + 1
 
 
 def create_unknown_users(
@@ -201,9 +208,7 @@ def _load(
         staged, warehouse.users, warehouse.zones, warehouse.facts,
         unique=options.unique_facts, how=options.dimension_join, dates=dates_present(staged),
     )
-    return append_new_facts(
-        warehouse, rows, _first_event_key(warehouse, batch_id), load_ts
-    )
+    return append_new_facts(warehouse, rows, _first_event_key(warehouse), load_ts)
 
 
 def run_batch(
@@ -261,16 +266,19 @@ def process_badge_events(
     both loaded; the streaming path never meets that case.
     """
     staged = warehouse.stg.drop("batch_id")
-    create_unknown_users(warehouse, staged, load_ts, partitions)
+    now = utc_now()
+    log_batch(
+        warehouse, STAGE_TASK, WHOLE_STAGING, "SUCCEEDED", scheduled_time=now,
+        rows_processed=0, error_count=0,
+    )
 
     def load() -> dict:
+        create_unknown_users(warehouse, staged, load_ts, partitions)
         rows = load_facts(
             staged, warehouse.users, warehouse.zones, warehouse.facts,
             dates=dates_present(staged),
         )
-        return append_new_facts(
-            warehouse, rows, next_key(warehouse.facts, "event_key"), load_ts
-        )
+        return append_new_facts(warehouse, rows, _first_event_key(warehouse), load_ts)
 
     loaded = _logged(warehouse, FACT_TASK, WHOLE_STAGING, load)
     return {"status": "COMPLETED", "facts_loaded": loaded["rows_processed"]}

@@ -71,24 +71,44 @@ def test_a_failed_load_is_logged_and_completed_on_replay(warehouse, batches, mon
     assert len(keys(warehouse.facts)) == 4 and duplicate_keys(warehouse.facts).isEmpty()
 
 
-def test_fact_keys_stay_unique_when_the_log_entry_was_lost(warehouse, batches, monkeypatch):
+def lose_fact_entries(monkeypatch):
     """The driver dies after the facts are written and before the log is."""
     real = ingest.log_batch
 
-    def lose_fact_entry(wh, name, *args, **fields):
+    def log(wh, name, *args, **fields):
         if name == ingest.FACT_TASK:
             raise OSError("driver lost")
         real(wh, name, *args, **fields)
 
-    monkeypatch.setattr(ingest, "log_batch", lose_fact_entry)
+    monkeypatch.setattr(ingest, "log_batch", log)
+
+
+def assert_unique_keys(warehouse, n):
+    rows, keys_found = warehouse.facts.agg(F.count("*"), F.countDistinct("event_key")).first()
+    assert rows == keys_found == n
+
+
+def test_fact_keys_stay_unique_when_the_log_entry_was_lost(warehouse, batches, monkeypatch):
+    lose_fact_entries(monkeypatch)
     with pytest.raises(OSError):
         ingest.run_batch(warehouse, batches[0], 0, NOW)
     monkeypatch.undo()
     for i, batch in enumerate(batches):
         ingest.run_batch(warehouse, batch, i, NOW)
-    rows, distinct = warehouse.facts.agg(
-        F.count("*"), F.countDistinct("event_key")).first()
-    assert rows == distinct == 4
+    assert_unique_keys(warehouse, 4)
+
+
+def test_a_lost_procedure_call_does_not_cost_key_uniqueness(warehouse, batches, monkeypatch):
+    warehouse.write_staging(
+        batches[0].drop("raw_json").withColumn("staging_time", F.lit(NOW)), 0)
+    lose_fact_entries(monkeypatch)
+    with pytest.raises(OSError):
+        ingest.process_badge_events(warehouse, NOW)
+    monkeypatch.undo()
+    ingest.run_batch(warehouse, batches[1], 1, NOW)
+    assert_unique_keys(warehouse, 5)  # the procedure loads both staged copies of B1
+    last = warehouse.batch_log.filter(F.col("name") == ingest.FACT_TASK).first()
+    assert last.max_event_key == warehouse.facts.agg(F.max("event_key")).first()[0]
 
 
 def test_table_wide_dedupe_keeps_the_first_batch(warehouse, batches):

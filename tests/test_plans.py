@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 from gatelog.operators import dims, facts, selection
 from gatelog.plans import views
 from gatelog.sources.events import validate_events
-from gatelog.sources.tables import LANDING_PARTITIONS, Warehouse, cluster_by_date, landing_rows
+from gatelog.sources.tables import (
+    BADGE_LOOKUP,
+    LANDING_PARTITIONS,
+    Warehouse,
+    cluster_by_date,
+    landing_rows,
+)
 from gatelog.streaming import ingest
 
 
@@ -169,6 +175,17 @@ def test_copies_of_one_key_holding_a_third_of_all_rows(spark, raw_rows):
     assert selection.duplicate_keys(rows).first().copies == n // 3
 
 
+def test_a_badge_lookup_skips_row_groups(spark, tmp_path):
+    badge = F.concat(F.lit("B"), (F.xxhash64("id") % 10**9 + 2 * 10**9).cast("string"))
+    rows = spark.range(0, 300000, 1, 1).select(badge.alias("badge_id"), F.uuid().alias("v"))
+    path = str(tmp_path / "rows")
+    rows.write.options(**BADGE_LOOKUP).parquet(path)
+    lookup = spark.read.parquet(path).filter("badge_id = 'B2000000013'")
+    assert lookup.collect() == []
+    scan = lookup._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert scan.metrics().get("numOutputRows").get().value() == 0
+
+
 def test_top_n_never_sorts_the_table(stored):
     from gatelog.plans import reports
 

@@ -13,7 +13,6 @@ from gatelog.functions.times import seconds_between
 from gatelog.sources.events import rejected
 from gatelog.sources.seeds import empty_readers, local_table, seed_users, seed_zones
 
-BATCH_ID = T.StructField("batch_id", T.LongType())
 LANDING_PARTITIONS = ("accepted", "ingestion_date")
 LANDING = T.StructType(
     [
@@ -23,7 +22,14 @@ LANDING = T.StructType(
         T.StructField("ingestion_date", T.DateType()),
     ]
 )
-STORED_STAGING = T.StructType([*schemas.STAGING.fields, BATCH_ID])
+STAGING_DATED = T.StructType(
+    [*schemas.STAGING.fields, T.StructField("staging_date", T.DateType())]
+)
+STAGING = T.StructType([*STAGING_DATED.fields, T.StructField("batch_id", T.LongType())])
+FACT_PARTITIONS = ("event_date", "fact_load_date")
+FACTS = T.StructType(
+    [*schemas.FACTS.fields, T.StructField("fact_load_date", T.DateType())]
+)
 
 
 # Bloom filters let a lookup of one badge skip row groups where min/max cannot.
@@ -48,8 +54,9 @@ class Warehouse:
 
     ``landing`` is append-only, written by one stream and partitioned into accepted and
     rejected lines by ingestion date; ``raw`` and ``quarantine`` read one side each.
-    ``stg`` is partitioned by batch so a replay overwrites its own output; ``facts`` is
-    partitioned by event date.
+    ``stg`` is partitioned by batch, so a replay overwrites its own output, and below that
+    by staging date. ``facts`` is partitioned by event date and load date. Lookbacks on
+    load times prune by these dates.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -76,11 +83,11 @@ class Warehouse:
 
     @property
     def stg(self) -> DataFrame:
-        return self.read("stg", STORED_STAGING)
+        return self.read("stg", STAGING)
 
     @property
     def facts(self) -> DataFrame:
-        return self.read("facts", schemas.FACTS)
+        return self.read("facts", FACTS)
 
     @property
     def users(self) -> DataFrame:
@@ -114,8 +121,8 @@ class Warehouse:
             df.write.mode("overwrite").parquet(self.path(name))
         for name, schema, keys in (
             ("landing", LANDING, LANDING_PARTITIONS),
-            ("stg", STORED_STAGING, ("batch_id",)),
-            ("facts", schemas.FACTS, ("event_date",)),
+            ("stg", STAGING, ("batch_id", "staging_date")),
+            ("facts", FACTS, FACT_PARTITIONS),
         ):
             empty_table = self.spark.createDataFrame([], schema)
             empty_table.write.mode("overwrite").partitionBy(*keys).parquet(self.path(name))
@@ -123,16 +130,20 @@ class Warehouse:
 
     def write_staging(self, staged: DataFrame, batch_id: int) -> None:
         """Replace this batch's staging partition; a replay leaves one copy."""
-        staged.write.mode("overwrite").parquet(f"{self.path('stg')}/batch_id={batch_id}")
+        dated = staged.withColumn("staging_date", F.to_date("staging_time"))
+        dated.write.mode("overwrite").partitionBy("staging_date").parquet(
+            self.path(f"stg/batch_id={batch_id}")
+        )
 
     def staged_in(self, batch_id: int) -> DataFrame:
         """One batch, by its own path: the cost does not grow with earlier batches."""
-        return self.read(f"stg/batch_id={batch_id}", schemas.STAGING)
+        return self.read(f"stg/batch_id={batch_id}", STAGING_DATED)
 
     def append_facts(self, facts: DataFrame) -> None:
-        """Append by event date. Use ``cluster_by_date`` first to size the files."""
-        writer = facts.write.mode("append").options(**BADGE_LOOKUP)
-        writer.partitionBy("event_date").parquet(self.path("facts"))
+        """Append by event and load date. Use ``cluster_by_date`` first to size the files."""
+        dated = facts.withColumn("fact_load_date", F.to_date("fact_load_time"))
+        writer = dated.write.mode("append").options(**BADGE_LOOKUP)
+        writer.partitionBy(*FACT_PARTITIONS).parquet(self.path("facts"))
 
     def write_run_metadata(self, account: str, expires: date, now: datetime) -> None:
         """One row, replaced on each deployment."""

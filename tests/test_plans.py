@@ -72,6 +72,15 @@ def test_lookbacks_reach_the_scan(stored):
     assert "raw_json" not in scan and "accepted" in scan and "reader_id" not in scan
 
 
+def test_every_layer_prunes_by_load_date(stored):
+    quality = views.data_quality_metrics(stored, NOW)
+    for table, date in (
+        ("landing", "ingestion_date"), ("stg", "staging_date"), ("facts", "fact_load_date")
+    ):
+        (scan,) = scans(quality, table)
+        assert date in re.search(r"PartitionFilters: \[[^]]*", scan).group()
+
+
 def test_json_is_parsed_once_per_line(feeds):
     good, bad = validate_events(feeds.json_lines().select("value"), NOW)
     assert plan(good).count("from_json") == plan(bad).count("from_json") == 1

@@ -7,23 +7,38 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gatelog.llm import byte_bpe, exact_dedup
+from gatelog.llm import byte_bpe, decontaminate, exact_dedup, near_dedup, toxicity
 from gatelog.llm.common import scratch, table
+from gatelog.llm.queries import BYTE_BPE, categories
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.remove_toxic(docs, table(spark, sf_dir, "labels"), categories(), "toxic")
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.dedupe(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dedup.dedupe(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return byte_bpe.digests(docs, path, public_tokenizers.PATTERN)
+    return byte_bpe.digests(docs, BYTE_BPE, public_tokenizers.PATTERN)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
     ("exact_dedup", drop_exact_copies),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", drop_contaminated),
     ("byte_bpe", tokenize),
 ]
 

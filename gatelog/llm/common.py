@@ -46,7 +46,6 @@ def numbered(df: DataFrame, keys: list[str], order: list[Column], name: str, per
     sizes of the buckets before theirs, so no task ever holds all rows of a key. ``order`` must tell
     rows apart as far as their numbers matter; rows equal in it are interchangeable.
     """
-    spark = df.sparkSession
     buckets = max(8, -(-df.count() // per_bucket))
     with_bucket = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
     sizes = with_bucket.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"))
@@ -55,5 +54,4 @@ def numbered(df: DataFrame, keys: list[str], order: list[Column], name: str, per
     within = Window.partitionBy(*keys, "_bucket").orderBy(*order)
     ranked = with_bucket.withColumn("_rank", F.row_number().over(within) - 1)
     joined = ranked.join(shifts, [*keys, "_bucket"])
-    del spark
     return joined.withColumn(name, F.col("_shift") + F.col("_rank")).drop("_bucket", "_rank", "_shift")

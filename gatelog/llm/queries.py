@@ -5,9 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
-
-from gatelog.llm import byte_bpe, exact_dedup, token_counts, warc
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gatelog.llm import (
+    byte_bpe,
+    decontaminate,
+    exact_dedup,
+    near_dedup,
+    pii,
+    sharding,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+    warc,
+)
 from gatelog.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +29,15 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def categories() -> dict[str, Column]:
+    """The chain's categories, in order, as columns of ``labels``; toxic decides."""
+    return {"low_quality": 1 - F.col("quality"), "toxic": F.col("toxic")}
+
+
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -25,6 +46,14 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(table(spark, sf_dir, "documents")).drop("n_chars")
 
 
+def op4_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.by_row(table(spark, sf_dir, "documents"), PIECES)
 
@@ -33,9 +62,32 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN)
 
 
+def op8_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(table(spark, sf_dir, "documents"))
+
+
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.groups(table(spark, sf_dir, "documents")).drop("text_key")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), categories(), "toxic")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op2_warc_revisits, op3_exact_dedup, op6_token_counts, op7_byte_bpe)
+    for f in (
+        op1_suffix_dedup,
+        op2_warc_revisits,
+        op3_exact_dedup,
+        op4_label_propagation_shards,
+        op5_benchmark_decontamination,
+        op6_token_counts,
+        op7_byte_bpe,
+        op8_pii_sanitisation,
+        op9_minhash_near_dedup,
+        op10_toxicity,
+    )
 }
 
 EXPECTED: dict[str, str] = {

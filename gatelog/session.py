@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -23,11 +27,22 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    """For runs in one process (tests, bench): a folder that goes when the process ends."""
+    path = tempfile.mkdtemp(prefix="gatelog-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the cluster's shared checkpoint folder."""
+    """A fresh path below ``spark.checkpoint.dir``, the folder that driver and executors share.
+
+    Where the setting is absent, a run within one process uses a folder of its own; any other raises.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = tempfile.mkdtemp(prefix="gatelog-")
+        base = _own_folder()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gatelog.session import scratch_dir
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which every executor can reach."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    """A new folder that every executor can reach."""
+    return scratch_dir(spark, "llm")
 
 
 def stored(df: DataFrame) -> DataFrame:

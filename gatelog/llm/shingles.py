@@ -83,10 +83,10 @@ def shingles(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     take = np.arange(out_begins[-1]) + np.repeat(begins[:-1] - out_begins[:-1], out_counts)
     result = sums[take] if len(take) else np.empty(0, np.uint64)
     for i in np.flatnonzero((counts > 0) & (counts < size)):
-        value = np.uint64(counts[i])
+        value = np.full(1, counts[i], np.uint64)
         for h in hashes[begins[i] : begins[i + 1]]:
-            value = mixed(np.array([value]))[0] + h
-        result[out_begins[i]] = value
+            value = mixed(value) + h
+        result[out_begins[i]] = value[0]
     return mixed(result, size), out_begins
 
 

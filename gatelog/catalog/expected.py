@@ -298,6 +298,15 @@ FROM (SELECT * FROM task_history WHERE scheduled_time >= {AS_OF_TASKS} - INTERVA
   ORDER BY scheduled_time DESC, name, database_name, state, completed_time, error_code,
     error_message, rows_processed, run_id LIMIT 1000)
 WHERE database_name = 'DEMO'""",
+    "every_run": f"""
+SELECT name AS task_name, state, scheduled_time, completed_time,
+  date_diff('second', scheduled_time, completed_time) AS duration_seconds, error_code,
+  error_message,
+  CASE WHEN state = 'SUCCEEDED' THEN 'SUCCESS' WHEN state = 'FAILED' THEN 'FAILED'
+    WHEN state = 'SKIPPED' THEN 'SKIPPED' ELSE 'UNKNOWN' END AS execution_status,
+  rows_processed, run_id
+FROM task_history WHERE scheduled_time >= {AS_OF_TASKS} - INTERVAL '4000' DAY
+  AND database_name = 'DEMO'""",
     "newest_runs": """
 SELECT * FROM task_runs ORDER BY scheduled_time DESC, task_name, state, completed_time,
   duration_seconds, error_code, error_message, execution_status, run_id LIMIT 50""",

@@ -132,6 +132,32 @@ def _(t):
         "badge_id", "event_timestamp", "user_id", "zone_id", "signal_strength")
 
 
+LATE_ZONE = "ZONE-LOBBY-1"  # not in the zone table until two batches are loaded
+
+
+@query("inc06_late_zones", f"""
+SELECT badge_id, event_timestamp, user_id, zone_id, signal_strength
+FROM (SELECT * FROM {BY_SLICE} WHERE zone_id IN ({x.KNOWN_ZONES})
+  QUALIFY row_number() OVER (PARTITION BY badge_id, event_timestamp, CASE
+    WHEN batch_id < 2 AND zone_id = '{LATE_ZONE}' THEN batch_id ELSE -1 END
+    ORDER BY batch_id) = 1) s
+WHERE NOT (zone_id = '{LATE_ZONE}' AND batch_id < 2 AND EXISTS (
+  SELECT 1 FROM {BY_SLICE} o WHERE o.batch_id < 2 AND o.zone_id IN ({x.KNOWN_ZONES})
+    AND o.zone_id <> '{LATE_ZONE}' AND o.badge_id = s.badge_id
+    AND o.event_timestamp = s.event_timestamp))""")
+def _(t):
+    """Every event is staged; the zone appears before the third batch, which loads all."""
+    warehouse = new_warehouse(t, "late-zones")
+    zones = t.zones.coalesce(1)
+    warehouse.replace_zones(zones.filter(F.col("zone_id") != LATE_ZONE))
+    for batch_id, batch in slices(t):
+        if batch_id == 2:
+            warehouse.replace_zones(zones)
+        ingest.run_batch(warehouse, batch, batch_id, LOAD_TIME)
+    return described(warehouse).select(
+        "badge_id", "event_timestamp", "user_id", "zone_id", "signal_strength")
+
+
 @query("inc07_unknown_users", f"""
 SELECT DISTINCT user_id, 'UNKNOWN' AS user_name, 'UNKNOWN' AS user_type,
   'UNKNOWN' AS department, 'PUBLIC' AS clearance_level, TRUE AS is_active,
@@ -145,14 +171,25 @@ def _(t):
 
 
 @query("inc08_surrogate_keys", """
-SELECT count(*) AS rows, count(*) AS keys, TRUE AS from_start FROM
+SELECT count(*) AS rows, count(*) AS keys, cast(1001 AS bigint) AS first_key,
+  1000 + count(*) AS last_key FROM
   (SELECT DISTINCT badge_id, event_timestamp FROM raw_events)""")
 def _(t):
     ids = t.raw.select(*selection.EVENT_KEY).distinct()
-    keyed = dims.assign_keys(ids, "event_key", 1001, selection.EVENT_KEY, 8)
+    return _key_range(dims.dense_keys(ids, "event_key", 1001, selection.EVENT_KEY, 8))
+
+
+def _key_range(keyed):
     return keyed.agg(
         F.count("*").alias("rows"), F.countDistinct("event_key").alias("keys"),
-        (F.min("event_key") >= 1001).alias("from_start"))
+        F.min("event_key").alias("first_key"), F.max("event_key").alias("last_key"))
+
+
+@query("inc08_fact_keys", f"""
+SELECT count(*) AS rows, count(*) AS keys, cast(1 AS bigint) AS first_key,
+  count(*) AS last_key FROM {SLICE_FACTS}""")
+def _(t):
+    return _key_range(run_slices(t, "fact-keys", replay=True).facts)
 
 
 @query("inc09_load_times", f"""
@@ -206,9 +243,7 @@ def _(t):
     ingest.start_hourly_metrics(
         live.raw, f"{path}/hours", f"{path}/ckpt", ONCE
     ).awaitTermination()
-    versions = t.spark.read.parquet(f"{path}/hours")
-    newest = versions.agg(F.max("version")).first()[0]
-    return versions.filter(F.col("version") == newest).drop("version")
+    return t.spark.read.parquet(f"{path}/hours").drop("hour")
 
 
 @query("inc12_hourly_batch", HOURLY)
@@ -216,14 +251,12 @@ def _(t):
     return ingest.hourly_metrics(t.raw)
 
 
-@query("inc13_enrichment_procedure", """
-SELECT user_id, zone_id, count(*) AS facts FROM (SELECT * FROM raw_events
-  WHERE zone_id <> 'ZONE-UNKNOWN' QUALIFY row_number() OVER (
-    PARTITION BY badge_id, event_timestamp ORDER BY ingestion_time DESC, seq DESC) = 1
-) GROUP BY 1, 2""")
+@query("inc13_enrichment_procedure", f"""
+SELECT user_id, zone_id, count(*) AS facts FROM {LATEST}
+WHERE zone_id IN ({x.KNOWN_ZONES}) GROUP BY 1, 2""")
 def _(t):
     warehouse = new_warehouse(t, "procedure")
-    staged = facts.stage_batch(t.raw.filter("zone_id <> 'ZONE-UNKNOWN'"))
+    staged = facts.stage_batch(t.raw)
     warehouse.write_staging(staged.withColumn("staging_time", ntz(LOAD_TIME)), 0)
     for _attempt in range(2):  # the second call finds nothing left to load
         ingest.process_badge_events(warehouse, LOAD_TIME)

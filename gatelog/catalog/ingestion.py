@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
@@ -237,16 +237,15 @@ def _(t):
         F.count("*").alias("events"), F.countDistinct("badge_id").alias("badges"))
 
 
-@query("src16_run_metadata", f"""
-SELECT {x.stamp(LOAD_TIME)} AS deployment_timestamp, 'second' AS account_identifier,
-  DATE '2024-03-01' AS expires_date, count(*) AS raw_rows FROM raw_events""")
+@query("src16_run_metadata", """
+SELECT min(ingestion_time) AS deployment_timestamp, 'second' AS account_identifier,
+  cast(max(ingestion_time) AS date) + 30 AS expires_date FROM raw_events""")
 def _(t):
     warehouse = new_warehouse(t, "metadata")
+    first, last = t.raw.agg(F.min("ingestion_time"), F.max("ingestion_time")).first()
     for account in ("first", "second"):
-        warehouse.write_run_metadata(account, date(2024, 3, 1), LOAD_TIME)
-    rows = t.raw.agg(F.count("*").alias("raw_rows"))
-    return rows.withColumn("key", F.lit("second")).join(
-        warehouse.run_metadata, F.col("key") == F.col("account_identifier")).drop("key")
+        warehouse.write_run_metadata(account, last.date() + timedelta(days=30), first)
+    return warehouse.run_metadata
 
 
 @query("src17_projected_scan", """

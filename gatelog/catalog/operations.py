@@ -172,12 +172,12 @@ FROM query_history WHERE execution_status = 'SUCCESS' AND database_name = 'DEMO'
   AND start_time >= {x.AS_OF_PRUNE} - INTERVAL '{{days}}' DAY
 ORDER BY total_elapsed_ms DESC, query_id, query_text, gb_scanned, partitions_scanned,
   partitions_total LIMIT 10"""
-LONG_AGO = timedelta(days=4000)
+MONTH_BEFORE = AS_OF_PRUNE - 30 * views.DAY  # the last month of shipments
 
 
-@query("q14_slowest_queries", SLOWEST.format(days=4001))
+@query("q14_slowest_queries", SLOWEST.format(days=31))
 def _(t):
-    return reports.slowest_queries(t.queries, AS_OF_PRUNE - LONG_AGO)
+    return reports.slowest_queries(t.queries, MONTH_BEFORE)
 
 
 @query("q15_last_hour_summary", f"""
@@ -305,30 +305,29 @@ def _(t):
 
 # --- A: alert rules ---------------------------------------------------------------------
 
-RUNS = "SELECT * EXCLUDE (rows_processed, run_id) FROM task_runs WHERE "
+ALL_RUNS = timedelta(days=4000)
+RUNS = "SELECT * EXCLUDE (rows_processed, run_id) FROM every_run WHERE "
 
 
 @query("a01_failed_runs", RUNS + "state = 'FAILED'")
 def _(t):
-    return alerts.failed_runs(t, AS_OF_TASKS)
+    return alerts.failed_runs(t, AS_OF_TASKS, ALL_RUNS)
 
 
-ODD_HOURS = "hour({}) < 3 OR hour({}) BETWEEN 12 AND 17"
+# Six hours after the last event, so that the day looked at ends in a gap.
+STOPPED = f"{x.AS_OF} + INTERVAL '6' HOUR"
 
 
 @query("a02_ingestion_stopped", f"""
 SELECT min(h) AS first_hour, max(h) AS last_hour, count(*) AS idle_hours
 FROM (SELECT h, n, sum(CASE WHEN n IS NULL THEN 0 ELSE 1 END) OVER (ORDER BY h) AS grp
-  FROM (SELECT unnest(generate_series(date_trunc('hour', {x.DAY_AGO}),
-      date_trunc('hour', {x.AS_OF}), INTERVAL '1' HOUR)) AS h) s
+  FROM (SELECT unnest(generate_series(date_trunc('hour', {STOPPED} - INTERVAL '1' DAY),
+      date_trunc('hour', {STOPPED}), INTERVAL '1' HOUR)) AS h) s
   LEFT JOIN (SELECT date_trunc('hour', ingestion_time) AS ih, count(*) AS n FROM raw_events
-    WHERE ingestion_time >= {x.DAY_AGO}
-      AND NOT ({ODD_HOURS.format("ingestion_time", "ingestion_time")}) GROUP BY 1) e
+    WHERE ingestion_time >= {STOPPED} - INTERVAL '1' DAY GROUP BY 1) e
     ON s.h = e.ih) WHERE n IS NULL GROUP BY grp HAVING count(*) > 2""")
 def _(t):
-    hour = F.hour("ingestion_time")
-    quiet = t.raw.filter(~((hour < 3) | hour.between(12, 17)))
-    return alerts.ingestion_stopped(With(t, raw=quiet), AS_OF)
+    return alerts.ingestion_stopped(t, AS_OF + timedelta(hours=6))
 
 
 @query("a03_volume_drop", """
@@ -357,14 +356,15 @@ LATENCY = """SELECT CASE WHEN s < 60 THEN '0-60s' WHEN s < 120 THEN '60-120s'
     WHEN s < 180 THEN '120-180s' WHEN s < 300 THEN '180-300s' ELSE '300s+' END AS lag_bucket,
   count(*) AS event_count, avg(s) AS avg_latency_seconds, max(s) AS max_latency_seconds,
   round(quantile_cont(cast(s AS double), 0.95), 6) AS p95_latency_seconds
-FROM (SELECT date_diff('second', event_timestamp, fact_load_time) AS s FROM fct_events)
-GROUP BY 1"""
+FROM (SELECT date_diff('second', event_timestamp, fact_load_time) AS s FROM fct_events
+  WHERE fact_load_time >= {month_ago})
+GROUP BY 1""".format(month_ago=x.MONTH_AGO)
 
 
 @query("a05_high_latency", f"""
 SELECT * FROM ({LATENCY}) WHERE avg_latency_seconds > 180 OR max_latency_seconds > 300""")
 def _(t):
-    return alerts.high_latency(t.facts)
+    return alerts.high_latency(t.facts, AS_OF, span=30 * views.DAY)
 
 
 @query("a06_high_duplicate_rate", _quality("duplicate_rate_pct", 1))
@@ -402,21 +402,19 @@ def _(t):
 
 @query("a09_slow_runs", RUNS + "duration_seconds > 30")
 def _(t):
-    return alerts.slow_runs(t, AS_OF_TASKS)
+    return alerts.slow_runs(t, AS_OF_TASKS, span=ALL_RUNS)
 
 
-@query("a10_idle_runs", f"""
-SELECT name AS task_name, min(scheduled_time) AS first_run, max(scheduled_time) AS last_run,
+@query("a10_idle_runs", """
+SELECT task_name, min(scheduled_time) AS first_run, max(scheduled_time) AS last_run,
   count(*) AS idle_runs
 FROM (SELECT *, sum(CASE WHEN rows_processed = 0 THEN 0 ELSE 1 END) OVER (
-    PARTITION BY name ORDER BY scheduled_time, run_id, completed_time
+    PARTITION BY task_name ORDER BY scheduled_time, run_id, completed_time
     ROWS UNBOUNDED PRECEDING) AS grp
-  FROM (SELECT * FROM task_history WHERE scheduled_time >= {x.AS_OF_TASKS} - INTERVAL '61' DAY
-    ORDER BY scheduled_time DESC, name, database_name, state, completed_time, error_code,
-      error_message, rows_processed, run_id LIMIT 1000))
-WHERE rows_processed = 0 GROUP BY name, grp HAVING count(*) > 2""")
+  FROM every_run)
+WHERE rows_processed = 0 GROUP BY task_name, grp HAVING count(*) > 2""")
 def _(t):
-    return alerts.idle_runs(t, AS_OF_TASKS - timedelta(days=60), count=2)
+    return alerts.idle_runs(t, AS_OF_TASKS, count=2, span=ALL_RUNS)
 
 
 @query("a11_rising_unit_cost", f"""
@@ -453,7 +451,7 @@ def _(t):
     return alerts.unhealthy_channels(_batch_log(t), AS_OF_TASKS)
 
 
-@query("a13_storage_growth", """
+@query("a13_storage_growth", f"""
 SELECT day, storage_pct, event_pct FROM (SELECT day,
     100 * (cast(b AS double) - lag(b) OVER (ORDER BY day))
       / nullif(lag(b) OVER (ORDER BY day), 0) AS storage_pct,
@@ -461,12 +459,13 @@ SELECT day, storage_pct, event_pct FROM (SELECT day,
       / nullif(lag(n) OVER (ORDER BY day), 0) AS event_pct
   FROM (SELECT date_trunc('day', ingestion_time)::timestamp AS day, count(*) AS n,
       cast(sum((length(raw_json) + 500) * (1 + day(ingestion_time) % 3)) AS bigint) AS b
-    FROM raw_events GROUP BY 1)) WHERE storage_pct > 10 AND event_pct <= 10""")
+    FROM raw_events WHERE ingestion_time >= date_trunc('day', {x.MONTH_AGO})
+    GROUP BY 1)) WHERE storage_pct > 10 AND event_pct <= 10""")
 def _(t):
     size = (F.length("raw_json") + 500) * (1 + F.dayofmonth("ingestion_time") % 3)
     days = t.raw.groupBy(truncated("day", "ingestion_time").alias("day")).agg(
         F.sum(size).alias("total_bytes"))
-    return alerts.storage_growth(days, t.raw)
+    return alerts.storage_growth(days, t.raw, AS_OF)
 
 
 @query("a14_missed_targets", f"""
@@ -474,12 +473,12 @@ SELECT 'idle_percent' AS target, cast(cast(day AS date) AS varchar) AS subject,
   idle_percent AS value FROM ({IDLE}) WHERE idle_percent >= 10
 UNION ALL SELECT 'scan_share', cast(query_id AS varchar),
   cast(partitions_scanned AS double) / nullif(partitions_total, 0)
-  FROM ({SLOWEST.format(days=4001)}) 
+  FROM ({SLOWEST.format(days=31)})
   WHERE cast(partitions_scanned AS double) / nullif(partitions_total, 0) >= cast(0.1 AS double)
 UNION ALL SELECT 'seconds', cast(query_id AS varchar), execution_time_sec
-  FROM ({SLOWEST.format(days=4001)}) WHERE execution_time_sec >= 5""")
+  FROM ({SLOWEST.format(days=31)}) WHERE execution_time_sec >= 5""")
 def _(t):
-    return alerts.missed_targets(t.metering, t.queries, AS_OF_TASKS, AS_OF_PRUNE - LONG_AGO)
+    return alerts.missed_targets(t.metering, t.queries, AS_OF_TASKS, MONTH_BEFORE)
 
 
 @query("a15_quality_violations", " UNION ALL ".join([
@@ -512,7 +511,7 @@ def _(t):
 
 @query("x03_scd2_apply", f"""
 WITH updates AS (SELECT user_id, max(zone_id) AS department FROM raw_events
-  WHERE user_id <> 'USR-002' GROUP BY 1),
+  GROUP BY 1),
 merged AS (SELECT s.user_id, s.user_name, s.user_type, s.clearance_level,
     s.department AS old_department, u.department AS new_department,
     u.user_id IS NOT NULL AS touched FROM seed_users s LEFT JOIN updates u USING (user_id))
@@ -524,7 +523,7 @@ UNION ALL SELECT user_id, user_name, new_department, TRUE, NULL, {x.stamp(LOAD_T
 UNION ALL SELECT user_id, 'UNKNOWN', department, TRUE, NULL, {x.stamp(LOAD_TIME)}
   FROM updates WHERE user_id NOT IN (SELECT user_id FROM seed_users)""")
 def _(t):
-    latest = t.raw.filter("user_id <> 'USR-002'").groupBy("user_id").agg(
+    latest = t.raw.groupBy("user_id").agg(
         F.max("zone_id").alias("department"))
     known = t.seeded_users.select("user_id", "user_name", "user_type", "clearance_level")
     unknown = {c: "UNKNOWN" for c in ("user_name", "user_type")} | {"clearance_level": "PUBLIC"}
@@ -549,22 +548,23 @@ def _(t):
 
 
 @query("x05_table_wide_dedupe", """
-SELECT seq, badge_id, event_timestamp FROM (SELECT * FROM stg_events
-  WHERE batch_date = DATE '2024-01-16') b
+SELECT seq, badge_id, event_timestamp FROM (SELECT * FROM raw_events
+  WHERE cast(ingestion_time AS date) >= DATE '2024-01-16' QUALIFY row_number() OVER (
+    PARTITION BY badge_id, event_timestamp ORDER BY ingestion_time DESC, seq DESC) = 1) b
 WHERE NOT EXISTS (SELECT 1 FROM stg_events o WHERE o.batch_date < DATE '2024-01-16'
   AND o.badge_id = b.badge_id AND o.event_timestamp = b.event_timestamp)
 UNION ALL SELECT seq, badge_id, event_timestamp FROM stg_events
 WHERE batch_date < DATE '2024-01-16'""")
 def _(t):
     earlier = t.stg.filter("batch_date < DATE '2024-01-16'")
-    batch = facts.stage_batch(t.raw.filter(F.to_date("ingestion_time") == "2024-01-16"))
+    batch = facts.stage_batch(t.raw.filter(F.to_date("ingestion_time") >= "2024-01-16"))
     merged = earlier.unionByName(facts.unstaged(batch, earlier), allowMissingColumns=True)
     return merged.select("seq", "badge_id", "event_timestamp")
 
 
 @query("x06_latency_distribution", LATENCY)
 def _(t):
-    return reports.latency_distribution(t.facts)
+    return reports.latency_distribution(t.facts, AS_OF, 30 * views.DAY)
 
 
 @query("x07_extended_hourly_metrics", f"""
@@ -603,10 +603,18 @@ def _(t):
     return reports.cost_estimate(With(t, tasks=recent), AS_OF)
 
 
-@query("x11_reader_attributes", """
-SELECT seq, reader_id, cast(NULL AS varchar) AS reader_name,
-  cast(NULL AS varchar) AS firmware_version, cast(NULL AS boolean) AS is_online
-FROM raw_events""")
-def _(t):
-    return dims.with_reader(t.raw, t.readers).select(
+@query("x11_reader_attributes", f"""
+SELECT seq, reader_id, reader_name, firmware_version, is_online
+FROM raw_events LEFT JOIN (SELECT reader_id, concat('Reader ', reader_id) AS reader_name,
+    concat('1.', count(DISTINCT zone_id)) AS firmware_version,
+    max(ingestion_time) >= {x.DAY_AGO} AS is_online
+  FROM raw_events WHERE reader_id <> 'RDR-UNKNOWN' GROUP BY reader_id) r USING (reader_id)""")
+def _(t):
+    heard = F.max("ingestion_time") >= ntz(AS_OF - views.DAY)
+    readers = t.raw.filter("reader_id <> 'RDR-UNKNOWN'").groupBy("reader_id").agg(
+        F.concat(F.lit("Reader "), F.col("reader_id")).alias("reader_name"),
+        F.concat(F.lit("1."), F.countDistinct("zone_id").cast("string"))
+        .alias("firmware_version"),
+        heard.alias("is_online"))
+    return dims.with_reader(t.raw, readers).select(
         "seq", "reader_id", "reader_name", "firmware_version", "is_online")

@@ -37,13 +37,10 @@ def _(t):
 
 @query("join03_unloaded_events", """
 SELECT s.badge_id, s.event_timestamp, s.seq FROM stg_events s
-JOIN dim_zones z ON s.zone_id = z.zone_id
-LEFT JOIN (SELECT * FROM fct_events WHERE event_date < DATE '2024-01-21') f
-  ON s.badge_id = f.badge_id AND s.event_timestamp = f.event_timestamp
+LEFT JOIN fct_events f ON s.badge_id = f.badge_id AND s.event_timestamp = f.event_timestamp
 WHERE f.badge_id IS NULL""")
 def _(t):
-    loaded = t.facts.filter("event_date < DATE '2024-01-21'")
-    rows = facts.load_facts(t.stg, t.users, t.zones, loaded)
+    rows = facts.load_facts(t.stg, t.users, t.zones, t.facts, how="left")
     return rows.select("badge_id", "event_timestamp", "seq")
 
 

@@ -35,6 +35,35 @@ def assign_keys(
     return placed.withColumn(key, F.lit(start) + F.monotonically_increasing_id())
 
 
+def dense_keys(
+    df: DataFrame, key: str, start: int, by: Sequence[str], partitions: int | None = None
+) -> DataFrame:
+    """Number rows start, start + 1, … without gaps, placed as ``assign_keys`` places them.
+
+    Rows are counted per task first, so ``df`` is evaluated twice; only these counts reach
+    the driver, and each task begins where the one before it ends.
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartition(n, F.xxhash64(*by)).sortWithinPartitions(*by)
+    return placed.withColumn(key, F.lit(start) + within_task(placed))
+
+
+def within_task(placed: DataFrame, row: Column | None = None) -> Column:
+    """A row's place among all rows, task after task; ``row`` is its monotonic id."""
+    row = F.monotonically_increasing_id() if row is None else row
+    counts = {
+        r["task"]: r["n"]
+        for r in placed.select(F.shiftright(row, 33).alias("task"))
+        .groupBy("task").agg(F.count("*").alias("n")).collect()
+    }
+    before, total = [], 0
+    for task in range(max(counts, default=-1) + 1):
+        before.append(total)
+        total += counts.get(task, 0)
+    shift = F.get(F.lit(before or [0]).cast("array<bigint>"), F.shiftright(row, 33).cast("int"))
+    return shift + row.bitwiseAND(F.lit((1 << 33) - 1))
+
+
 def next_key(df: DataFrame, key: str) -> int:
     """One past the largest key."""
     return (df.agg(F.max(key)).first()[0] or 0) + 1
@@ -55,9 +84,12 @@ def new_user_rows(
     partitions: int | None = None,
 ) -> DataFrame:
     """The rows an insert-only merge adds to the user dimension."""
-    keyed = assign_keys(
-        unknown_user_ids(events, users), "user_key", start, ["user_id"], partitions
-    )
+    ids = unknown_user_ids(events, users)
+    return user_rows(assign_keys(ids, "user_key", start, ["user_id"], partitions), load_ts)
+
+
+def user_rows(keyed: DataFrame, load_ts: datetime) -> DataFrame:
+    """Dimension rows for keyed user ids that no attribute is known of."""
     now = ntz(load_ts)
     values = {
         **{name: F.lit(value) for name, value in UNKNOWN_USER.items()},

@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatelog.functions.times import truncate
+from gatelog.functions.times import lookback, ntz, truncate
 from gatelog.operators.sequences import change_pct, hour_spine, runs, with_previous
 from gatelog.plans import reports, views
 from gatelog.plans.views import DAY
 
 
-def failed_runs(tables, as_of: datetime) -> DataFrame:
-    return views.task_execution_history(tables, as_of).filter(F.col("state") == "FAILED")
+def failed_runs(tables, as_of: datetime, span: timedelta = DAY) -> DataFrame:
+    return views.task_runs(tables, as_of, span).filter(F.col("state") == "FAILED")
 
 
 def ingestion_stopped(tables, as_of: datetime, hours: int = 2) -> DataFrame:
@@ -86,9 +86,13 @@ def quality_violations(
     )
 
 
-def high_latency(facts: DataFrame, average: float = 180, maximum: float = 300) -> DataFrame:
+def high_latency(
+    facts: DataFrame, as_of: datetime, average: float = 180, maximum: float = 300,
+    span: timedelta = DAY,
+) -> DataFrame:
+    """Lag buckets of the facts loaded within ``span`` that exceed a limit."""
     over = (F.col("avg_latency_seconds") > average) | (F.col("max_latency_seconds") > maximum)
-    return reports.latency_distribution(facts).filter(over)
+    return reports.latency_distribution(facts, as_of, span).filter(over)
 
 
 def cost_spike(tables, as_of: datetime, threshold: float = 50) -> DataFrame:
@@ -103,15 +107,19 @@ def cost_spike(tables, as_of: datetime, threshold: float = 50) -> DataFrame:
     return compared.withColumn("change_pct", change).filter(F.col("change_pct") > threshold)
 
 
-def slow_runs(tables, as_of: datetime, seconds: int = 30) -> DataFrame:
-    history = views.task_execution_history(tables, as_of)
-    return history.filter(F.col("duration_seconds") > seconds)
+def slow_runs(
+    tables, as_of: datetime, seconds: int = 30, span: timedelta = DAY
+) -> DataFrame:
+    runs_in_span = views.task_runs(tables, as_of, span)
+    return runs_in_span.filter(F.col("duration_seconds") > seconds)
 
 
-def idle_runs(tables, as_of: datetime, count: int = 5, run_id: str = "run_id") -> DataFrame:
+def idle_runs(
+    tables, as_of: datetime, count: int = 5, span: timedelta = DAY
+) -> DataFrame:
     """Tasks with more than ``count`` consecutive runs that processed no row."""
-    history = views.task_execution_history(tables, as_of, extra=("rows_processed", run_id))
-    order = [F.col("scheduled_time"), F.col(run_id), F.col("completed_time")]
+    history = views.task_runs(tables, as_of, span, extra=("rows_processed", "run_id"))
+    order = [F.col("scheduled_time"), F.col("run_id"), F.col("completed_time")]
     idle = runs(history, ["task_name"], order, F.col("rows_processed") == 0)
     return (
         idle.groupBy("task_name", "run")
@@ -146,12 +154,19 @@ def unhealthy_channels(log: DataFrame, as_of: datetime, silent_seconds: int = 30
     return channels.filter((F.col("status") == "ERROR") | stalled)
 
 
-def storage_growth(storage_days: DataFrame, raw: DataFrame, threshold: float = 10) -> DataFrame:
-    """Days whose storage grew by more than ``threshold`` percent while events did not.
+def storage_growth(
+    storage_days: DataFrame, raw: DataFrame, as_of: datetime, threshold: float = 10,
+    span: timedelta = 30 * DAY,
+) -> DataFrame:
+    """Days within ``span`` whose storage grew by more than ``threshold`` percent while
+    events did not.
 
-    ``storage_days`` holds one ``(day, total_bytes)`` row per day.
+    ``storage_days`` holds one ``(day, total_bytes)`` row per day. The span begins with a
+    whole day, so that no day is compared with a part of one.
     """
-    events = raw.groupBy(truncate("day", F.col("ingestion_time")).alias("day")).agg(
+    oldest = datetime.combine((as_of - span).date(), datetime.min.time())
+    storage_days = storage_days.filter(F.col("day") >= ntz(oldest))
+    events = lookback(raw, "ingestion_time", as_of - oldest, as_of).groupBy(truncate("day", F.col("ingestion_time")).alias("day")).agg(
         F.count("*").alias("event_count")
     )
     daily = storage_days.join(events, "day")

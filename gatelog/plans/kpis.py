@@ -107,8 +107,7 @@ def cost_totals(tables, as_of: datetime) -> DataFrame:
 
 def newest_runs(tables, as_of: datetime, n: int = 50) -> DataFrame:
     """The newest runs of the task history; ties by the remaining columns."""
-    extra = ("run_id",) if "run_id" in tables.tasks.columns else ("batch_id",)
-    history = views.task_execution_history(tables, as_of, extra=extra)
+    history = views.task_execution_history(tables, as_of, extra=("run_id",))
     return top_n(history, n, newest_first("scheduled_time"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatelog.functions.numbers import gib, ratio
@@ -301,32 +301,72 @@ def runs_by_prefix(tables, prefix: str, n: int = 10) -> DataFrame:
     return top_n(matching.select(*RUN_COLUMNS), n, newest_first("scheduled_time"))
 
 
-def latency_distribution(facts: DataFrame, accuracy: int | None = None) -> DataFrame:
-    """Event-to-fact latency per bucket: count, mean, maximum, 95th percentile.
+def latency_distribution(
+    facts: DataFrame, as_of: datetime, span: timedelta = DAY
+) -> DataFrame:
+    """Event-to-fact latency of the facts loaded within ``span``, per bucket: count, mean,
+    maximum, 95th percentile.
 
-    Counted per whole second first, so the percentile holds one entry per distinct
-    second of lateness. ``accuracy`` switches to the sketch, for unbounded lateness.
+    Counted per whole second first. The percentile interpolates between the two seconds
+    around its rank, which running counts over the sorted seconds find; no buffer holds a
+    bucket's seconds.
     """
+    recent = lookback(facts, "fact_load_time", span, as_of)
     seconds = seconds_between(F.col("event_timestamp"), F.col("fact_load_time"))
-    per_second = facts.groupBy(seconds.alias("s")).agg(F.count("*").alias("n"))
+    per_second = recent.groupBy(seconds.alias("s")).agg(F.count("*").alias("n"))
     s, n = F.col("s"), F.col("n")
     bucket = (
         F.when(s < 60, "0-60s").when(s < 120, "60-120s").when(s < 180, "120-180s")
         .when(s < 300, "180-300s").otherwise("300s+")
     )
-    if accuracy:
-        p95 = F.percentile_approx("s", 0.95, accuracy)
-        source, total = facts.select(seconds.alias("s"), F.lit(1).alias("n")), F.count("*")
-    else:
-        p95, source, total = F.percentile("s", 0.95, n), per_second, F.sum("n")
-    return source.groupBy(bucket.alias("lag_bucket")).agg(
-        total.alias("event_count"),
-        (F.sum(s * n) / total).alias("avg_latency_seconds"),
+    bucketed = per_second.withColumn("lag_bucket", bucket)
+    totals = bucketed.groupBy("lag_bucket").agg(
+        F.sum("n").alias("event_count"),
+        (F.sum(s * n) / F.sum("n")).alias("avg_latency_seconds"),
         F.max("s").alias("max_latency_seconds"),
+    )
+    # position of the percentile among 0 … count - 1, and the seconds on both its sides
+    counted = running_counts(bucketed, ["lag_bucket"], "s", "n").join(totals, "lag_bucket")
+    position = (F.col("event_count") - 1) * F.lit(0.95)
+    low, high = F.floor(position), F.ceil(position)
+    at = lambda rank: F.max(
+        F.when((F.col("before") <= rank) & (rank < F.col("before") + n), s)
+    )
+    around = counted.groupBy(
+        "lag_bucket", "event_count", "avg_latency_seconds", "max_latency_seconds"
+    ).agg(at(low).alias("_low"), at(high).alias("_high"))
+    share = position - F.floor(position)
+    p95 = F.col("_low") + (F.col("_high") - F.col("_low")) * share
+    return around.select(
+        "lag_bucket", "event_count", "avg_latency_seconds", "max_latency_seconds",
         F.round(p95, 6).alias("p95_latency_seconds"),
     )
 
 
+def running_counts(
+    df: DataFrame, keys: list[str], value: str, count: str, width: int = 3600
+) -> DataFrame:
+    """Adds ``before``: the sum of ``count`` over the smaller values of the same key.
+
+    Values are summed in ranges of ``width`` first, so that a window holds the values of
+    one range, or one row per range, and never all values of a key.
+    """
+    ranged = df.withColumn("_range", F.floor(F.col(value) / width))
+    sums = ranged.groupBy(*keys, "_range").agg(F.sum(count).alias("_sum"))
+    ranges = Window.partitionBy(*keys).orderBy("_range")
+    within = Window.partitionBy(*keys, "_range").orderBy(value)
+    upto = (Window.unboundedPreceding, -1)
+    shifts = sums.select(
+        *keys, "_range",
+        F.coalesce(F.sum("_sum").over(ranges.rowsBetween(*upto)), F.lit(0)).alias("_shift"),
+    )
+    own = F.coalesce(F.sum(count).over(within.rowsBetween(*upto)), F.lit(0))
+    placed = ranged.withColumn("_own", own).join(shifts, [*keys, "_range"])
+    return placed.withColumn("before", F.col("_own") + F.col("_shift")).drop(
+        "_own", "_range", "_shift"
+    )
+
+
 def channel_table(log: DataFrame, as_of: datetime, closed_after: timedelta = DAY) -> DataFrame:
     """One row per task of the batch log, as a channel.
 

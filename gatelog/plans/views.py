@@ -296,14 +296,28 @@ def task_execution_history(
     limit: int = 1000,
     extra: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Newest task runs of the last day. The limit applies before the database filter.
+    """Newest task runs of the last day. The limit is the published view's result limit
+    and applies before the database filter; ``task_runs`` has all runs.
 
     ``extra`` names further log columns to keep, such as rows_processed.
     """
     recent = lookback(tables.tasks, "scheduled_time", DAY, as_of)
     newest = top_n(recent, limit, newest_first("scheduled_time"))
+    return _described_runs(newest, database, extra).orderBy(newest_first("scheduled_time"))
+
+
+def task_runs(
+    tables, as_of: datetime, span: timedelta = DAY, database: str = "DEMO",
+    extra: tuple[str, ...] = (),
+) -> DataFrame:
+    """Every task run scheduled within ``span``, with the columns of the view above."""
+    recent = lookback(tables.tasks, "scheduled_time", span, as_of)
+    return _described_runs(recent, database, extra)
+
+
+def _described_runs(runs: DataFrame, database: str, extra: tuple[str, ...]) -> DataFrame:
     return (
-        newest.filter(F.col("database_name") == database)
+        runs.filter(F.col("database_name") == database)
         .withColumns(
             {
                 "task_name": F.col("name"),
@@ -314,7 +328,6 @@ def task_execution_history(
             }
         )
         .select(*TASK_COLUMNS, *extra)
-        .orderBy(newest_first("scheduled_time"))
     )
 
 

@@ -55,6 +55,6 @@ FACTS = _struct(
 BATCH_LOG = _struct(
     name=STRING, database_name=STRING, state=STRING, scheduled_time=NTZ, completed_time=NTZ,
     error_code=STRING, error_message=STRING, rows_processed=LONG, batch_id=LONG,
-    error_count=LONG, bytes_processed=LONG, max_event_key=LONG,
+    error_count=LONG, bytes_processed=LONG, max_event_key=LONG, run_id=STRING,
 )
 RUN_METADATA = _struct(deployment_timestamp=NTZ, account_identifier=STRING, expires_date=DATE)

@@ -129,10 +129,12 @@ def with_variant(df: DataFrame, column: str = "raw_json") -> DataFrame:
     return df.withColumn("payload", F.try_parse_json(column))
 
 
-def _first_copies(token: str):
+def _newest_copies(token: str, event_time: str):
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            first = batch.column(token).to_pandas().drop_duplicates().index
+            copies = batch.select([token, event_time]).to_pandas()
+            newest = copies.sort_values(event_time, ascending=False, kind="stable")
+            first = newest.drop_duplicates(token).index
             yield batch.take(pa.array(first, pa.int64()))
 
     return keep
@@ -143,11 +145,12 @@ def dedupe_retries(df: DataFrame, token: str, event_time: str, delay: str) -> Da
 
     Spark's streaming duplicate check shuffles every copy to the task that owns the
     token. Dropping copies inside each Arrow batch first keeps a token that is resent
-    without end from swamping that task.
+    without end from swamping that task. The copy with the newest event time stays: if
+    that one is too late for the watermark, so are all others.
     """
     if not df.isStreaming:
         return df.dropDuplicates([token])
-    timed = df.mapInArrow(_first_copies(token), df.schema).withColumn(
+    timed = df.mapInArrow(_newest_copies(token, event_time), df.schema).withColumn(
         "_event_time", F.col(event_time).cast("timestamp")
     )
     kept = timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark([token])

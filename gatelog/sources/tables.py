@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gatelog import schemas
-from gatelog.functions.times import seconds_between
+from gatelog.operators.dims import next_key
 from gatelog.sources.events import rejected
 from gatelog.sources.seeds import empty_readers, local_table, seed_users, seed_zones
 
@@ -119,6 +119,9 @@ class Warehouse:
         }
         for name, df in tables.items():
             df.write.mode("overwrite").parquet(self.path(name))
+        for folder in ("keys", "waiting", "aside"):
+            files, at, _ = self._files(self.root)
+            files.delete(at(folder), True)
         for name, schema, keys in (
             ("landing", LANDING, LANDING_PARTITIONS),
             ("stg", STAGING, ("batch_id", "staging_date")),
@@ -145,6 +148,57 @@ class Warehouse:
         writer = dated.write.mode("append").options(**BADGE_LOOKUP)
         writer.partitionBy(*FACT_PARTITIONS).parquet(self.path("facts"))
 
+    def replace_zones(self, zones: DataFrame) -> None:
+        """Zones are type 1: one row each, the whole table written anew."""
+        zones.write.mode("overwrite").parquet(self.path("zones"))
+
+    def aside(self, name: str, df: DataFrame) -> DataFrame:
+        """Rows written next to the tables by the one load that runs, and read back."""
+        path = self.path(f"aside/{name}")
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _files(self, path: str):
+        """Hadoop's view of a folder: its file system, its path, the names in it."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        files = folder.getFileSystem(conf)
+        names = [f.getPath().getName() for f in files.listStatus(folder)] if (
+            files.exists(folder)) else []
+        return files, lambda name: jvm.org.apache.hadoop.fs.Path(folder, name), names
+
+    def reserve_keys(self, table: str, key: str, count: int) -> int:
+        """The first of ``count`` keys that no other call gets.
+
+        The last reserved key is the name of an empty file; the one before it is kept, so
+        the folder holds two. A table without such a file is asked for its largest key,
+        once. Tables have one writer at a time; a second one fails on the file it would
+        overwrite, or takes later keys.
+        """
+        files, at, names = self._files(self.path(f"keys/{table}"))
+        reserved = sorted(int(name) for name in names)
+        last = reserved[-1] if reserved else next_key(getattr(self, table), key) - 1
+        files.create(at(f"{last + count:019d}"), False).close()
+        for old in reserved[:-1]:
+            files.delete(at(f"{old:019d}"), False)
+        return last + 1
+
+    def waiting_before(self, batch_id: int) -> DataFrame | None:
+        """Staged rows whose zone no batch before this one knew; None if there were none."""
+        _, _, names = self._files(self.path("waiting"))
+        earlier = [b for b in _batches(names) if b < batch_id]
+        if not earlier:
+            return None
+        return self.read(f"waiting/batch_id={max(earlier)}", STAGING_DATED)
+
+    def write_waiting(self, rows: DataFrame, batch_id: int) -> None:
+        """All rows that wait after this batch; the version it was made from stays, for a replay."""
+        columns = rows.select(*STAGING_DATED.names)
+        columns.write.mode("overwrite").parquet(self.path(f"waiting/batch_id={batch_id}"))
+        files, at, names = self._files(self.path("waiting"))
+        for old in sorted(b for b in _batches(names) if b < batch_id)[:-1]:
+            files.delete(at(f"batch_id={old}"), True)
+
     def write_run_metadata(self, account: str, expires: date, now: datetime) -> None:
         """One row, replaced on each deployment."""
         row = {
@@ -158,6 +212,10 @@ class Warehouse:
         return self.read("run_metadata", schemas.RUN_METADATA)
 
 
+def _batches(names: list[str]) -> list[int]:
+    return [int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id=")]
+
+
 def cluster_by_date(df: DataFrame) -> DataFrame:
     """Group rows by event date and order them by time inside each task.
 
@@ -168,9 +226,3 @@ def cluster_by_date(df: DataFrame) -> DataFrame:
         "event_date", "event_timestamp"
     )
 
-
-def with_duration(tasks: DataFrame) -> DataFrame:
-    """Task runs with whole seconds from schedule to completion."""
-    duration = seconds_between(F.col("scheduled_time"), F.col("completed_time"))
-    return tasks.withColumn("duration_seconds", duration)
-

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from gatelog import schemas
 from gatelog.functions.numbers import sum_if
 from gatelog.functions.times import ntz
-from gatelog.operators.dims import new_user_rows, next_key, unknown_user_ids
+from gatelog.operators.dims import dense_keys, unknown_user_ids, user_rows, within_task
 from gatelog.operators.facts import (
     dates_present,
     drop_faint,
@@ -98,7 +99,7 @@ def log_batch(warehouse: Warehouse, name: str, batch_id: int, state: str, **fiel
     """Append one run to the batch log."""
     row = {
         "name": name, "database_name": DATABASE, "state": state, "batch_id": batch_id,
-        "completed_time": utc_now(), **fields,
+        "completed_time": utc_now(), "run_id": uuid4().hex, **fields,
     }
     entry = local_table(warehouse.spark, [row], schemas.BATCH_LOG)
     warehouse.append(entry.coalesce(1), "batch_log")
@@ -114,7 +115,7 @@ def _logged(
     except Exception as error:
         log_batch(
             warehouse, name, batch_id, "FAILED", scheduled_time=started, rows_processed=0,
-            error_count=1, error_code=type(error).__name__, error_message=str(error)[:500],
+            error_count=1, error_code=type(error).__name__, error_message=str(error),
         )
         raise
     state = "SUCCEEDED" if result["rows_processed"] else "SKIPPED"
@@ -145,58 +146,34 @@ def _stage(
     }
 
 
-def _first_event_key(warehouse: Warehouse) -> int:
-    """Where this run's fact keys start.
-
-    The log knows the last key, unless an earlier run was staged and its outcome never
-    logged: it may have appended facts, so then the facts themselves are asked. The
-    newest staging entry is this run's own.
-    """
-    log, state = warehouse.batch_log, F.col("state")
-    loaded = (F.col("name") == FACT_TASK) & state.isin("SUCCEEDED", "SKIPPED")
-    finished, last_key = log.agg(
-        F.max(F.when(loaded, F.col("completed_time"))), F.max("max_event_key")
-    ).first()
-    staged = log.filter((F.col("name") == STAGE_TASK) & (state == "SUCCEEDED"))
-    newest = staged.orderBy(F.desc("completed_time")).limit(2).collect()
-    earlier = newest[1].completed_time if len(newest) > 1 else None
-    if earlier and (finished is None or earlier > finished):
-        return next_key(warehouse.facts, "event_key")
-    return (last_key or 0) + 1
-
-
 def create_unknown_users(
     warehouse: Warehouse, staged: DataFrame, load_ts: datetime, partitions: int | None
 ) -> None:
     """Append a row for each user id without a current one; usually there is none."""
-    users = warehouse.users
-    if not unknown_user_ids(staged, users).isEmpty():
-        first = next_key(users, "user_key")
-        warehouse.append(new_user_rows(staged, users, load_ts, first, partitions), "users")
+    ids = unknown_user_ids(staged, warehouse.users)
+    n = ids.count()
+    if n:
+        first = warehouse.reserve_keys("users", "user_key", n)
+        keyed = dense_keys(ids, "user_key", first, ["user_id"], partitions)
+        warehouse.append(user_rows(keyed, load_ts), "users")
 
 
-def append_new_facts(
-    warehouse: Warehouse, rows: DataFrame, first_key: int, load_ts: datetime
-) -> dict:
-    """Append facts with keys from ``first_key`` on; returns rows written and last key.
+def append_new_facts(warehouse: Warehouse, rows: DataFrame, load_ts: datetime) -> dict:
+    """Append facts with the next keys, without gaps; returns rows written and last key.
 
-    Keys are unique per task and row; a task leaves 2^33 keys to the next, so the 64-bit
-    range lasts for 2^30 written tasks.
+    The rows are written aside once, so that they can be counted per task before they get
+    their keys. The keys are reserved before the facts are written: a lost attempt leaves
+    a gap, never a key that is used twice.
     """
-    keyed = fact_columns(
-        cluster_by_date(rows), F.lit(first_key) + F.monotonically_increasing_id(), load_ts
-    )
-    seen = Observation()
-    warehouse.append_facts(
-        keyed.observe(
-            seen, F.count("*").alias("rows"), F.max("event_key").alias("last_key")
-        )
-    )
-    last_key = seen.get["last_key"]
-    return {
-        "rows_processed": seen.get["rows"],
-        "max_event_key": first_key - 1 if last_key is None else last_key,
-    }
+    aside = warehouse.aside("facts", rows.withColumn("_row", F.monotonically_increasing_id()))
+    n = aside.count()
+    if not n:
+        return {"rows_processed": 0}
+    first = warehouse.reserve_keys("facts", "event_key", n)
+    key = F.lit(first) + within_task(aside, F.col("_row"))
+    keyed = aside.withColumn("event_key", key).drop("_row")
+    warehouse.append_facts(fact_columns(cluster_by_date(keyed), F.col("event_key"), load_ts))
+    return {"rows_processed": n, "max_event_key": first + n - 1}
 
 
 def _load(
@@ -204,11 +181,26 @@ def _load(
 ) -> dict:
     staged = warehouse.staged_in(batch_id)
     create_unknown_users(warehouse, staged, load_ts, options.key_partitions)
+    if options.dimension_join == "inner":
+        staged = _with_waiting(warehouse, staged, batch_id)
     rows = load_facts(
         staged, warehouse.users, warehouse.zones, warehouse.facts,
         unique=options.unique_facts, how=options.dimension_join, dates=dates_present(staged),
     )
-    return append_new_facts(warehouse, rows, _first_event_key(warehouse), load_ts)
+    return append_new_facts(warehouse, rows, load_ts)
+
+
+def _with_waiting(warehouse: Warehouse, staged: DataFrame, batch_id: int) -> DataFrame:
+    """The batch and what waited for its zone; what still has none waits on.
+
+    The cost is that of the batch and of the waiting rows, whatever has been staged.
+    """
+    waiting = warehouse.waiting_before(batch_id)
+    both = staged if waiting is None else staged.unionByName(waiting)
+    unknown = both.join(warehouse.zones.select("zone_id"), "zone_id", "left_anti")
+    if waiting is not None or not unknown.isEmpty():
+        warehouse.write_waiting(unknown, batch_id)
+    return both
 
 
 def run_batch(
@@ -266,11 +258,6 @@ def process_badge_events(
     both loaded; the streaming path never meets that case.
     """
     staged = warehouse.stg.drop("batch_id")
-    now = utc_now()
-    log_batch(
-        warehouse, STAGE_TASK, WHOLE_STAGING, "SUCCEEDED", scheduled_time=now,
-        rows_processed=0, error_count=0,
-    )
 
     def load() -> dict:
         create_unknown_users(warehouse, staged, load_ts, partitions)
@@ -278,7 +265,7 @@ def process_badge_events(
             staged, warehouse.users, warehouse.zones, warehouse.facts,
             dates=dates_present(staged),
         )
-        return append_new_facts(warehouse, rows, _first_event_key(warehouse), load_ts)
+        return append_new_facts(warehouse, rows, load_ts)
 
     loaded = _logged(warehouse, FACT_TASK, WHOLE_STAGING, load)
     return {"status": "COMPLETED", "facts_loaded": loaded["rows_processed"]}
@@ -309,18 +296,20 @@ def hourly_metrics(events: DataFrame, watermark: str | None = None) -> DataFrame
 def start_hourly_metrics(
     events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Keep the table of all hours up to date, one version per micro-batch.
+    """Keep the table of all hours up to date: a partition per hour, rewritten when it changes.
 
-    State and output are one row per hour, so complete mode stays small. Readers take
-    the highest version.
+    A micro-batch writes the hours it has events of and no others. A repeated batch
+    writes the same rows again.
     """
 
     def publish(hours: DataFrame, batch_id: int) -> None:
-        hours.coalesce(1).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        named = hours.withColumn("hour", F.date_format("ingestion_hour", "yyyy-MM-dd-HH"))
+        writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("hour").parquet(path)
 
     return (
         hourly_metrics(events)
-        .writeStream.outputMode("complete")
+        .writeStream.outputMode("update")
         .foreachBatch(publish)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or EVERY_MINUTE))

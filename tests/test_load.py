@@ -1,7 +1,7 @@
 """The load over real files: replay, failures, late keys, streams against batch."""
 
 import json
-from datetime import timedelta
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -219,3 +219,25 @@ def test_deployment_metadata_is_one_row(warehouse):
     for account in ("one", "two"):
         warehouse.write_run_metadata(account, NOW.date(), NOW)
     assert [r.account_identifier for r in warehouse.run_metadata.collect()] == ["two"]
+
+
+def test_a_timely_copy_survives_beside_a_late_one(spark, tmp_path):
+    """A late and a timely copy of a token in one file: the event is kept."""
+    start = datetime(2024, 1, 1)
+    files = [
+        [(1, start + timedelta(hours=5))],
+        [(7, start), (7, start + timedelta(hours=5)), (2, start + timedelta(hours=5))],
+        [(7, start + timedelta(hours=5, minutes=1))],
+    ]
+    inbox = tmp_path / "inbox"
+    for i, rows in enumerate(files):
+        frame = spark.createDataFrame(rows, "token int, at timestamp_ntz").coalesce(1)
+        frame.write.mode("append").parquet(str(inbox))
+        for new in sorted(inbox.glob("part-*.parquet")):
+            new.rename(inbox / f"{i}-{new.name.removeprefix('part-')}")
+    stream = spark.readStream.schema("token int, at timestamp_ntz").option(
+        "maxFilesPerTrigger", 1).parquet(str(inbox))
+    once = dedupe_retries(stream, "token", "at", "1 hour")
+    once.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ckpt")).trigger(
+        availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+    assert sorted(r.token for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 7]

@@ -8,6 +8,7 @@ from conftest import NOW
 from pyspark.sql import functions as F
 
 from gatelog import schemas
+from gatelog.catalog.feeds import AS_OF as feeds_as_of
 from gatelog.operators import facts
 from gatelog.plans import alerts, kpis, reports, views
 from gatelog.sources.seeds import seed_users, seed_zones
@@ -151,11 +152,18 @@ def test_channel_states(spark):
     assert {r.channel_name for r in unhealthy.collect()} == {"bad", "stalled"}
 
 
-def test_latency_sketch_agrees_on_counts(feeds):
-    exact = {r.lag_bucket: r for r in reports.latency_distribution(feeds.facts).collect()}
-    sketch = reports.latency_distribution(feeds.facts, accuracy=10000).collect()
-    for row in sketch:
-        other = exact[row.lag_bucket]
-        assert (row.event_count, row.max_latency_seconds) == (
-            other.event_count, other.max_latency_seconds)
-        assert abs(row.p95_latency_seconds - other.p95_latency_seconds) < 60
+def test_latency_percentile_matches_the_one_of_all_rows(spark, feeds):
+    span = timedelta(days=30)
+    got = reports.latency_distribution(feeds.facts, feeds_as_of, span).collect()
+    seconds = feeds.facts.selectExpr(
+        "unix_seconds(cast(fact_load_time AS timestamp)) "
+        "- unix_seconds(cast(event_timestamp AS timestamp)) AS s")
+    slow = seconds.filter("s >= 300").selectExpr("percentile(s, 0.95) AS p", "count(*) AS n")
+    want = slow.first()
+    row = next(r for r in got if r.lag_bucket == "300s+")
+    assert (row.event_count, row.p95_latency_seconds) == (want.n, round(want.p, 6))
+
+
+def test_only_recent_facts_count_as_latency(feeds):
+    later = feeds_as_of + timedelta(days=60)
+    assert reports.latency_distribution(feeds.facts, later).collect() == []

@@ -36,6 +36,24 @@ def digest(data: Column) -> Column:
     return F.unhex(F.substring(F.sha2(data, 256), 1, 32))
 
 
+def whole(df: DataFrame) -> Column:
+    """All columns of a row as one struct, so that no other column can clash with them."""
+    return F.struct(*(F.col(f"`{name}`") for name in df.columns))
+
+
+def only(docs: DataFrame, kept: DataFrame, **marks: Column) -> DataFrame:
+    """The rows of ``docs`` whose marks occur in ``kept``, one row for each; nulls equal nulls.
+
+    ``marks`` are columns of ``docs`` by the name they have in ``kept``.
+    """
+    marked = docs.select(whole(docs).alias("own"), *(c.alias(n) for n, c in marks.items()))
+    wanted = kept.select(*(F.col(n).alias(f"kept_{n}") for n in marks))
+    same = F.lit(True)
+    for n in marks:
+        same = same & F.col(n).eqNullSafe(F.col(f"kept_{n}"))
+    return marked.join(wanted, same, "left_semi").dropDuplicates(list(marks)).select("own.*")
+
+
 def numbered(df: DataFrame, keys: list[str], order: list[Column], name: str, per_bucket: int = 20_000) -> DataFrame:
     """Adds ``name``: 0, 1, 2, … without gaps within ``keys``, in an arbitrary but fixed order.
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gatelog.llm.common import stored
+from gatelog.llm.common import only, stored
 
 #: A prime of 120 bits far from any power of two, so that 256 has no short relations modulo it.
 PRIME = 0xC90FDAA22168C234C4C6628B80DC83
@@ -186,9 +186,7 @@ def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
     Rows alike in ``key`` and text are one row as far as ``key`` and text go: one of them stays.
     """
-    kept = groups(docs, key, text).where("kept").select(F.col("doc_id").alias("_key"), F.col("text_sha256").alias("_sha"), F.col("n_chars").alias("_n"))
+    kept = groups(docs, key, text).where("kept")
     blank = F.coalesce(F.col(text), F.lit(""))
     plain = F.sha2(F.translate(blank, IGNORED.decode(), "").cast("binary"), 256)
-    marked = docs.withColumns({"_sha_": plain, "_n_": F.length(blank)})
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_sha_") == F.col("_sha")) & (F.col("_n_") == F.col("_n"))
-    return marked.join(kept, same, "left_semi").dropDuplicates([key, "_sha_", "_n_"]).drop("_sha_", "_n_")
+    return only(docs, kept, doc_id=F.col(key), text_sha256=plain, n_chars=F.length(blank).cast("long"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatelog.llm.common import digest, stored, utf8
+from gatelog.llm.common import digest, only, stored, utf8
 from gatelog.llm.graph import components
 from gatelog.llm.shingles import distinct, mixed, shingles, sketches
 
@@ -198,7 +198,5 @@ def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
 
     Of rows alike in ``key`` and text one stays.
     """
-    kept = groups(docs, key, text, size, percent).where("kept").select(F.col("doc_id").alias("_key"), F.col("text_key").alias("_text"))
-    marked = docs.withColumn("_own", digest(utf8(F.col(text))))
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_own") == F.col("_text"))
-    return marked.join(kept, same, "left_semi").dropDuplicates([key, "_own"]).drop("_own")
+    kept = groups(docs, key, text, size, percent).where("kept")
+    return only(docs, kept, doc_id=F.col(key), text_key=digest(utf8(F.col(text))))

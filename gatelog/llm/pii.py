@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gatelog.llm.common import digest, stored, utf8
+from gatelog.llm.common import digest, stored, utf8, whole
 
 #: Span kinds in their order; the last is added by the method.
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -218,17 +218,19 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 def sanitised(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows with personal data taken out of ``text``: base spans and generalised terms become their
     kind in brackets, removed terms go. Of overlapping spans the first holds, then the longest."""
-    spans = personal_spans(docs, key, text).groupBy("text_key").agg(F.first(F.concat("base", "added")).alias("_spans"))
-    marked = docs.withColumn("_own", digest(utf8(F.col(text))))
-    joined = marked.join(spans.withColumnRenamed("text_key", "_own"), "_own", "left")
+    spans = personal_spans(docs, key, text).groupBy("text_key").agg(F.first(F.concat("base", "added")).alias("spans"))
+    marked = docs.select(whole(docs).alias("own"), digest(utf8(F.col(text))).alias("text_key"))
+    joined = marked.join(spans, "text_key", "left")
+    body = F.col("own").getField(text)
     names = F.array(*map(F.lit, KINDS))
-    ordered = F.array_sort("_spans", lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(b["end"] - a["end"]))
+    ordered = F.array_sort("spans", lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(b["end"] - a["end"]))
     begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def add(state, span):
         label = F.when(span["value"] == "removed", "").otherwise(F.concat(F.lit("["), F.get(names, span["kind"]), F.lit("]")))
-        more = F.concat(state["out"], F.substring(F.col(text), state["at"] + 1, span["start"] - state["at"]), label)
+        more = F.concat(state["out"], F.substring(body, state["at"] + 1, span["start"] - state["at"]), label)
         return F.when(span["start"] < state["at"], state).otherwise(F.struct(span["end"].alias("at"), more.alias("out")))
 
-    rest = F.aggregate(ordered, begin, add, lambda s: F.concat(s["out"], F.substring(F.col(text), s["at"] + 1, F.length(F.col(text)))))
-    return joined.withColumn(text, F.when(F.size("_spans") > 0, rest).otherwise(F.col(text))).drop("_own", "_spans").select(*docs.columns)
+    rest = F.aggregate(ordered, begin, add, lambda s: F.concat(s["out"], F.substring(body, s["at"] + 1, F.length(body))))
+    clean = F.when(F.size("spans") > 0, rest).otherwise(body)
+    return joined.select(F.col("own").withField(f"`{text}`", clean).alias("own")).select("own.*")

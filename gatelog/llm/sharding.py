@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gatelog.llm.common import digest, numbered, stored, utf8
+from gatelog.llm.common import digest, numbered, stored, utf8, whole
 
 #: Shards, and rounds at most.
 SHARDS, ROUNDS = 24, 8
@@ -60,14 +60,14 @@ def _matrix(rows, shards: int) -> np.ndarray:
 
 
 def balanced(docs: DataFrame, hub: Column, key: Column, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
-    """Adds ``shard`` and ``slot`` (0, 1, 2, … in each shard) to the rows of ``docs``.
+    """Adds ``shard`` and ``slot`` (0, 1, 2, … in each shard) to the rows of ``docs``, or replaces them.
 
     Counts of shards differ by one at most. ``hub`` says which rows are linked (null: with none) and
     ``key`` gives the start, the same for any order of the input; rows alike in all columns are
     interchangeable. A hub larger than a shard fills one shard after another. An empty table gives no rows.
     """
-    names = docs.columns
-    named = docs.select(F.struct(*names).alias("own"), hub.alias("hub"), key.alias("key"))
+    own = whole(docs.drop("shard", "slot"))
+    named = docs.select(own.alias("own"), hub.alias("hub"), key.alias("key"))
     rows = stored(numbered(named, [], [F.xxhash64("key", "own"), F.xxhash64(F.lit(1), "own")], "n"))
     several = rows.where("hub is not null").groupBy("hub").agg(F.count("*").alias("k")).where("k > 1").select("hub", F.lit(True).alias("linked"))
     start = rows.join(several, "hub", "left").select("n", F.when(F.col("linked"), F.col("hub")).alias("hub"), (F.col("n") % shards).cast("int").alias("shard"))
@@ -96,8 +96,8 @@ def balanced(docs: DataFrame, hub: Column, key: Column, shards: int = SHARDS, ro
         linked = stored(moved.select("n", "hub", "shard").union(told.where("to is null").select("n", "hub", "shard")))
         if fill.any():
             borders = F.lit(np.cumsum(fill, axis=1).ravel().tolist())
-            own = F.slice(borders, F.col("shard") * shards + 1, shards)
-            target = F.size(F.filter(own, lambda end: end <= F.col("i")))
+            ends = F.slice(borders, F.col("shard") * shards + 1, shards)
+            target = F.size(F.filter(ends, lambda end: end <= F.col("i")))
             ranked = numbered(free, ["shard"], order, "i")
             free = stored(ranked.select("n", F.when(target < shards, target).otherwise(F.col("shard")).alias("shard")))
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 #: Labelled rows trained on at most; words per category; least rows with a word; least chi-square of a word; folds.
 MAX_ROWS, MAX_WORDS, LEAST_ROWS, LEAST_CHI2, FOLDS = 20_000, 1500, 4, 25.0, 3
 #: Probability from which a text is rejected; strength of the penalty on weights.
-THRESHOLD, PENALTY = 0.5, 1.0
+THRESHOLD, PENALTY = 0.5, 0.1
 #: Words a worker remembers (bounds its memory).
 CACHE_ENTRIES = 300_000
 _WORD = re.compile(r"[^\W\d_]+")

@@ -254,6 +254,25 @@ def _(t):
     return t.raw.select("badge_id", "event_timestamp", "ingestion_time")
 
 
+@query("src18_landing_loads", """
+SELECT 'PARTIALLY_LOADED' AS status, count(*) AS row_count,
+  count(*) FILTER (seq % 10 = 0) AS error_count, 'malformed_json' AS first_error_message
+FROM raw_events""")
+def _(t):
+    """Every tenth line of the feed lost its end on the way."""
+    warehouse = new_warehouse(t, "faulty")
+    lines = json_lines(badge_feed(t.stream("events")))
+    cut = F.when(F.col("seq") % 10 == 0, F.expr("left(value, length(value) - 1)"))
+    ingest.start_landing(
+        lines.select(cut.otherwise(F.col("value")).alias("value")), warehouse,
+        warehouse.path("ckpt/landing"), ONCE,
+    ).awaitTermination()
+    now = ingest.utc_now()
+    loads = reports.landing_loads(warehouse.landing, now)
+    return reports.load_history(loads, now).select(
+        "status", "row_count", "error_count", "first_error_message")
+
+
 @query("src18_load_history_day", """
 SELECT file_name, last_load_time, CASE WHEN error_count = 0 THEN 'LOADED'
   WHEN error_count < row_count THEN 'PARTIALLY_LOADED' ELSE 'LOAD_FAILED' END AS status,

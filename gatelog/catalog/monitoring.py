@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from gatelog.catalog import expected as x
 from gatelog.catalog.feeds import AS_OF, AS_OF_PRUNE, AS_OF_TASKS, AS_OF_TODAY
+from gatelog.catalog.incremental import ONE_BATCH, ONE_BATCH_FACTS, loaded
 from gatelog.catalog.registry import query
 from gatelog.plans import kpis, views
+from gatelog.streaming import ingest
 
 
 @query("v01_channel_status", "SELECT * FROM v_channel_status")
@@ -13,6 +15,63 @@ def _(t):
     return views.channel_status(t, AS_OF)
 
 
+def _on_warehouse(t, purpose: str):
+    """The product's own tables after landing and loading every event, and the time now."""
+    return loaded(t, purpose), ingest.utc_now()
+
+
+@query("v01_on_warehouse", """
+SELECT 'RAW_BADGE_EVENTS' AS pipe_name, count(*) AS total_rows_inserted FROM raw_events""")
+def _(t):
+    tables, now = _on_warehouse(t, "v01")
+    return views.channel_status(tables, now).select("pipe_name", "total_rows_inserted")
+
+
+@query("v04_on_warehouse", f"""
+SELECT 'RAW' AS layer, count(*) AS row_count FROM raw_events
+UNION ALL SELECT 'STAGING', count(*) FROM {ONE_BATCH}
+UNION ALL SELECT 'ANALYTICS', count(*) FROM ({ONE_BATCH_FACTS})""")
+def _(t):
+    tables, now = _on_warehouse(t, "v04")
+    return views.end_to_end_latency(tables, now).select("layer", "row_count")
+
+
+@query("v06_on_warehouse", f"""
+SELECT r.n AS total_raw_events, s.n AS total_staged_events, f.n AS total_fact_events,
+  r.n - s.n AS duplicate_count
+FROM (SELECT count(*) AS n FROM raw_events) r, (SELECT count(*) AS n FROM {ONE_BATCH}) s,
+  (SELECT count(*) AS n FROM ({ONE_BATCH_FACTS})) f""")
+def _(t):
+    tables, now = _on_warehouse(t, "v06")
+    return views.data_quality_metrics(tables, now).select(
+        "total_raw_events", "total_staged_events", "total_fact_events", "duplicate_count")
+
+
+@query("v08_on_warehouse", "SELECT count(*) AS rows_ingested FROM raw_events")
+def _(t):
+    tables, now = _on_warehouse(t, "v08")
+    return views.streaming_costs(tables, now).select("rows_ingested")
+
+
+@query("v09_on_warehouse", f"""
+SELECT 'raw_to_staging_task' AS task_name, 'SUCCESS' AS execution_status,
+  count(*) AS rows_processed FROM {ONE_BATCH}
+UNION ALL SELECT 'staging_to_analytics_task', 'SUCCESS', count(*) FROM ({ONE_BATCH_FACTS})""")
+def _(t):
+    tables, now = _on_warehouse(t, "v09")
+    return views.task_execution_history(tables, now, extra=("rows_processed",)).select(
+        "task_name", "execution_status", "rows_processed")
+
+
+@query("v10_on_warehouse", """
+SELECT 'raw_to_staging_task' AS client_name, cast(1 AS bigint) AS session_count,
+  count(*) AS total_rows_sent FROM raw_events""")
+def _(t):
+    tables, now = _on_warehouse(t, "v10")
+    return views.streaming_client_metrics(tables, now).select(
+        "client_name", "session_count", "total_rows_sent")
+
+
 @query("v02_ingestion_metrics", "SELECT * FROM v_ingestion_metrics")
 def _(t):
     return views.ingestion_metrics(t, AS_OF)

@@ -73,6 +73,21 @@ def load_history(
     )
 
 
+def landing_loads(landing: DataFrame, as_of: datetime, span: timedelta = HOUR) -> DataFrame:
+    """The landing table as load history: an entry per micro-batch, whose rows share one
+    ingestion time, with rejected lines as errors. ``load_history`` takes it."""
+    recent = lookback(landing, "ingestion_time", span, as_of)
+    rejected = ~F.col("accepted")
+    return recent.groupBy(F.col("ingestion_time").alias("last_load_time")).agg(
+        F.lit(views.RAW_TABLE).alias("table_name"),
+        F.concat(F.lit("batch-"), F.date_format(F.first("ingestion_time"), "yyyyMMddHHmmssSSSSSS"))
+        .alias("file_name"),
+        F.count("*").alias("row_count"),
+        F.count_if(rejected).alias("error_count"),
+        F.min(F.when(rejected, F.col("reject_reason"))).alias("first_error_message"),
+    )
+
+
 def batch_loads(batch_log: DataFrame) -> DataFrame:
     """The batch log as load history: one entry per staged batch."""
     staged = batch_log.filter((F.col("name") == TASKS[0]) & (F.col("batch_id") >= 0))

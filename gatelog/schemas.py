@@ -56,5 +56,25 @@ BATCH_LOG = _struct(
     name=STRING, database_name=STRING, state=STRING, scheduled_time=NTZ, completed_time=NTZ,
     error_code=STRING, error_message=STRING, rows_processed=LONG, batch_id=LONG,
     error_count=LONG, bytes_processed=LONG, max_event_key=LONG, run_id=STRING,
+    rows_received=LONG,
 )
+# Telemetry that the platform exports; empty until it does.
+PRUNING = _struct(
+    table_name=STRING, interval_start_time=NTZ, num_queries=LONG, partitions_scanned=LONG,
+    partitions_pruned=LONG, rows_scanned=LONG, rows_pruned=LONG,
+)
+METERING = _struct(
+    warehouse_name=STRING, start_time=NTZ, end_time=NTZ, credits_used=CREDITS,
+    credits_used_compute=CREDITS,
+)
+STORAGE = _struct(
+    table_catalog=STRING, table_schema=STRING, table_name=STRING, active_bytes=LONG,
+    time_travel_bytes=LONG, failsafe_bytes=LONG,
+)
+QUERIES = _struct(
+    query_id=LONG, user_name=STRING, database_name=STRING, execution_status=STRING,
+    start_time=NTZ, total_elapsed_ms=LONG, bytes_scanned=LONG, partitions_scanned=LONG,
+    partitions_total=LONG, query_text=STRING, client_ip=STRING, event_type=STRING,
+)
+TELEMETRY = {"pruning": PRUNING, "metering": METERING, "storage": STORAGE, "queries": QUERIES}
 RUN_METADATA = _struct(deployment_timestamp=NTZ, account_identifier=STRING, expires_date=DATE)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +39,14 @@ BADGE_LOOKUP = {
 }
 
 
+RAW_TABLE = "RAW_BADGE_EVENTS"
+CREDITS_PER_GB = 0.06  # the published ingest rate
+
+
+def ingest_credits(size: Column) -> Column:
+    return (size / F.lit(float(1 << 30)) * F.lit(CREDITS_PER_GB)).cast(schemas.CREDITS)
+
+
 def landing_rows(classified: DataFrame) -> DataFrame:
     """Classified events with the landing table's partition columns."""
     return classified.withColumns(
@@ -109,6 +117,54 @@ class Warehouse:
     def tasks(self) -> DataFrame:
         return self.batch_log
 
+    @property
+    def landing(self) -> DataFrame:
+        """Accepted and rejected lines alike."""
+        return self.read("landing", LANDING)
+
+    @property
+    def _received(self) -> DataFrame:
+        return self.batch_log.filter(F.col("rows_received") > 0)
+
+    @property
+    def migration(self) -> DataFrame:
+        """What each batch took in, from the log: no scan of the events."""
+        return self._received.select(
+            F.lit(RAW_TABLE).alias("table_name"),
+            F.col("completed_time").alias("end_time"),
+            F.col("rows_received").alias("num_rows_migrated"),
+            F.col("bytes_processed").alias("num_bytes_migrated"),
+            ingest_credits(F.col("bytes_processed")).alias("credits_used"),
+        )
+
+    @property
+    def clients(self) -> DataFrame:
+        """A session per batch; the batch's step is the client."""
+        return self._received.select(
+            F.col("name").alias("client_name"),
+            F.col("scheduled_time").alias("start_time"),
+            F.col("completed_time").alias("end_time"),
+            ingest_credits(F.col("bytes_processed")).alias("credits_used"),
+            F.col("bytes_processed").alias("data_sent_bytes"),
+            F.col("rows_received").alias("rows_sent"),
+        )
+
+    @property
+    def pruning(self) -> DataFrame:
+        return self.read("pruning", schemas.PRUNING)
+
+    @property
+    def metering(self) -> DataFrame:
+        return self.read("metering", schemas.METERING)
+
+    @property
+    def storage(self) -> DataFrame:
+        return self.read("storage", schemas.STORAGE)
+
+    @property
+    def queries(self) -> DataFrame:
+        return self.read("queries", schemas.QUERIES)
+
     def create(self, load_ts: datetime) -> Warehouse:
         """Empty tables and seeded dimensions, replacing what is at the root."""
         tables = {
@@ -117,6 +173,7 @@ class Warehouse:
             "zones": seed_zones(self.spark, load_ts).coalesce(1),
             "readers": empty_readers(self.spark),
         }
+        tables |= {n: self.spark.createDataFrame([], s) for n, s in schemas.TELEMETRY.items()}
         for name, df in tables.items():
             df.write.mode("overwrite").parquet(self.path(name))
         for folder in ("keys", "waiting", "aside"):

@@ -134,7 +134,10 @@ def _stage(
         rows = drop_faint(rows, options.signal_floor, options.keep_missing_signal)
     received, kept = Observation(), Observation()
     size = F.octet_length("raw_json") if "raw_json" in rows.columns else F.lit(0)
-    staged = stage_batch(rows.observe(received, F.sum(size).cast("bigint").alias("bytes")))
+    seen = rows.observe(
+        received, F.sum(size).cast("bigint").alias("bytes"), F.count("*").alias("rows")
+    )
+    staged = stage_batch(seen)
     if options.dedupe_scope == "table":
         others = warehouse.stg.filter(F.col("batch_id") != batch_id)
         staged = unstaged(staged, others.filter(times_present(rows)))
@@ -143,6 +146,7 @@ def _stage(
     return {
         "rows_processed": kept.get["rows"],
         "bytes_processed": received.get["bytes"],
+        "rows_received": received.get["rows"],
     }
 
 

@@ -19,10 +19,15 @@ def scratch(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """The rows written to the shared folder and read back: cuts lineage, survives executors."""
+    """The rows written to the shared folder and read back: cuts lineage, survives executors.
+
+    The shuffles behind the rows are of no use any more. Spark deletes their files when the driver
+    collects garbage, which a driver with little to do puts off for long; so it is asked to.
+    """
     spark = df.sparkSession
     path = scratch(spark)
     df.write.option("compression", "zstd").parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -54,6 +59,26 @@ def only(docs: DataFrame, kept: DataFrame, **marks: Column) -> DataFrame:
     return marked.join(wanted, same, "left_semi").dropDuplicates(list(marks)).select("own.*")
 
 
+#: Bits of the map in ``likely`` (8 MB at most, whatever the input) and of one of its rows.
+MAP_BITS, PAGE_BITS = 1 << 26, 32768
+
+
+def likely(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose ``key`` is in ``wanted`` (column ``key``) and a few others, without a shuffle of ``df``.
+
+    The wanted keys' hashes set bits in a map of fixed size, which is broadcast. It spares large rows
+    the shuffle of an exact join that follows; a full map only lets more rows through.
+    """
+    bit = F.pmod(F.xxhash64(key), F.lit(MAP_BITS))
+    page, place = F.floor(bit / PAGE_BITS), (bit % PAGE_BITS).cast("int")
+    pages = wanted.select(bit.alias("bit")).groupBy(F.floor(F.col("bit") / PAGE_BITS).alias("map_page"))
+    pages = pages.agg(F.bitmap_construct_agg(F.col("bit") % PAGE_BITS).alias("map_bits"))
+    byte = F.conv(F.hex(F.substring("map_bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte.cast("long"), place % 8) == 1
+    joined = df.withColumn("map_page", page).join(F.broadcast(pages), "map_page")
+    return joined.where(is_set).select(*df.columns)
+
+
 def numbered(df: DataFrame, keys: list[str], order: list[Column], name: str, per_bucket: int = 20_000) -> DataFrame:
     """Adds ``name``: 0, 1, 2, … without gaps within ``keys``, in an arbitrary but fixed order.
 

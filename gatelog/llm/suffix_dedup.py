@@ -254,7 +254,7 @@ def _refined(members: DataFrame, bucket: str, finer: str) -> tuple[DataFrame, Da
         members.groupBy(bucket, finer).agg(F.count("*").alias("n"), F.min(F.struct("key", "place")).alias("one"))
     )
     equal = members.join(kinds.where("n > 1").select(bucket, finer), [bucket, finer], "left_semi").select("key", "place")
-    several = kinds.groupBy(bucket).agg(F.count("*").alias("k")).where("k > 1").select(bucket)
+    several = stored(kinds.groupBy(bucket).agg(F.count("*").alias("k")).where("k > 1").select(bucket))
     return equal, kinds.join(several, bucket, "left_semi").select("one.key", "one.place")
 
 
@@ -281,7 +281,8 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     )
     source = docs.select(digest(utf8(F.col(text))).alias("key"), utf8(F.col(text)).alias("body"))
     suffixes = _suffixes(source, length)
-    grams = suffixes.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    # lists of keys are stored before they are joined: a join of two plain shuffles is one that the engine can split at hot keys
+    grams = stored(suffixes.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"))
     shared = stored(suffixes.join(grams, "gram", "left_semi"))
     affected = shared.select("key").distinct()
     texts = stored(source.join(affected, "key", "left_semi").dropDuplicates(["key"]))
@@ -289,10 +290,10 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     settled, runs_left = _refined(shared, "gram", "refined")
     settled = stored(settled.select("key", (F.shiftright("place", 16) * 256 + F.col("place").bitwiseAND(F.lit(255))).alias("place")).distinct())
     blocks = stored(_blocks(_listed(texts, runs_left), length))
-    cores = blocks.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
+    cores = stored(blocks.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"))
     sure, blocks_left = _refined(stored(blocks.join(cores, "core", "left_semi")), "core", "cover")
     windows = stored(_windows(_listed(texts, blocks_left), length))
-    twice = windows.groupBy("high", "low").agg(F.count("*").alias("n")).where("n > 1").select("high", "low")
+    twice = stored(windows.groupBy("high", "low").agg(F.count("*").alias("n")).where("n > 1").select("high", "low"))
     single = windows.join(twice, ["high", "low"], "left_semi").select("key", (F.col("start") * 256 + 1).alias("place"))
 
     result = stored(_assembled(_listed(texts, settled.union(sure).union(single)), length))

@@ -170,7 +170,8 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", prime: int
     told = rows.join(mixed, ["fp", "n_bytes"], "left").withColumn("part", F.when(F.col("mixed"), F.col("sha")).otherwise(""))
     own = ["fp", "n_bytes", "part"]
     best = F.min(F.struct((-F.col("n_chars")).alias("a"), F.col("doc_id").isNull().alias("b"), F.col("doc_id").alias("c"), F.col("row").alias("d")))
-    keepers = told.groupBy(*own).agg(F.count("*").alias("group_size"), best.alias("best"))
+    # stored, so that the join below is one that the engine can split at a hot group
+    keepers = stored(told.groupBy(*own).agg(F.count("*").alias("group_size"), best.alias("best")))
     return told.join(keepers, own).select(
         "doc_id",
         F.col("best.c").alias("keep_id"),

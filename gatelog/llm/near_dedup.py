@@ -2,15 +2,15 @@
 
 Each text's set of word shingles has a sketch of minwise hashes. A tree branches: at a node, a few
 coordinates are chosen by the node's name, and the texts that agree in a chosen coordinate go to the
-same child. A pair of similarity s goes on to a given child with probability s, so with two children
-per node it survives with certainty near one while dissimilar texts part. Small nodes are compared
-exhaustively, large ones branch again, and independent trees raise recall: for s = 0.85 a tree misses a
-pair with probability 0.03 at most, four trees with one in a million.
-
-Every link is confirmed on the full sets. Equal sets are one text throughout, and members of a node are
-first compared with the node's least text only: what that joins need not be compared pair by pair, so
-a large group of near copies costs one comparison a member, and only texts of different groups
-that meet in a node are compared with each other.
+same child. A pair of similarity s goes on to a given child with probability s; two children on the first
+levels keep it alive, one child on the later ones keeps large nodes from multiplying while dissimilar
+texts part. Small nodes are compared exhaustively, large ones branch again, and independent trees raise
+recall: for s = 0.85 a tree misses a pair with probability 0.12 at most, five trees with 1 in 40,000.
+
+Every link is confirmed on the full sets, after the sketches of a pair agree enough. Equal sets are one
+text throughout, and members of a node are first compared with the node's least text only: what that
+joins need not be compared pair by pair, so a large group of near copies costs one comparison a member,
+and only texts of different groups that meet in a node are compared with each other.
 """
 
 from __future__ import annotations
@@ -21,17 +21,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gatelog.llm.common import digest, only, stored, utf8
+from gatelog.llm.common import digest, likely, only, stored, utf8
 from gatelog.llm.graph import components
 from gatelog.llm.shingles import distinct, mixed, shingles, sketches
 
-#: Coordinates of a sketch, independent trees, children per node, most members of a node compared
-#: exhaustively, levels after which a node is compared whatever its size.
-COORDINATES, TREES, CHILDREN, SMALL, LEVELS = 64, 4, 2, 24, 5
-#: A pair is compared in full unless its sketches agree in less than the similarity minus this, over
-#: four standard deviations.
-SLACK = 0.22
+#: Coordinates that trees branch by, independent trees, most members of a node compared exhaustively,
+#: and children per node by level; after the last level a node is compared whatever its size, in cells of
+#: about so many members from each of two parts.
+COORDINATES, TREES, SMALL, CHILDREN, CELL = 32, 5, 4, (2, 2, 1, 1, 1), 256
+#: One-byte coordinates that estimate a similarity. A pair is compared in full unless they agree in less
+#: than the similarity minus the slack, four standard deviations.
+BYTES, SLACK = 192, 0.115
 #: Text bytes worked on at a time.
 BATCH_BYTES = 1 << 20
 
@@ -49,7 +51,7 @@ def blocks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
 
 
 def sketched(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """Per row: doc_id, text_key, n_shingles, set_key (equal for equal sets), sketch."""
+    """Per row: doc_id, text_key, n_shingles, set_key (equal for equal sets), sketch, fine."""
     source = docs.select(F.col(key).alias("doc_id"), digest(utf8(F.col(text))).alias("text_key"), utf8(F.col(text)).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
 
@@ -59,14 +61,17 @@ def sketched(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
             for start, end in blocks(texts):
                 values, begins = shingles(texts[start:end], size)
                 some = np.diff(begins) > 0
-                rows = iter(sketches(values, begins, COORDINATES).view(np.int32))
-                counts, names, own = [], [], []
+                whole, short = sketches(values, begins, COORDINATES, BYTES)
+                rows = iter(zip(whole.view(np.int32), short, strict=True))
+                counts, names, own, fine = [], [], [], []
                 for i, has in enumerate(some):
                     members = np.unique(values[begins[i] : begins[i + 1]])
                     counts.append(len(members))
                     sums = [int(mixed(members, salt).sum()) for salt in (101, 202)]
                     names.append(b"".join(s.to_bytes(8, "big") for s in sums) if has else None)
-                    own.append(next(rows) if has else None)
+                    row = next(rows) if has else (None, None)
+                    own.append(row[0])
+                    fine.append(row[1].tobytes() if has else None)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, end - start),
@@ -74,15 +79,24 @@ def sketched(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
                         pa.array(counts, pa.int64()),
                         pa.array(names, pa.binary()),
                         pa.array(own, pa.list_(pa.int32())),
+                        pa.array(fine, pa.binary()),
                     ],
-                    ["doc_id", "text_key", "n_shingles", "set_key", "sketch"],
+                    ["doc_id", "text_key", "n_shingles", "set_key", "sketch", "fine"],
                 )
 
-    return source.mapInArrow(run, f"doc_id {kind}, text_key binary, n_shingles long, set_key binary, sketch array<int>")
+    columns = "text_key binary, n_shingles long, set_key binary, sketch array<int>, fine binary"
+    return source.mapInArrow(run, f"doc_id {kind}, {columns}")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity: 100 · |a ∩ b| ≥ percent · |a ∪ b|."""
+def confirmed(pairs: DataFrame, docs: DataFrame, text: str, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the similarity: 100 · |a ∩ b| ≥ percent · |a ∪ b|.
+
+    The texts of the pairs, and few others, leave the scan; one of each is kept in the shared folder.
+    """
+    named = pairs.select(F.explode(F.array("a", "b")).alias("text_key")).distinct()
+    whole = docs.select(digest(utf8(F.col(text))).alias("text_key"), utf8(F.col(text)).alias("text"))
+    texts = likely(whole, "text_key", named).join(named, "text_key")  # a semi-join would slip below the map
+    texts = stored(texts.dropDuplicates(["text_key"]))
     right = pairs.join(texts.select(F.col("text_key").alias("b"), F.col("text").alias("text_b")), "b")
     both = right.join(texts.select(F.col("text_key").alias("a"), F.col("text").alias("text_a")), "a")
 
@@ -99,30 +113,82 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
                 keep.append(100 * common >= percent * (len(known) + len(other) - common))
             yield pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary")
+    return stored(both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary"))
 
 
 def _counted(rows: DataFrame) -> DataFrame:
-    """Adds a node's size and least member; nodes with one member go."""
+    """Adds a node's least member; nodes with one member go."""
     nodes = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("unit").alias("center")).where("n > 1")
-    return rows.join(nodes, "node")
+    return stored(rows.join(stored(nodes.drop("n")), "node"))
 
 
 def _mixed_nodes(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """Adds each member's group so far; nodes whose members are all of one group go."""
-    named = rows.join(groups, "unit", "left").withColumn("grp", F.coalesce("component", "unit")).drop("component")
+    named = stored(rows.join(groups, "unit", "left").select("node", "unit", F.coalesce("component", "unit").alias("grp")))
     nodes = named.groupBy("node").agg(F.min("grp").alias("l"), F.max("grp").alias("g"), F.count("*").alias("n"))
-    return named.join(nodes.where("l <> g").select("node", "n"), "node")
+    return stored(named.join(stored(nodes.where("l <> g").select("node", "n")), "node"))
 
 
-def _pairs(rows: DataFrame, sketch: DataFrame, least: float) -> DataFrame:
-    """Members of different groups that meet in a node and whose sketches agree enough."""
+def _pairs(rows: DataFrame) -> DataFrame:
+    """Members of different groups that meet in a node."""
     left = rows.select("node", F.col("unit").alias("a"), F.col("grp").alias("ga"))
     right = rows.select("node", F.col("unit").alias("b"), F.col("grp").alias("gb"))
-    met = left.join(right, "node").where("a < b and ga <> gb").select("a", "b").distinct()
-    sa, sb = (sketch.select(F.col("unit").alias(x), F.col("sketch").alias(f"s{x}")) for x in "ab")
-    agree = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    return met.join(sa, "a").join(sb, "b").where(agree >= least * COORDINATES).select("a", "b")
+    return left.join(right, "node").where("a < b and ga <> gb").select("a", "b")
+
+
+@F.arrow_udf(T.IntegerType())
+def _same(a: pa.Array, b: pa.Array) -> pa.Array:
+    """In how many bytes two sketches agree."""
+    left, right = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(len(x), BYTES) for x in (a, b))
+    return pa.array((left == right).sum(axis=1), pa.int32())
+
+
+def _agreeing(pairs: DataFrame, fine: DataFrame, least: int) -> DataFrame:
+    """The distinct pairs whose sketches agree in at least so many bytes."""
+    fa, fb = (fine.select(F.col("unit").alias(x), F.col("fine").alias(f"f{x}")) for x in "ab")
+    met = pairs.distinct().join(fa, "a").join(fb, "b")
+    return stored(met.where(_same("fa", "fb") >= least).select("a", "b"))
+
+
+def _pairs_of_large(rows: DataFrame, fine: DataFrame, least: int) -> DataFrame:
+    """The same for nodes of any size: members are dealt into parts, two parts are compared at a time.
+
+    A cell holds two parts of about ``CELL`` members, whatever the node's size, and puts out only pairs
+    of different groups that agree enough.
+    """
+    parts = F.ceil(F.col("n") / CELL).cast("int")
+    own = F.pmod(F.xxhash64("unit"), parts).cast("int")
+    cell = F.transform(F.sequence(F.lit(0), parts - 1), lambda x: F.struct(F.least(own, x).alias("i"), F.greatest(own, x).alias("j")))
+    dealt = rows.select("node", "unit", "grp", own.alias("part"), F.explode(cell).alias("cell"))
+    named = dealt.select("node", "cell.i", "cell.j", "part", "unit", "grp").join(fine, "unit")
+    placed = named.select("node", "i", "j", "part", "unit", "grp", "fine").repartition("node", "i", "j").sortWithinPartitions("node", "i", "j")
+
+    def compared(i, j, members):
+        part = np.array([m[0] for m in members])
+        data = np.frombuffer(b"".join(m[3] for m in members), np.uint8).reshape(len(members), BYTES)
+        for r in np.flatnonzero(part == i):
+            others = np.arange(r + 1, len(members)) if i == j else np.flatnonzero(part == j)
+            for k in others[(data[others] == data[r]).sum(axis=1) >= least]:
+                if members[r][2] != members[k][2]:
+                    yield sorted((members[r][1], members[k][1]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def packed(pairs):
+            columns = [pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)]
+            return pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+        last, members = None, []
+        for batch in batches:
+            for node, i, j, *member in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (node, i, j) != last:
+                    if last:
+                        yield packed(list(compared(last[1], last[2], members)))
+                    last, members = (node, i, j), []
+                members.append(member)
+        if last:
+            yield packed(list(compared(last[1], last[2], members)))
+
+    return placed.mapInArrow(run, "a binary, b binary")
 
 
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, percent: int = 85, trees: int = TREES) -> DataFrame:
@@ -138,57 +204,51 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     units = stored(
         rows.where("n_shingles > 0")
         .groupBy("set_key")
-        .agg(F.min(F.struct("text_key", "sketch")).alias("first"), F.min("doc_id").alias("root"))
-        .select("set_key", F.col("first.text_key").alias("unit"), F.col("first.sketch").alias("sketch"), "root")
+        .agg(F.min(F.struct("text_key", "sketch", "fine")).alias("first"), F.min("doc_id").alias("root"))
+        .select("set_key", F.col("first.text_key").alias("unit"), "first.sketch", "first.fine", "root")
     )
-    sketch = units.select("unit", "sketch")
+    sketch, fine = units.select("unit", "sketch"), units.select("unit", "fine")
 
     def child(node, place):
         return F.xxhash64(node, place, F.get("sketch", place.cast("int")))
 
-    def places(node):  # of a node's children: different coordinates, chosen by the node's name
+    def children(node, level):  # each by another coordinate, chosen by the node's name
         first = F.pmod(F.xxhash64(node, F.lit(1)), F.lit(COORDINATES))
         step = F.pmod(F.xxhash64(node, F.lit(2)), F.lit(COORDINATES - 1)) + 1
-        return [F.pmod(first + step * i, F.lit(COORDINATES)) for i in range(CHILDREN)]
+        return [child(node, F.pmod(first + step * i, F.lit(COORDINATES))) for i in range(CHILDREN[level])]
 
+    least = round((percent / 100 - SLACK) * BYTES)
     roots = [F.xxhash64(F.lit(f"tree {t}")) for t in range(trees)]
-    first = sketch.select("unit", F.explode(F.array(*(child(r, p) for r in roots for p in places(r)))).alias("node"))
-    level = stored(_counted(first))
-    # texts that met another one, in the folder all share, so that the whole corpus is moved once
-    met = level.select(F.col("unit").alias("text_key")).distinct()
-    whole = docs.select(digest(utf8(F.col(text))).alias("text_key"), utf8(F.col(text)).alias("text"))
-    texts = stored(whole.join(met, "text_key", "left_semi").dropDuplicates(["text_key"]))
-
-    stars = level.where("unit <> center").select(F.col("center").alias("a"), F.col("unit").alias("b")).distinct()
-    links = stored(confirmed(stars, texts, size, percent))
+    first = sketch.select("unit", F.explode(F.array(*(c for r in roots for c in children(r, 0)))).alias("node"))
+    rows_left = _counted(first)
+    stars = rows_left.where("unit <> center").select(F.col("center").alias("a"), F.col("unit").alias("b"))
+    links = confirmed(_agreeing(stars, fine, least), docs, text, size, percent)
     so_far = stored(components(links).withColumnRenamed("node", "unit"))
-    least = percent / 100 - SLACK
-    found = [links]
-    level = level.select("node", "unit")
-    for depth in range(1, LEVELS + 1):
-        level = stored(_mixed_nodes(level, so_far))
-        last = depth == LEVELS
-        leaves = level if last else level.where(F.col("n") <= SMALL)
-        found.append(stored(_pairs(leaves, sketch, least)))
-        open_nodes = level.where(F.col("n") > SMALL).select("node", "unit")
+
+    rows_left, met = rows_left.select("node", "unit"), None
+    for level in range(1, len(CHILDREN) + 1):
+        mixed_nodes = _mixed_nodes(rows_left, so_far)
+        last = level == len(CHILDREN)
+        found = _pairs(mixed_nodes.where(F.col("n") <= SMALL))
+        met = found if met is None else met.union(found)
+        open_nodes = mixed_nodes.where(F.col("n") > SMALL).select("node", "unit")
         if last or open_nodes.isEmpty():
             break
         wide = open_nodes.join(sketch, "unit")
-        level = wide.select("unit", F.explode(F.array(*(child(F.col("node"), p) for p in places(F.col("node"))))).alias("node"))
-    pairs = found[1]
-    for more in found[2:]:
-        pairs = pairs.union(more)
-    pairs = stored(pairs.distinct())
+        rows_left = stored(wide.select("unit", F.explode(F.array(*children(F.col("node"), level))).alias("node")))
+    pairs = _agreeing(met, fine, least)
+    if not open_nodes.isEmpty():
+        pairs = stored(pairs.union(_pairs_of_large(mixed_nodes.where(F.col("n") > SMALL), fine, least)).distinct())
     if pairs.isEmpty():
         closed = so_far
     else:
-        closed = components(links.union(confirmed(pairs, texts, size, percent))).withColumnRenamed("node", "unit")
+        closed = components(links.union(confirmed(pairs, docs, text, size, percent))).withColumnRenamed("node", "unit")
     named = stored(units.join(closed, "unit", "left").select("set_key", "root", F.coalesce("component", "unit").alias("component")))
     ids = named.groupBy("component").agg(F.min("root").alias("component_id"))
     result = named.join(ids, "component").select("set_key", "component_id")
     alone = F.col("set_key").isNull()
     own = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.drop("sketch").join(result, "set_key", "left").select(
+    return rows.drop("sketch", "fine").join(result, "set_key", "left").select(
         "doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"), "text_key"
     )
 

@@ -96,19 +96,25 @@ def distinct(texts: list[bytes], size: int) -> list[np.ndarray]:
     return [np.unique(values[begins[i] : begins[i + 1]]) for i in range(len(texts))]
 
 
-def sketches(values: np.ndarray, begins: np.ndarray, coordinates: int) -> np.ndarray:
+def sketches(values: np.ndarray, begins: np.ndarray, coordinates: int, short: int) -> tuple[np.ndarray, np.ndarray]:
     """Minwise hashes: for each coordinate the least of a text's shingles in an order of its own.
 
-    One row per text with shingles, in the order of the texts.
+    One row per text with shingles, in the order of the texts: ``coordinates`` whole hashes, and the
+    last byte of ``short`` others, enough to estimate a similarity.
     """
     starts = begins[:-1][np.diff(begins) > 0]
     out = np.empty((len(starts), coordinates), np.uint32)
+    fine = np.empty((len(starts), short), np.uint8)
     low, high = (values & np.uint64(0xFFFFFFFF)).astype(np.uint32), (values >> np.uint64(32)).astype(np.uint32)
-    seeds = np.random.default_rng(7).integers(1, 2**32, (coordinates, 2), dtype=np.uint64).astype(np.uint32) | np.uint32(1)
-    for c in range(coordinates):
+    seeds = np.random.default_rng(7).integers(1, 2**32, (coordinates + short, 2), dtype=np.uint64).astype(np.uint32) | np.uint32(1)
+    for c in range(coordinates + short):
         x = low * seeds[c, 0] + high * seeds[c, 1]
         x ^= x >> np.uint32(15)
         x *= np.uint32(0x846CA68B)
         x ^= x >> np.uint32(16)
-        out[:, c] = np.minimum.reduceat(x, starts) if len(starts) else 0
-    return out
+        least = np.minimum.reduceat(x, starts) if len(starts) else 0
+        if c < coordinates:
+            out[:, c] = least
+        else:
+            fine[:, c - coordinates] = least & 255
+    return out, fine

@@ -5,10 +5,13 @@ itself, so one threshold holds for all. Items are indexed in parts by length and
 text is cut into segments no shorter than its longest item, and two neighbouring segments are a
 passage, so each item that a text contains lies within one passage.
 
+Retrieved items are verified by the share of their question's and of their answer's word shingles in
+the passage. A share that suffices leaves few words out, so an item's threshold is its own score less
+that of its heaviest words, as many as may be missing: nothing that could be verified is missed.
+
 Retrieval keeps everything above the threshold. Upper bounds prune twice: the summed maxima of item
 blocks rule out most passages at once (in arrays, for all segments of many texts), then a
-document-at-a-time walk with pivots and block maxima scores what is left. Retrieved items are
-verified by the share of their question's and of their answer's word shingles in the passage.
+document-at-a-time walk with pivots and block maxima scores what is left.
 """
 
 from __future__ import annotations
@@ -33,8 +36,8 @@ K1, B = 1.2, 0.75
 BLOCK, PART_BYTES = 8, 4 << 20
 #: Least words of a segment.
 SEGMENT = 64
-#: Share of an item's own score from which it is retrieved; shingle words and share from which it is verified.
-RETRIEVED, SHINGLE, VERIFIED = 0.5, 5, 0.8
+#: Shingle words, and the share from which an item is verified.
+SHINGLE, VERIFIED = 5, 0.8
 
 _PLAIN = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -74,6 +77,7 @@ class Index:
     bounds: np.ndarray  # term × block: the greatest impact
     postings: list[tuple[list[int], list[float]]]
     parts: list[tuple[np.ndarray, np.ndarray]]  # shingles of question and answer
+    needed: np.ndarray  # the threshold of each block of items
     greatest: list[float] = field(init=False)
 
     def __post_init__(self) -> None:
@@ -85,24 +89,31 @@ class Index:
         both = [words([plain(q), plain(a)]) for _, q, a in items]
         hashes = [h for h, _ in both]
         frequency = Counter(t for h in hashes for t in set(h.tolist()))
+        # items with the same common words and of similar length share a block, which keeps its maxima low
+        order = sorted(range(len(items)), key=lambda i: (max(((frequency[t], t) for t in hashes[i].tolist()), default=(0, 0)), len(hashes[i])))
+        items, both, hashes = ([x[i] for i in order] for x in (items, both, hashes))
         mean = sum(map(len, hashes)) / max(len(hashes), 1) or 1
         terms = np.array(sorted(frequency), np.uint64)
         place = {t: i for i, t in enumerate(terms.tolist())}
         postings: list[tuple[list[int], list[float]]] = [([], []) for _ in place]
+        parts = [(_grams(h[: b[1]]), _grams(h[b[1] :])) for h, b in both]
+        thresholds = []
         for i, h in enumerate(hashes):
             impacts = {}
             for t, tf in Counter(h.tolist()).items():
                 idf = math.log(1 + (len(items) - frequency[t] + 0.5) / (frequency[t] + 0.5))
                 impacts[t] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(h) / mean))
             own = sum(impacts.values())
+            missing = sum(int(len(part) * (1 - VERIFIED) + 1e-9) for part in parts[i])
+            thresholds.append(1 - sum(sorted(impacts.values(), reverse=True)[:missing]) / (own or 1))
             for t, impact in impacts.items():
                 postings[place[t]][0].append(i)
                 postings[place[t]][1].append(impact / own)
         bounds = np.zeros((len(terms), -(-len(items) // BLOCK)), np.float32)
         for t, (own_items, impacts) in enumerate(postings):
             np.maximum.at(bounds[t], np.array(own_items) // BLOCK, np.array(impacts, np.float32))
-        parts = [(_grams(h[: b[1]]), _grams(h[b[1] :])) for h, b in both]
-        return Index([n for n, _, _ in items], max([SEGMENT, *map(len, hashes)]), terms, bounds, postings, parts)
+        needed = np.minimum.reduceat(thresholds, np.arange(0, len(items), BLOCK)) - 1e-4  # bounds are in single precision
+        return Index([n for n, _, _ in items], max([SEGMENT, *map(len, hashes)]), terms, bounds, postings, parts, needed)
 
     def retrieve(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
         """All (item, score) with a score of at least ``threshold`` for a query of distinct terms: block-max WAND."""
@@ -169,12 +180,15 @@ class Index:
         together = sums.copy()
         together[:-1] += sums[1:] * after[:-1, None]
         ends = np.append(starts[1:], len(segment))
-        for k in np.flatnonzero((together >= RETRIEVED - 1e-4).any(axis=1)):
+        threshold = float(self.needed.min())
+        for k in np.flatnonzero((together >= self.needed).any(axis=1)):
             last = k + 1 if after[k] else k
-            query = np.unique(term[starts[k] : ends[last]]).tolist()
+            query = np.unique(term[starts[k] : ends[last]])
+            if not (self.bounds[query].sum(axis=0) >= self.needed).any():
+                continue  # the segments' common terms had been counted twice
             i = text_of[k]
             passage = None
-            for item, score in self.retrieve(query, RETRIEVED):
+            for item, score in self.retrieve(query.tolist(), threshold):
                 if passage is None:
                     begin = begins[i] + (here[k] - first[i]) * self.segment
                     passage = _grams_of_passage(hashes[begin : min(begin + 2 * self.segment, begins[i + 1])])

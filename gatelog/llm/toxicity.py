@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Labelled rows trained on at most; words per category; least rows with a word; least chi-square of a word; folds.
-MAX_ROWS, MAX_WORDS, LEAST_ROWS, LEAST_CHI2, FOLDS = 20_000, 1500, 4, 25.0, 3
+MAX_ROWS, MAX_WORDS, LEAST_ROWS, LEAST_CHI2, FOLDS = 10_000, 300, 4, 25.0, 3
 #: Probability from which a text is rejected; strength of the penalty on weights.
 THRESHOLD, PENALTY = 0.5, 0.1
 #: Words a worker remembers (bounds its memory).
@@ -38,41 +38,31 @@ def text_features(text: str | None) -> set[str]:
     return {f for w in set(_WORD.findall((text or "").lower())) for f in features(w)}
 
 
-def fit(x: list[np.ndarray], extra: np.ndarray, y: np.ndarray, n_features: int, penalty: float = PENALTY) -> np.ndarray:
-    """Logistic regression by Newton steps on conjugate gradients; x holds each row's feature numbers.
+def matrix(x: list[np.ndarray], n_features: int) -> np.ndarray:
+    """Rows of feature numbers as ones and zeros; at most ``MAX_ROWS`` by twice ``MAX_WORDS``."""
+    out = np.zeros((len(x), n_features), np.float32)
+    for i, row in enumerate(x):
+        out[i, row] = 1
+    return out
+
+
+def fit(x: np.ndarray, extra: np.ndarray, y: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
+    """Logistic regression by Newton's method.
 
     Weights: features, then ``extra`` columns, then the constant, which is not penalised.
     """
-    rows = np.repeat(np.arange(len(x)), [len(r) for r in x])
-    cols = np.concatenate(x) if len(rows) else np.empty(0, np.int64)
-    wide = np.column_stack([extra, np.ones(len(y))])
-    weights = np.zeros(n_features + wide.shape[1])
+    wide = np.column_stack([x, extra, np.ones(len(y))]).astype(np.float32)
+    weights = np.zeros(wide.shape[1])
     ridge = np.full(len(weights), penalty)
     ridge[-1] = 1e-6
-
-    def forward(w):
-        return np.bincount(rows, w[cols], len(y)) + wide @ w[n_features:]
-
-    def backward(r):
-        return np.concatenate([np.bincount(cols, r[rows], n_features), wide.T @ r])
-
     for _ in range(25):
-        p = 1 / (1 + np.exp(-np.clip(forward(weights), -30, 30)))
-        gradient = backward(p - y) + ridge * weights
-        curve = np.maximum(p * (1 - p), 1e-6)
-        step, residual = np.zeros_like(weights), -gradient
-        direction, norm = residual.copy(), residual @ residual
-        for _ in range(50):
-            if norm < 1e-10:
-                break
-            product = backward(curve * forward(direction)) + ridge * direction
-            alpha = norm / (direction @ product)
-            step += alpha * direction
-            residual -= alpha * product
-            norm, before = residual @ residual, norm
-            direction = residual + norm / before * direction
+        p = 1 / (1 + np.exp(-np.clip(wide @ weights.astype(np.float32), -30, 30).astype(float)))
+        gradient = wide.T @ (p - y).astype(np.float32) + ridge * weights
+        curve = np.sqrt(np.maximum(p * (1 - p), 1e-6)).astype(np.float32)
+        half = wide * curve[:, None]
+        step = np.linalg.solve((half.T @ half).astype(float) + np.diag(ridge), -gradient)
         weights += step
-        if np.abs(step).max() < 1e-4:
+        if np.abs(step).max() < 1e-3:
             break
     return weights
 
@@ -97,19 +87,18 @@ class Chain:
     def train(categories: list[str], words: list[str], x: list[np.ndarray], y: np.ndarray, folds: np.ndarray) -> Chain:
         """A category with one kind of label only, or no rows, predicts its (smoothed) base rate."""
         numbers = {w: i for i, w in enumerate(words)}
-        earlier = np.empty((len(x), 0))
+        dense, earlier = matrix(x, len(words)), np.empty((len(x), 0))
         weights = []
         for c in range(len(categories)):
             target = y[:, c].astype(float)
-            weights.append(fit(x, earlier, target, len(words)) if len(x) else np.zeros(len(words) + c + 1))
+            weights.append(fit(dense, earlier, target) if len(x) else np.zeros(len(words) + c + 1))
             unseen = np.zeros(len(x))
             for fold in np.unique(folds):
-                out, own = folds != fold, folds == fold
-                if not out.any():
-                    continue
-                w = fit([r for r, o in zip(x, out, strict=True) if o], earlier[out], target[out], len(words))
-                sums = np.array([w[r].sum() for r, o in zip(x, own, strict=True) if o])
-                unseen[own] = 1 / (1 + np.exp(-np.clip(sums + earlier[own] @ w[len(words) : -1] + w[-1], -30, 30)))
+                rest, own = folds != fold, folds == fold
+                if rest.any():
+                    w = fit(dense[rest], earlier[rest], target[rest])
+                    sums = dense[own] @ w[: len(words)] + earlier[own] @ w[len(words) : -1] + w[-1]
+                    unseen[own] = 1 / (1 + np.exp(-np.clip(sums, -30, 30)))
             earlier = np.column_stack([earlier, unseen])
         return Chain(categories, numbers, weights)
 

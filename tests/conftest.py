@@ -13,7 +13,7 @@ NOW = datetime(2024, 1, 31, 12, 0)
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     from gatelog import configure
@@ -24,6 +24,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -69,7 +69,9 @@ def balanced(docs: DataFrame, hub: Column, key: Column, shards: int = SHARDS, ro
     own = whole(docs.drop("shard", "slot"))
     named = docs.select(own.alias("own"), hub.alias("hub"), key.alias("key"))
     rows = stored(numbered(named, [], [F.xxhash64("key", "own"), F.xxhash64(F.lit(1), "own")], "n"))
-    several = rows.where("hub is not null").groupBy("hub").agg(F.count("*").alias("k")).where("k > 1").select("hub", F.lit(True).alias("linked"))
+    # stored, so that the join below is one that the engine can split at a hot hub
+    several = rows.where("hub is not null").groupBy("hub").agg(F.count("*").alias("k")).where("k > 1")
+    several = stored(several.select("hub", F.lit(True).alias("linked")))
     start = rows.join(several, "hub", "left").select("n", F.when(F.col("linked"), F.col("hub")).alias("hub"), (F.col("n") % shards).cast("int").alias("shard"))
     start = stored(start)
     linked, free = start.where("hub is not null"), start.where("hub is null").drop("hub")

@@ -5,9 +5,10 @@ From the corpus, the information a term t of an entity's context carries about t
 
     I(t, e) = log(c(t, e) · N / (d(t) · d(e))),  with at most H(e) = log(N / d(e)) to give away,
 
-where N counts documents, d documents with the term or the entity, and c the distinct contexts in
-which they occur together (copies of a text are one context, so they are no evidence). A term is
-generalised from ``GENERALISED`` of H(e) and removed from ``REMOVED``; it needs ``LEAST_CONTEXTS``.
+where N counts distinct texts, d texts with the term or the entity, and c the distinct contexts in
+which they occur together: copies of a text count once everywhere, so they are no evidence for a term
+and none against it. A term is generalised from ``GENERALISED`` of H(e) and removed from ``REMOVED``;
+it needs ``LEAST_CONTEXTS``.
 
 All of it is DataFrame functions. Patterns are written so that Java's matcher neither recurses nor
 backtracks over long runs: inner separators are first replaced by a private-use character of the same
@@ -144,8 +145,9 @@ def _terms(context: Column) -> Column:
 def disclosures(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
     """(entity, term, share) of the pairs whose share of the entity's information reaches the threshold.
 
-    Counts cover all documents. Every count is combined before its shuffle; pairs come from contexts of
-    bounded length, so their number follows that of the base spans.
+    Counts cover all rows of ``docs``, which should be distinct texts, and ``found`` has the same ones.
+    Every count is combined before its shuffle; pairs come from contexts of bounded length, so their
+    number follows that of the base spans.
     """
     total = docs.count()
     around = found.where(F.size("contexts") > 0).select("row", F.explode("contexts").alias("c"))
@@ -172,10 +174,12 @@ def personal_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     columns are read.
     """
     blank = F.coalesce(F.col(text), F.lit(""))
-    source = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("doc_id"), digest(utf8(F.col(text))).alias("text_key"), blank.alias("text"))
-    spans = source.select("row", "doc_id", "text_key", "text", base_spans(F.col("text")).alias("base"))
-    found = stored(spans.select("row", "doc_id", "text_key", "base", _contexts(F.col("text"), F.col("base")).alias("contexts")))
-    shares = stored(disclosures(found, docs, text))
+    source = docs.select(F.col(key).alias("doc_id"), digest(utf8(F.col(text))).alias("text_key"), blank.alias("text"))
+    # one row per text; stored, as is the result, so that the last join can be split at a hot text
+    texts = stored(source.select(F.col("text_key").alias("row"), "text").dropDuplicates(["row"]))
+    spans = texts.select("row", "text", base_spans(F.col("text")).alias("base"))
+    found = stored(spans.select("row", "base", _contexts(F.col("text"), F.col("base")).alias("contexts")))
+    shares = stored(disclosures(found, texts))
     around = found.where(F.size("contexts") > 0).select("row", F.explode("contexts").alias("c"))
     terms = around.select("row", "c.entity", F.explode(_terms(F.col("c"))).alias("t"))
     # one row per entity and term on one side; the other side's hot pairs are split by the engine
@@ -188,7 +192,8 @@ def personal_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         F.coalesce("added", F.array().cast(f"array<{_SPAN}>")),
         lambda t: ~F.exists("base", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])),
     )
-    return told.select("doc_id", "text_key", "base", F.array_sort(outside).alias("added"))
+    result = stored(told.select(F.col("row").alias("text_key"), "base", F.array_sort(outside).alias("added")))
+    return source.select("doc_id", "text_key").join(result, "text_key").select("doc_id", "text_key", "base", "added")
 
 
 def _joined(spans: Column) -> Column:

@@ -80,6 +80,16 @@ def test_terms_that_give_an_entity_away(corpus):
     assert not added[201] and not added[202]  # copies are one context, so no evidence
 
 
+@pytest.mark.parametrize("copies", [1, 50])
+def test_copies_hide_no_term(docs_of, corpus, copies):
+    again = corpus.where("doc_id = 100").collect()[0].text
+    docs = corpus.union(docs_of(*((1000 + i, again) for i in range(copies))))
+    told = {r.doc_id: {r.text[s.start : s.end]: s.value for s in r.added} for r in pii.personal_spans(docs).join(docs, "doc_id").collect()}
+    assert len(told) == docs.count()
+    for i in (100, 101, 102, 103, 200, *range(1000, 1000 + copies)):
+        assert told[i]["Quixotte"] == "removed"
+
+
 def test_counts_of_the_corpus_by_hand(corpus):
     found = pii.personal_spans(corpus)
     source = corpus.select(F.lit(0).alias("row"), "text")

@@ -1,14 +1,15 @@
 """Personal data: patterns, and terms that give a protected entity away.
 
 Base spans (email, ip, card, phone) come from patterns. Each distinct base value is a protected entity.
-From the corpus, the information a term t of an entity's context carries about the entity e is
+From the corpus, the information a term t (a word of three letters or more) carries about the entity e is
 
     I(t, e) = log(c(t, e) · N / (d(t) · d(e))),  with at most H(e) = log(N / d(e)) to give away,
 
-where N counts distinct texts, d texts with the term or the entity, and c the distinct contexts in
-which they occur together: copies of a text count once everywhere, so they are no evidence for a term
-and none against it. A term is generalised from ``GENERALISED`` of H(e) and removed from ``REMOVED``;
-it needs ``LEAST_CONTEXTS``.
+where N counts distinct texts, d texts with the term or the entity, and c the distinct texts in which
+they occur together, wherever in the text: copies of a text count once everywhere, so they are no
+evidence for a term and none against it. A term is generalised from ``GENERALISED`` of H(e) and removed
+from ``REMOVED``; it needs ``LEAST_CONTEXTS`` texts. Its occurrences are marked in all texts, also in
+those without the entity.
 
 All of it is DataFrame functions. Patterns are written so that Java's matcher neither recurses nor
 backtracks over long runs: inner separators are first replaced by a private-use character of the same
@@ -20,12 +21,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gatelog.llm.common import digest, stored, utf8, whole
+from gatelog.llm.common import digest, likely, stored, utf8, whole
 
 #: Span kinds in their order; the last is added by the method.
 KINDS = ("email", "ip", "card", "phone", "term")
-#: Code points of context on each side of a span; shares of an entity's information; least contexts.
-CONTEXT, GENERALISED, REMOVED, LEAST_CONTEXTS = 80, 0.8, 0.95, 2
+#: Shares of an entity's information; least texts of a term and an entity; parts of a text placed at a time.
+GENERALISED, REMOVED, LEAST_CONTEXTS, PLACED = 0.8, 0.95, 2, 32
 
 _JOIN, _OTHER = "\ue000", "\ue001"
 _LOCAL = r"[A-Za-z0-9._%+\x{E000}-]"
@@ -100,77 +101,97 @@ def _entity(span: Column) -> Column:
     return F.concat(span["kind"].cast("string"), F.lit(":"), value)
 
 
+def _parts(text: Column) -> Column:
+    """What is between characters that are no letters."""
+    return F.split(text, r"[^\p{L}]", -1)
+
+
+def _vocabulary(text: Column) -> Column:
+    """The distinct terms of a text."""
+    return F.array_distinct(F.transform(F.filter(_parts(text), lambda w: F.length(w) >= 3), F.lower))
+
+
 def _contexts(text: Column, spans: Column) -> Column:
-    """For each span the text before and behind it: entity, offset, body, and whether an end may cut a word."""
-
-    def sides(s):
-        entity = _entity(s)
-        begin = F.greatest(s["start"] - CONTEXT, F.lit(0))
-        before = F.struct(
-            entity.alias("entity"),
-            begin.alias("at"),
-            F.substring(text, begin + 1, s["start"] - begin).alias("body"),
-            (begin > 0).alias("cut_first"),
-            F.lit(False).alias("cut_last"),
-        )
-        behind = F.struct(
-            entity.alias("entity"),
-            s["end"].alias("at"),
-            F.substring(text, s["end"] + 1, F.lit(CONTEXT)).alias("body"),
-            F.lit(False).alias("cut_first"),
-            (s["end"] + CONTEXT < F.length(text)).alias("cut_last"),
-        )
-        return F.array(before, behind)
-
-    return F.flatten(F.transform(spans, sides))
-
-
-def _terms(context: Column) -> Column:
-    """The words of a context with their places; words that an end may have cut are left out."""
-    parts = F.split(context["body"], r"[^\p{L}]", -1)
-    begin = F.struct(
-        context["at"].alias("at"), F.lit(0).alias("i"), F.array().cast("array<struct<term:string,start:int,end:int>>").alias("terms")
-    )
+    """A text's name, its distinct entities, and its distinct terms if it has entities."""
+    entities = F.array_distinct(F.transform(spans, _entity))
+    terms = F.when(F.size(spans) > 0, _vocabulary(text)).otherwise(F.array().cast("array<string>"))
+    return F.struct(digest(utf8(text)).alias("name"), entities.alias("entities"), terms.alias("terms"))
+
+
+def _terms(text: Column) -> Column:
+    """All terms of a text with their places: array of term, start, end (code points).
+
+    Parts are placed in blocks, so that the work does not grow with the square of the text's length.
+    """
+
+    def placed(block):
+        begin = F.struct(block["at"].alias("at"), F.array().cast("array<struct<term:string,start:int,end:int>>").alias("terms"))
+
+        def add(state, part):
+            end = state["at"] + F.length(part)
+            term = F.struct(F.lower(part).alias("term"), state["at"].alias("start"), end.alias("end"))
+            terms = F.when(F.length(part) < 3, state["terms"]).otherwise(F.concat(state["terms"], F.array(term)))
+            return F.struct((end + 1).alias("at"), terms.alias("terms"))
+
+        return F.aggregate(block["parts"], begin, add, lambda s: s["terms"])
 
-    def add(state, part):
-        end = state["at"] + F.length(part)
-        term = F.struct(F.lower(part).alias("term"), state["at"].alias("start"), end.alias("end"))
-        cut = (context["cut_first"] & (state["i"] == 0)) | (context["cut_last"] & (state["i"] == F.size(parts) - 1))
-        terms = F.when((F.length(part) < 3) | cut, state["terms"]).otherwise(F.concat(state["terms"], F.array(term)))
-        return F.struct((end + 1).alias("at"), (state["i"] + 1).alias("i"), terms.alias("terms"))
+    def blocks(parts):
+        numbers = F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / PLACED).cast("int"))
+        return F.transform(numbers, lambda i: F.slice(parts, i * PLACED + 1, PLACED))
 
-    return F.aggregate(parts, begin, add, lambda s: s["terms"])
+    def starts(cut):
+        begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all"))
+
+        def add(state, block):
+            size = F.aggregate(block, F.lit(0), lambda n, part: n + F.length(part) + 1)
+            return F.struct((state["at"] + size).alias("at"), F.concat(state["all"], F.array(state["at"])).alias("all"))
+
+        return F.aggregate(cut, begin, add, lambda s: s["all"])
+
+    # arrays of one element bind what would otherwise be computed for every block again
+    cut = F.get(F.transform(F.array(_parts(text)), blocks), F.lit(0))
+    whole = F.transform(F.array(cut), lambda c: F.zip_with(c, starts(c), lambda p, at: F.struct(p.alias("parts"), at.alias("at"))))
+    return F.flatten(F.transform(F.get(whole, F.lit(0)), placed))
 
 
 def disclosures(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
     """(entity, term, share) of the pairs whose share of the entity's information reaches the threshold.
 
     Counts cover all rows of ``docs``, which should be distinct texts, and ``found`` has the same ones.
-    Every count is combined before its shuffle; pairs come from contexts of bounded length, so their
-    number follows that of the base spans.
+    Every count is combined before its shuffle. As c is at most d(e), a share needs a term of at most
+    d(e) · (N / d(e)) ** (1 - GENERALISED) texts, and of LEAST_CONTEXTS at least, as does the entity: pairs are
+    made only of those, so frequent terms and entities of one text, which cannot be told, make none.
     """
     total = docs.count()
-    around = found.where(F.size("contexts") > 0).select("row", F.explode("contexts").alias("c"))
-    entities = around.select("row", "c.entity").distinct().groupBy("entity").agg(F.count("*").alias("d_entity"))
-    pairs = around.select("c.entity", F.md5(F.col("c.body").cast("binary")).alias("context"), F.explode(_terms(F.col("c"))["term"]).alias("term"))
-    together = (
-        pairs.distinct().groupBy("entity", "term").agg(F.count("*").alias("c")).where(F.col("c") >= LEAST_CONTEXTS)
-    )
-    whole = F.array_distinct(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}]+"))
-    terms = docs.select(F.explode(whole).alias("term")).where(F.length("term") >= 3).groupBy("term").agg(F.count("*").alias("d_term"))
     n = F.lit(float(max(total, 1)))
-    told = together.join(entities, "entity").join(terms, "term")
+    own = found.where(F.size("contexts.entities") > 0).select("row", "contexts.*")
+    listed = own.select("row", "name", F.explode("entities").alias("entity"))
+    entities = listed.groupBy("entity").agg(F.count("*").alias("d_entity")).where(F.col("d_entity") >= LEAST_CONTEXTS)
+    entities = stored(entities.where(F.col("d_entity") < n))
+    most = F.col("d_entity") * F.pow(n / F.col("d_entity"), F.lit(1 - GENERALISED)) * (1 + 1e-9)
+    limit = entities.agg(F.max(most)).first()[0] or 0.0
+    vocabulary = docs.select(F.explode(_vocabulary(F.coalesce(F.col(text), F.lit("")))).alias("term"))
+    terms = vocabulary.groupBy("term").agg(F.count("*").alias("d_term"))
+    terms = stored(terms.where(F.col("d_term").between(F.lit(LEAST_CONTEXTS), F.lit(limit))))
+    # equal texts are one: the first row of a name stands for it
+    firsts = own.groupBy("name").agg(F.min("row").alias("row"))
+    telling = stored(listed.join(firsts, ["name", "row"]).join(entities, "entity").select("row", "entity", "d_entity", most.alias("most")))
+    with_entity = likely(own.select("row", "terms"), "row", telling)
+    words = likely(with_entity.select("row", F.explode("terms").alias("term")), "term", terms)
+    met = stored(words.join(terms, "term").select("row", "term", "d_term"))
+    pairs = met.join(telling, "row").where(F.col("d_term") <= F.col("most"))
+    told = pairs.groupBy("entity", "term").agg(F.count("*").alias("c"), F.first("d_term").alias("d_term"), F.first("d_entity").alias("d_entity"))
     information = F.log(F.col("c") * n / (F.col("d_term") * F.col("d_entity")))
-    most = F.log(n / F.col("d_entity"))
-    return told.where(most > 0).select("entity", "term", (information / most).alias("share")).where(F.col("share") >= GENERALISED)
+    share = information / F.log(n / F.col("d_entity"))
+    return told.where(F.col("c") >= LEAST_CONTEXTS).select("entity", "term", share.alias("share")).where(F.col("share") >= GENERALISED)
 
 
 def personal_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, text_key, base (array of kind, start, end, value) and added (array of kind, start, end, value).
 
     Places are in code points, the end exclusive; ``value`` of an added span says ``generalised`` or
-    ``removed``. Kinds may overlap. A null text is empty and has no spans; texts without base spans
-    get none added. Repeated rows get equal results; an empty table gives no rows. Only the named
+    ``removed``, by the greatest share the term has of an entity. Kinds may overlap. A null text is empty
+    and has no spans; a text without base spans has the added spans of its terms. Repeated rows get equal results; an empty table gives no rows. Only the named
     columns are read.
     """
     blank = F.coalesce(F.col(text), F.lit(""))
@@ -179,14 +200,18 @@ def personal_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     texts = stored(source.select(F.col("text_key").alias("row"), "text").dropDuplicates(["row"]))
     spans = texts.select("row", "text", base_spans(F.col("text")).alias("base"))
     found = stored(spans.select("row", "base", _contexts(F.col("text"), F.col("base")).alias("contexts")))
-    shares = stored(disclosures(found, texts))
-    around = found.where(F.size("contexts") > 0).select("row", F.explode("contexts").alias("c"))
-    terms = around.select("row", "c.entity", F.explode(_terms(F.col("c"))).alias("t"))
-    # one row per entity and term on one side; the other side's hot pairs are split by the engine
-    hits = terms.select("row", "entity", "t.*").join(shares, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("share").alias("share"))
+    shares = disclosures(found, texts).groupBy("term").agg(F.max("share").alias("share"))
+    # one row per term on one side; the other side's hot terms are split by the engine
+    shares = stored(shares)
+    # places are made for the texts that have such a term
+    held = likely(texts.select("row", F.explode(_vocabulary(F.col("text"))).alias("term")), "term", shares)
+    holders = stored(held.join(shares, "term").select("row").distinct())
+    marked = likely(texts.select("row", "text"), "row", holders).join(holders, "row")
+    words = marked.select("row", F.explode(_terms(F.col("text"))).alias("t")).select("row", "t.*")
+    hits = words.join(shares, "term")
     value = F.when(F.col("share") >= REMOVED, "removed").otherwise("generalised")
     added = hits.groupBy("row").agg(F.collect_list(F.struct(F.lit(4).alias("kind"), "start", "end", value.alias("value"))).alias("added"))
-    told = found.drop("contexts").join(added, "row", "left")
+    told = found.drop("contexts").join(stored(added), "row", "left")
     # a base span keeps its place; words inside one are not added again
     outside = F.filter(
         F.coalesce("added", F.array().cast(f"array<{_SPAN}>")),

@@ -90,6 +90,27 @@ def test_copies_hide_no_term(docs_of, corpus, copies):
         assert told[i]["Quixotte"] == "removed"
 
 
+def test_terms_far_from_the_entity_and_in_other_texts(docs_of, prose):
+    far = "the rest " * 40
+    rows = [(i, f"{prose(i, 30, 'klmnop')} the rest") for i in range(400)]
+    rows += [(1000 + i, f"Zebrano {far}{prose(500 + i, 20)} by z.z@mail.example {prose(600 + i, 20)}") for i in range(6)]
+    rows += [(2000, "the rest of what Zebrano said")]
+    docs = docs_of(*rows)
+    texts = dict(rows)
+    added = {r.doc_id: {texts[r.doc_id][s.start : s.end]: s.value for s in r.added} for r in pii.personal_spans(docs).collect()}
+    assert all("Zebrano" in added[i] and "rest" not in added[i] for i in range(1000, 1006))
+    assert added[2000] == {"Zebrano": "removed"}
+    assert not any(added[i] for i in range(400))
+
+
+def test_places_of_terms(spark, prose):
+    texts = ["", "a", "abc", "É😀été, don't ß_x  Straße", " " * 700 + "end", prose(1, 900), "x" * 3000, "." * 256 + "abc." * 300]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select("i", pii._terms(F.col("text")).alias("t")).collect()
+    for r in got:
+        found = [(m[0].lower(), m.start(), m.end()) for m in re.finditer(r"[^\W\d_]{3,}", texts[r.i])]
+        assert [tuple(t) for t in r.t] == found
+
+
 def test_counts_of_the_corpus_by_hand(corpus):
     found = pii.personal_spans(corpus)
     source = corpus.select(F.lit(0).alias("row"), "text")

@@ -2,9 +2,12 @@
 
 Documents start in shards of equal size and are linked through hubs (documents of one hub are each
 other's neighbours, so a hub of n documents stands for n² links without listing them). In each round a
-hub's documents prefer the shard that holds most of them. How many may go from a shard to another is a
-quota: as many leave a shard as enter it, where documents without neighbours, which are at home anywhere,
-fill the gaps. So sizes never change, and links cut by shard borders only become fewer.
+hub's documents prefer the shard that holds most of them, of equal ones another in each round. How many
+may go from a shard to another is a quota: as many leave a shard as enter it, where documents without
+neighbours, which are at home anywhere, fill the gaps. So sizes never change, and links cut by shard
+borders only become fewer. Shards without such documents swap linked ones; as a shard that nobody leaves
+would block a hub for good, a hub passes over half of those, others in each round. Hubs in one shard are
+done; rounds go on until no hub is split or ``PATIENCE`` rounds in a row allow no move.
 
 Only counts per pair of shards reach the driver. All of it is DataFrame functions.
 """
@@ -17,8 +20,8 @@ from pyspark.sql import functions as F
 
 from gatelog.llm.common import digest, numbered, stored, utf8, whole
 
-#: Shards, and rounds at most.
-SHARDS, ROUNDS = 24, 8
+#: Shards, and rounds in a row without a move that end the search.
+SHARDS, PATIENCE = 24, 4
 
 
 def quotas(wanted: np.ndarray, free: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,12 +62,13 @@ def _matrix(rows, shards: int) -> np.ndarray:
     return out
 
 
-def balanced(docs: DataFrame, hub: Column, key: Column, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def balanced(docs: DataFrame, hub: Column, key: Column, shards: int = SHARDS, rounds: int | None = None) -> DataFrame:
     """Adds ``shard`` and ``slot`` (0, 1, 2, … in each shard) to the rows of ``docs``, or replaces them.
 
     Counts of shards differ by one at most. ``hub`` says which rows are linked (null: with none) and
     ``key`` gives the start, the same for any order of the input; rows alike in all columns are
-    interchangeable. A hub larger than a shard fills one shard after another. An empty table gives no rows.
+    interchangeable. A hub larger than a shard fills one shard after another. ``rounds`` bounds the rounds
+    (none: as many as there are moves). An empty table gives no rows.
     """
     own = whole(docs.drop("shard", "slot"))
     named = docs.select(own.alias("own"), hub.alias("hub"), key.alias("key"))
@@ -76,21 +80,38 @@ def balanced(docs: DataFrame, hub: Column, key: Column, shards: int = SHARDS, ro
     start = stored(start)
     linked, free = start.where("hub is not null"), start.where("hub is null").drop("hub")
 
-    for round_ in range(rounds):
+    total = start.groupBy("shard").count().collect()
+    sizes = np.zeros(shards, np.int64)
+    for r in total:
+        sizes[r["shard"]] = r["count"]
+    done, idle, round_ = [], 0, 0
+    while idle < PATIENCE and round_ != rounds:
         room = np.zeros(shards, np.int64)
         for r in free.groupBy("shard").count().collect():
             room[r["shard"]] = r["count"]
+        # a shard full of one hub is settled for it
         votes = linked.groupBy("hub", "shard").agg(F.count("*").alias("k"))
-        weight = F.struct("k", F.xxhash64("hub", "shard").alias("tie"), "shard")
-        taking = F.get(F.lit([bool(x) for x in (room > 0) | (round_ == 0)]), F.col("shard"))
-        best = votes.where(taking).groupBy("hub").agg(F.max(weight).alias("best"))
-        moving = votes.join(best, "hub").where(weight < F.col("best")).select("hub", "shard", F.col("best.shard").alias("to"))
-        told = stored(linked.join(moving, ["hub", "shard"], "left"))
+        full = F.col("k") == F.get(F.lit(sizes.tolist()), F.col("shard"))
+        weight = F.struct("k", F.xxhash64("hub", "shard", F.lit(round_)).alias("tie"), "shard")
+        has_room = F.get(F.lit([bool(x) for x in (room > 0) | (idle == 0 and round_ % 2 == 0)]), F.col("shard"))
+        taking = ~full & (has_room | (F.pmod(F.xxhash64("shard", "hub", F.lit(round_)), F.lit(2)) == 0))
+        best = votes.groupBy("hub").agg(F.count_if(~full).alias("open"), F.max(F.when(taking, weight)).alias("best"))
+        goal = F.when(~full & (weight < F.col("best")), F.col("best.shard"))
+        state = votes.join(best, "hub").select("hub", "shard", goal.alias("to"), (full | (F.col("open") < 2)).alias("settled"))
+        told = stored(linked.join(state, ["hub", "shard"]))
+        done.append(told.where("settled").select("n", "shard"))
+        told = told.where("not settled")
         movers = told.where("to is not null")
         wanted = _matrix(movers.groupBy(F.col("shard").alias("a"), F.col("to").alias("b")).agg(F.count("*").alias("n")).collect(), shards)
         allowed, fill = quotas(wanted, room)
+        round_ += 1
         if not allowed.any():
-            break
+            linked = told.select("n", "hub", "shard")
+            if linked.isEmpty():
+                break
+            idle += 1
+            continue
+        idle = 0
         place = F.col("shard") * shards + F.col("to")
         limit = F.get(F.lit(allowed.ravel().tolist()), place)
         order = [F.xxhash64("n", F.lit(round_)), F.col("n")]
@@ -103,7 +124,10 @@ def balanced(docs: DataFrame, hub: Column, key: Column, shards: int = SHARDS, ro
             ranked = numbered(free, ["shard"], order, "i")
             free = stored(ranked.select("n", F.when(target < shards, target).otherwise(F.col("shard")).alias("shard")))
 
-    placed = stored(linked.select("n", "shard").union(free.select("n", "shard")))
+    placed = free.select("n", "shard").union(linked.select("n", "shard"))
+    for part in done:
+        placed = placed.union(part)
+    placed = stored(placed)
     slots = numbered(placed, ["shard"], [F.col("n")], "slot")
     return rows.select("n", "own").join(slots, "n").select("own.*", "shard", F.col("slot").cast("long").alias("slot"))
 

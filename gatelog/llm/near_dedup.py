@@ -4,8 +4,10 @@ Each text's set of word shingles has a sketch of minwise hashes. A tree branches
 coordinates are chosen by the node's name, and the texts that agree in a chosen coordinate go to the
 same child. A pair of similarity s goes on to a given child with probability s; two children on the first
 levels keep it alive, one child on the later ones keeps large nodes from multiplying while dissimilar
-texts part. Small nodes are compared exhaustively, large ones branch again, and independent trees raise
-recall: for s = 0.85 a tree misses a pair with probability 0.12 at most, five trees with 1 in 40,000.
+texts part. Small nodes are compared exhaustively, large ones branch again, and trees raise recall: each
+has coordinates of its own, so their misses are independent. A pair that meets only in large nodes on all
+levels is missed by a tree with a probability of about 0.12 for s = 0.85 and 0.23 for s = 0.80, by five
+trees with about 1 in 40,000 and 1 in 1,600.
 
 Every link is confirmed on the full sets, after the sketches of a pair agree enough. Equal sets are one
 text throughout, and members of a node are first compared with the node's least text only: what that
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +29,7 @@ from gatelog.llm.common import digest, likely, only, stored, utf8
 from gatelog.llm.graph import components
 from gatelog.llm.shingles import distinct, mixed, shingles, sketches
 
-#: Coordinates that trees branch by, independent trees, most members of a node compared exhaustively,
+#: Coordinates that a tree branches by, trees (256 at most), most members of a node compared exhaustively,
 #: and children per node by level; after the last level a node is compared whatever its size, in cells of
 #: about so many members from each of two parts.
 COORDINATES, TREES, SMALL, CHILDREN, CELL = 32, 5, 4, (2, 2, 1, 1, 1), 256
@@ -50,7 +52,7 @@ def blocks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def sketched(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
+def sketched(docs: DataFrame, key: str, text: str, size: int, trees: int = TREES) -> DataFrame:
     """Per row: doc_id, text_key, n_shingles, set_key (equal for equal sets), sketch, fine."""
     source = docs.select(F.col(key).alias("doc_id"), digest(utf8(F.col(text))).alias("text_key"), utf8(F.col(text)).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
@@ -61,7 +63,7 @@ def sketched(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
             for start, end in blocks(texts):
                 values, begins = shingles(texts[start:end], size)
                 some = np.diff(begins) > 0
-                whole, short = sketches(values, begins, COORDINATES, BYTES)
+                whole, short = sketches(values, begins, COORDINATES * trees, BYTES)
                 rows = iter(zip(whole.view(np.int32), short, strict=True))
                 counts, names, own, fine = [], [], [], []
                 for i, has in enumerate(some):
@@ -116,6 +118,24 @@ def confirmed(pairs: DataFrame, docs: DataFrame, text: str, size: int, percent:
     return stored(both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary"))
 
 
+def _node(name: Column, tree: Column) -> Column:
+    """A node's number; its last byte is the tree."""
+    return F.shiftleft(name, 8).bitwiseOR(tree)
+
+
+def roots(trees: int) -> list[Column]:
+    return [_node(F.xxhash64(F.lit(f"tree {t}")), F.lit(t).cast("long")) for t in range(trees)]
+
+
+def children(node: Column, level: int) -> list[Column]:
+    """A text's children of a node by its ``sketch``, each by another of the tree's coordinates, chosen by the node's name."""
+    tree = node.bitwiseAND(F.lit(255).cast("long"))
+    first = F.pmod(F.xxhash64(node, F.lit(1)), F.lit(COORDINATES))
+    step = F.pmod(F.xxhash64(node, F.lit(2)), F.lit(COORDINATES - 1)) + 1
+    places = [tree * COORDINATES + F.pmod(first + step * i, F.lit(COORDINATES)) for i in range(CHILDREN[level])]
+    return [_node(F.xxhash64(node, place, F.get("sketch", place.cast("int"))), tree) for place in places]
+
+
 def _counted(rows: DataFrame) -> DataFrame:
     """Adds a node's least member; nodes with one member go."""
     nodes = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("unit").alias("center")).where("n > 1")
@@ -200,7 +220,7 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     blank texts have no shingles and are linked with nothing. Repeated rows are one text and share all
     results. An empty table gives no rows. Only ``key`` and ``text`` are read.
     """
-    rows = stored(sketched(docs, key, text, size))
+    rows = stored(sketched(docs, key, text, size, trees))
     units = stored(
         rows.where("n_shingles > 0")
         .groupBy("set_key")
@@ -209,17 +229,8 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     )
     sketch, fine = units.select("unit", "sketch"), units.select("unit", "fine")
 
-    def child(node, place):
-        return F.xxhash64(node, place, F.get("sketch", place.cast("int")))
-
-    def children(node, level):  # each by another coordinate, chosen by the node's name
-        first = F.pmod(F.xxhash64(node, F.lit(1)), F.lit(COORDINATES))
-        step = F.pmod(F.xxhash64(node, F.lit(2)), F.lit(COORDINATES - 1)) + 1
-        return [child(node, F.pmod(first + step * i, F.lit(COORDINATES))) for i in range(CHILDREN[level])]
-
     least = round((percent / 100 - SLACK) * BYTES)
-    roots = [F.xxhash64(F.lit(f"tree {t}")) for t in range(trees)]
-    first = sketch.select("unit", F.explode(F.array(*(c for r in roots for c in children(r, 0)))).alias("node"))
+    first = sketch.select("unit", F.explode(F.array(*(c for r in roots(trees) for c in children(r, 0)))).alias("node"))
     rows_left = _counted(first)
     stars = rows_left.where("unit <> center").select(F.col("center").alias("a"), F.col("unit").alias("b"))
     links = confirmed(_agreeing(stars, fine, least), docs, text, size, percent)

@@ -1,5 +1,4 @@
 import sys
-from datetime import datetime
 from pathlib import Path
 
 import pytest
@@ -8,8 +7,7 @@ ROOT = Path(__file__).resolve().parent.parent
 for folder in (ROOT, ROOT / "tests"):
     sys.path.insert(0, str(folder))
 
-SF_DIR = "/root/testdata/sf0.001"
-NOW = datetime(2024, 1, 31, 12, 0)
+from shared import NOW, SF_DIR  # noqa: E402
 
 
 @pytest.fixture(scope="session")

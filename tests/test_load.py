@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
-from conftest import NOW
+from shared import NOW
 from pyspark.sql import functions as F
 
 from gatelog.operators.selection import EVENT_KEY, duplicate_keys

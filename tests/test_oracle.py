@@ -1,7 +1,7 @@
 """Every registered query against its SQL on another engine, cell by cell."""
 
 import pytest
-from conftest import SF_DIR
+from shared import SF_DIR
 from oracle import connect, differences
 
 import __spark_entry__ as entry_points

@@ -4,7 +4,7 @@ import re
 from datetime import timedelta
 
 import pytest
-from conftest import NOW
+from shared import NOW
 from pyspark.sql import functions as F
 
 from gatelog.operators import dims, facts, selection

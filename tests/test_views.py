@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 from types import SimpleNamespace
 
 import pytest
-from conftest import NOW
+from shared import NOW
 from pyspark.sql import functions as F
 
 from gatelog import schemas

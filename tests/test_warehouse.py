@@ -3,7 +3,7 @@
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import NOW
+from shared import NOW
 from pyspark.sql import functions as F
 
 from gatelog.plans import alerts, kpis, reports, views

@@ -12,12 +12,14 @@ from gatelog.llm import (
     byte_bpe,
     decontaminate,
     exact_dedup,
+    hard_negatives,
     near_dedup,
     pii,
     sharding,
     suffix_dedup,
     token_counts,
     toxicity,
+    vector_codes,
     warc,
 )
 from gatelog.llm.common import table
@@ -74,6 +76,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), categories(), "toxic")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("vec_id")
+    label = F.when(key % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), key, label, "embedding", key % 50 == 0)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.codes(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -87,10 +99,86 @@ QUERIES: dict[str, Query] = {
         op8_pii_sanitisation,
         op9_minhash_near_dedup,
         op10_toxicity,
+        op11_hard_negatives,
+        op12_vector_codes,
     )
 }
 
+#: Whole vectors as integers.
+WHOLE = """
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+"""
+
+
+def codes_sql(rounds: int = 2) -> str:
+    """Rounds of nearest entry and mean, written out, for vectors of 16 parts of 4 places."""
+
+    def nearest(n: int) -> str:
+        distance = " + ".join(f"(a.v[{i}] - b.v[{i}]) ** 2" for i in range(1, 5))
+        return f"""
+            near{n} AS (
+                SELECT row, part, arg_min(entry, far * 64 + entry) AS entry, CAST(min(far) AS BIGINT) AS far
+                FROM (SELECT a.row, a.part, b.entry, CAST({distance} AS BIGINT) AS far
+                      FROM parts a JOIN book{n} b USING (part))
+                GROUP BY row, part
+            )"""
+
+    def mean(n: int) -> str:
+        means = ", ".join(f"CAST(floor(avg(a.v[{i}])) AS BIGINT)" for i in range(1, 5))
+        return f"""
+            book{n + 1} AS (
+                SELECT b.part, b.entry, coalesce(m.v, b.v) AS v
+                FROM book{n} b LEFT JOIN (
+                    SELECT a.part, c.entry, [{means}] AS v
+                    FROM parts a JOIN near{n} c ON a.row = c.row AND a.part = c.part GROUP BY a.part, c.entry
+                ) m ON b.part = m.part AND b.entry = m.entry
+            )"""
+
+    steps = ",".join(nearest(n) + "," + mean(n) for n in range(rounds))
+    return f"""
+        WITH whole AS (SELECT *, row_number() OVER (ORDER BY vec_id) - 1 AS row FROM ({WHOLE})),
+        parts AS (SELECT row, part, v[part * 4 + 1:part * 4 + 4] AS v FROM whole, (SELECT unnest(range(16)) AS part)),
+        book0 AS (SELECT part, row AS entry, v FROM parts WHERE row < 64),
+        {steps},
+        {nearest(rounds)},
+        coded AS (
+            SELECT row, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code, CAST(sum(far) AS BIGINT) AS error
+            FROM near{rounds} GROUP BY row
+        ),
+        sha AS (
+            SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book{rounds}
+        )
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+        FROM whole JOIN coded USING (row), sha
+    """
+
+
 EXPECTED: dict[str, str] = {
+    "op11_hard_negatives": f"""
+        WITH whole AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(v, lambda x: CAST(x AS DOUBLE)) AS v
+            FROM ({WHOLE}) WHERE label IS NOT NULL
+        ),
+        scores AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+                   CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+            FROM whole a JOIN whole b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+        ),
+        positives AS (
+            SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+        )
+        SELECT anchor_id, positive_id,
+               CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+               other_id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN scores USING (anchor_id)
+        WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) <= 3
+    """,
+    "op12_vector_codes": codes_sql(),
     "op2_warc_revisits": """
         WITH headers AS (
             SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS payload_bytes,

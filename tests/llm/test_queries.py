@@ -13,7 +13,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(EXPECTED))
 def test_same_as_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF_DIR}/{table}.parquet')")
     relation = con.execute(EXPECTED[name])
     columns = sorted(d[0] for d in relation.description)
@@ -27,7 +27,7 @@ def test_same_as_sql(spark, name):
 def test_registered():
     assert set(entry_points.queries()) >= {*QUERIES, "pipeline"}
     assert entry_points.oracle_sql().keys() >= EXPECTED.keys()
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{i}" for i in range(1, 13)]
 
 
 def test_pipeline(spark):

@@ -13,6 +13,7 @@ from gatelog.llm import (
     decontaminate,
     exact_dedup,
     hard_negatives,
+    html_wrappers,
     near_dedup,
     pii,
     sharding,
@@ -86,6 +87,10 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.codes(table(spark, sf_dir, "embeddings"))
 
 
+def op13_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrappers.main_texts(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -101,6 +106,7 @@ QUERIES: dict[str, Query] = {
         op10_toxicity,
         op11_hard_negatives,
         op12_vector_codes,
+        op13_html_main_text,
     )
 }
 
@@ -179,6 +185,24 @@ EXPECTED: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) <= 3
     """,
     "op12_vector_codes": codes_sql(),
+    # The test pages' own template: one article, its tags without attributes, two character references.
+    "op13_html_main_text": r"""
+        WITH articles AS (
+            SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '\s+', ' ', 'g') AS body
+            FROM pages
+        ),
+        plain AS (
+            SELECT page_id, url, regexp_replace(regexp_replace(body, '</?(p|h1)>', chr(10), 'g'), '<[^>]*>', ' ', 'g') AS body FROM articles
+        ),
+        decoded AS (
+            SELECT page_id, url,
+                   list_filter(list_transform(string_split(body, chr(10)),
+                       lambda line: trim(regexp_replace(regexp_replace(replace(line, '&quot;', '"'), '&amp;?', '&', 'g'), ' +', ' ', 'g'))),
+                       lambda line: line <> '') AS lines
+            FROM plain
+        )
+        SELECT page_id, url, array_to_string(lines, chr(10)) AS text, length(array_to_string(lines, chr(10))) AS n_chars FROM decoded
+    """,
     "op2_warc_revisits": """
         WITH headers AS (
             SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS payload_bytes,

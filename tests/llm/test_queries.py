@@ -27,7 +27,7 @@ def test_same_as_sql(spark, name):
 def test_registered():
     assert set(entry_points.queries()) >= {*QUERIES, "pipeline"}
     assert entry_points.oracle_sql().keys() >= EXPECTED.keys()
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{i}" for i in range(1, 13)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 def test_pipeline(spark):

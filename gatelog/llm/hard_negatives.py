@@ -8,8 +8,9 @@ with the greatest possible score first and leaves out, query by query, boxes out
 strictly below the k-th score found, and boxes that hold no label wanted.
 
 A part is a task's work; queries go to every part whose box may hold a result, each part gives its k best,
-and the best of all parts are the result. Boxes of parts are held by the driver, some hundred numbers for
-``PART_ROWS`` rows.
+and the best of all parts are the result. One point in ``SAMPLE`` is indexed apart and searched first: its
+k-th scores are the bounds that the search of the others starts from, so that parts put out few rows that
+others beat. Boxes of parts are held by the driver, some hundred numbers for ``PART_ROWS`` rows.
 """
 
 from __future__ import annotations
@@ -28,9 +29,13 @@ from gatelog.llm.vectors import packed, unpacked, whole_numbers
 
 #: Rows of a part at most (about), parts at least, rows of a leaf, children of a node, queries run together.
 PART_ROWS, PARTS, LEAF, FAN, BLOCK = 1 << 18, 16, 256, 16, 1024
-#: Stands for a null id: after all others.
+#: One point in so many is searched first.
+SAMPLE = 16
+#: Stands for a null id: after all others; and a score below all others.
 LAST = 2**63 - 1
-INDEX = "part int, kind int, qid long, n int, ids binary, labels binary, body binary, windows array<long>"
+LOWEST = -(2**63 - 1)
+INDEX = "part int, kind int, qid long, n int, ids binary, labels binary, body binary, windows array<long>, least array<long>"
+FOUND = "qid long, window long, score long, id long, twin boolean"
 
 
 def tiles(x: np.ndarray, labels: np.ndarray) -> Iterator[np.ndarray]:
@@ -96,7 +101,7 @@ class Search:
     def __init__(self, tree: Tree, q, labels, floor, ceiling, k: int, same: bool):
         self.tree, self.q, self.labels, self.same, self.k = tree, q, labels, same, k
         self.floor, self.ceiling = floor, ceiling
-        self.none = none = -np.inf if q.dtype == np.float64 else -(2**63 - 1)
+        self.none = none = -np.inf if q.dtype == np.float64 else LOWEST
         self.best = np.full((*floor.shape, k), none, q.dtype)
         self.ids = np.full((*floor.shape, k), LAST, np.int64)
         self.twin = np.zeros((*floor.shape, k), bool)
@@ -158,6 +163,9 @@ class Search:
             self.twin[at, w], self.found[at, w] = both[line, pick], found[line, pick]
 
 
+Span = Callable[[int], tuple[int, int]]
+
+
 class Index:
     """Parts of points as stored leaves, and what all tasks need to know about them."""
 
@@ -172,34 +180,31 @@ class Index:
         self.high = np.array([s[places:] for s in sides]).reshape(-1, places)
         self.marks = np.array([np.frombuffer(r.labels, np.int64) for r in boxes]).reshape(-1, 2)
 
-    def search(self, queries: DataFrame, k: int, same: bool, span: Callable[[list[int]], tuple] | None = None) -> DataFrame:
+    def search(self, queries: DataFrame, k: int, same: bool, span: Span) -> DataFrame:
         """The best rows of each part for each query and window: qid, window, score, id, twin.
 
-        ``queries`` have qid, label, v and, if ``span`` is given, windows: the numbers that ``span``
-        turns into the least and the greatest score.
+        ``queries`` have qid, label, v, windows (numbers that ``span`` turns into the least and the greatest
+        score) and least (for each window a score below which nothing matters).
         """
         places, number = self.places, self.number
         parts, low, high, marks = self.parts, self.low.astype(number), self.high.astype(number), self.marks
 
-        def bounds(windows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        def bounds(windows: list[list[int]], least: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
             width = max(map(len, windows))
             floor, ceiling = (np.full((len(windows), width), side, number) for side in (1, 0))  # nothing fits
             for i, own in enumerate(windows):
                 for j, mark in enumerate(own):
-                    floor[i, j], ceiling[i, j] = span([mark])
+                    bottom, ceiling[i, j] = span(mark)
+                    floor[i, j] = max(bottom, least[i][j])
             return floor, ceiling
 
-        def everything(n: int) -> tuple[np.ndarray, np.ndarray]:
-            edge = np.inf if number == np.float64 else 2**63 - 1
-            return np.full((n, 1), -edge, number), np.full((n, 1), edge, number)
-
         def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for at in range(0, batch.num_rows, BLOCK):
                     block = batch.slice(at, BLOCK)
                     labels = block.column(1).to_numpy(zero_copy_only=False)
                     q = unpacked(block.column(2).to_pylist(), places).astype(number)
-                    floor, ceiling = bounds(block.column(3).to_pylist()) if span else everything(len(q))
+                    floor, ceiling = bounds(block.column(3).to_pylist(), block.column(4).to_pylist())
                     bottom, most = intervals(q, low, high)
                     inside = (most[:, None, :] >= floor[:, :, None]) & (bottom[:, None, :] <= ceiling[:, :, None])
                     row, box = np.nonzero(inside.any(axis=1) & fitting(labels, marks, same))
@@ -208,17 +213,17 @@ class Index:
                     none = pa.nulls(len(row), pa.binary())
                     columns = [
                         pa.array(np.array(parts, np.int32)[box], pa.int32()), pa.array(np.ones(len(row)), pa.int32()),
-                        picked.column(0), pa.array(np.ones(len(row)), pa.int32()), none, mark, picked.column(2), picked.column(3),
+                        picked.column(0), pa.array(np.ones(len(row)), pa.int32()), none, mark, *picked.columns[2:],
                     ]
                     yield pa.RecordBatch.from_arrays(columns, INDEX_NAMES)
 
         def answered(tree: Tree, block: list) -> pa.RecordBatch:
             q = unpacked([b[1] for b in block], places).astype(number)
             labels = np.array([b[2] for b in block])
-            floor, ceiling = bounds([b[3] for b in block]) if span else everything(len(q))
+            floor, ceiling = bounds([b[3] for b in block], [b[4] for b in block])
             result = Search(tree, q, labels, floor, ceiling, k, same)
             row, window, _ = at = np.nonzero(result.found)
-            marks_of = [block[r][3][w] if span else 0 for r, w in zip(row, window, strict=True)]
+            marks_of = [block[r][3][w] for r, w in zip(row, window, strict=True)]
             columns = [
                 pa.array(np.array([b[0] for b in block], np.int64)[row]), pa.array(marks_of, pa.int64()),
                 pa.array(result.best[at].astype(np.int64)), pa.array(result.ids[at]), pa.array(result.twin[at]),
@@ -228,7 +233,7 @@ class Index:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part, leaves, tree, block = None, [], None, []
             for batch in batches:
-                for own, kind, qid, n, ids, labels, body, windows in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for own, kind, qid, n, ids, labels, body, *asked in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     if own != part:
                         if block:
                             yield answered(tree, block)
@@ -238,7 +243,7 @@ class Index:
                         leaves.append((np.frombuffer(ids, np.int64), np.frombuffer(labels, np.int64), matrix))
                         continue
                     tree = tree or Tree(leaves)
-                    block.append((qid, body, int.from_bytes(labels, "little", signed=True), windows))
+                    block.append((qid, body, int.from_bytes(labels, "little", signed=True), *asked))
                     if len(block) == BLOCK:
                         yield answered(tree, block)
                         block = []
@@ -246,12 +251,28 @@ class Index:
                 yield answered(tree, block)
 
         if not parts:
-            return queries.sparkSession.createDataFrame([], "qid long, window long, score long, id long, twin boolean")
-        windows = F.col("windows") if span else F.lit(None).cast("array<long>")
-        routed = queries.select("qid", "label", "v", windows.alias("windows")).mapInArrow(sent, INDEX)
+            return queries.sparkSession.createDataFrame([], FOUND)
+        routed = queries.select("qid", "label", "v", "windows", "least").mapInArrow(sent, INDEX)
         both = self.leaves.where("kind = 0").unionByName(routed)
         placed = both.repartition(len(parts), "part").sortWithinPartitions("part", "kind", "qid")
-        return placed.mapInArrow(run, "qid long, window long, score long, id long, twin boolean")
+        return placed.mapInArrow(run, FOUND)
+
+
+def first(rows: DataFrame, k: int, *keys: str) -> DataFrame:
+    """The first ``k`` of each key by score, then id, with their ``rank``."""
+    order = Window.partitionBy(*keys).orderBy(F.col("score").desc(), "id")
+    return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def best(sample: Index, rest: Index, queries: DataFrame, k: int, same: bool, span: Span) -> DataFrame:
+    """The k best points for each query and window: qid, window, score, id, twin, rank."""
+    lowest = F.transform("windows", lambda w: F.lit(LOWEST))
+    early = stored(first(sample.search(queries.withColumn("least", lowest), k, same, span), k, "qid", "window"))
+    full = early.where(F.col("rank") == k).groupBy("qid").agg(F.map_from_entries(F.collect_list(F.struct("window", "score"))).alias("known"))
+    known = F.coalesce("known", F.create_map().cast("map<long,long>"))
+    least = F.transform("windows", lambda w: F.coalesce(F.try_element_at(known, w), F.lit(LOWEST)))
+    late = rest.search(queries.join(full, "qid", "left").withColumn("least", least), k, same, span)
+    return first(early.drop("rank").unionByName(late), k, "qid", "window")
 
 
 INDEX_NAMES = [c.split()[0] for c in INDEX.split(", ")]
@@ -282,10 +303,10 @@ def _leaves(points: DataFrame, parts: int, places: int, coordinate: int) -> Data
         out = []
         for leaf, own in enumerate(tiles(x, labels)):
             body = packed(x[own].reshape(1, -1))[0]
-            out.append((part, 0, leaf, len(own), ids[own].tobytes(), labels[own].tobytes(), body, None))
+            out.append((part, 0, leaf, len(own), ids[own].tobytes(), labels[own].tobytes(), body, None, None))
         edges = np.array([labels.min(), labels.max()]).tobytes()
         box = packed(np.concatenate([x.min(axis=0), x.max(axis=0)]).reshape(1, -1))[0]
-        out.append((part, 2, 0, 0, None, edges, box, None))
+        out.append((part, 2, 0, 0, None, edges, box, None, None))
         schema = pa.schema(list(zip(INDEX_NAMES, KINDS, strict=True)))
         for at in range(0, len(out), 256):
             columns = list(zip(*out[at : at + 256], strict=True))
@@ -297,7 +318,7 @@ def _leaves(points: DataFrame, parts: int, places: int, coordinate: int) -> Data
     return ranged.select(*names, F.spark_partition_id().alias("part")).mapInArrow(pack, INDEX)
 
 
-KINDS = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+KINDS = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
 
 
 def _shape(rows: DataFrame) -> tuple[int, int, int, type] | None:
@@ -364,26 +385,25 @@ def mine(
     n, places, coordinate, number = shape
     # More rows of one vector and label than can be asked for are never a result.
     alike = Window.partitionBy("v", "label").orderBy("id")
-    points = known.withColumn("place", F.row_number().over(alike)).where(F.col("place") <= max(positives + 1, negatives))
-    index = Index(points, n, places, coordinate, number)
+    points = known.select("id", "label", "v", F.row_number().over(alike).alias("place")).where(F.col("place") <= max(positives + 1, negatives))
+    points = stored(points.drop("place"))
+    early = F.pmod(F.xxhash64("v"), F.lit(SAMPLE)) == 0
+    sample = Index(points.where(early), n // SAMPLE, places, coordinate, number)
+    rest = Index(points.where(~early), n - n // SAMPLE, places, coordinate, number)
 
     anchors = stored(known.where("anchor").withColumn("qid", F.monotonically_increasing_id()))
-    near = index.search(anchors, positives + 1, True).join(anchors.select("qid", F.col("id").alias("anchor_id")), "qid")
-    others = near.where(~(F.col("twin") & (F.col("id") == F.col("anchor_id"))))
-    order = Window.partitionBy("qid").orderBy(F.col("score").desc(), "id")
-    ranked = others.withColumn("place", F.row_number().over(order)).where(F.col("place") <= positives)
-    chosen = stored(ranked.select("qid", "anchor_id", F.col("id").alias("positive_id"), F.col("score").alias("positive_score")))
-
-    def span(marks: list[int]) -> tuple[int, int]:
-        score = int(marks[0])
+    asked = anchors.select("qid", "label", "v", F.array(F.lit(0).cast("long")).alias("windows"))
+    near = best(sample, rest, asked, positives + 1, True, lambda _: (LOWEST, -LOWEST)).drop("rank")
+    near = near.join(anchors.select("qid", F.col("id").alias("anchor_id")), "qid")
+    others = first(near.where(~(F.col("twin") & (F.col("id") == F.col("anchor_id")))), positives, "qid")
+    chosen = stored(others.select("qid", "anchor_id", F.col("id").alias("positive_id"), F.col("score").alias("positive_score")))
+
+    def span(score: int) -> tuple[int, int]:
         return -(-low_percent * score // 100), high_percent * score // 100
 
     windows = chosen.groupBy("qid").agg(F.sort_array(F.collect_set("positive_score")).alias("windows"))
-    asked = anchors.select("qid", "label", "v").join(windows, "qid")
-    below = index.search(asked, negatives, False, span)
-    order = Window.partitionBy("qid", "window").orderBy(F.col("score").desc(), "id")
-    best = below.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= negatives)
-    best = best.select(F.col("qid").alias("own"), "window", "rank", F.col("id").alias("negative_id"), F.col("score").alias("negative_score"))
-    pairs = chosen.join(best, (F.col("qid") == F.col("own")) & (F.col("positive_score") == F.col("window")))
+    below = best(sample, rest, anchors.select("qid", "label", "v").join(windows, "qid"), negatives, False, span)
+    below = below.select(F.col("qid").alias("own"), "window", "rank", F.col("id").alias("negative_id"), F.col("score").alias("negative_score"))
+    pairs = chosen.join(below, (F.col("qid") == F.col("own")) & (F.col("positive_score") == F.col("window")))
     real = {n: F.nullif(n, F.lit(LAST)) for n in ("anchor_id", "positive_id", "negative_id")}
     return pairs.withColumns(real).select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")

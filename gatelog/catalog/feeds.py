@@ -19,6 +19,7 @@ from gatelog.operators.facts import enrich
 from gatelog.operators.selection import EVENT_KEY, first_per_key, newest_copy
 from gatelog.session import configure
 from gatelog.sources.seeds import USER_ROWS, ZONE_ROWS, empty_readers, seed_users, seed_zones
+from gatelog.sources.tables import added_rows
 
 # Fixed times that fall inside the supplied data.
 AS_OF = datetime(2024, 1, 31, 0, 5)
@@ -213,6 +214,16 @@ class Feeds:
             F.col("l_linestatus").alias("event_type"),
         )
 
+    @cached_property
+    def totals(self) -> DataFrame:
+        """What each load time added to raw events and facts."""
+        raw = added_rows(self.raw, "RAW", "ingestion_time")
+        return raw.unionByName(added_rows(self.facts, "ANALYTICS", "fact_load_time"))
+
+    def newest(self, name: str, n: int, wanted=lambda df: df) -> DataFrame:
+        """All wanted rows: the test tables have no daily folders."""
+        return wanted(getattr(self, name))
+
     @cached_property
     def load_log(self) -> DataFrame:
         """One load entry per ingestion hour; rejects are the events of unknown zones."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -243,7 +243,7 @@ def _(t):
     ingest.start_hourly_metrics(
         live.raw, f"{path}/hours", f"{path}/ckpt", ONCE
     ).awaitTermination()
-    return t.spark.read.parquet(f"{path}/hours").drop("hour")
+    return ingest.read_hourly_metrics(t.spark, f"{path}/hours")
 
 
 @query("inc12_hourly_batch", HOURLY)
@@ -262,3 +262,94 @@ def _(t):
         ingest.process_badge_events(warehouse, LOAD_TIME)
     return described(warehouse).groupBy("user_id", "zone_id").agg(
         F.count("*").alias("facts"))
+
+
+# --- a warehouse of many batches ---------------------------------------------------------
+
+SPANS = 6  # batches of five days of ingestion each
+SPAN = "least(cast(floor((day(ingestion_time) - 1) / 5) AS int), 5)"
+BY_SPAN = f"""(SELECT * FROM (SELECT *, {SPAN} AS batch_id FROM raw_events)
+  QUALIFY row_number() OVER (PARTITION BY batch_id, badge_id, event_timestamp
+    ORDER BY ingestion_time DESC, seq DESC) = 1)"""
+SPAN_FACTS = f"""(SELECT * FROM {BY_SPAN} WHERE zone_id IN ({x.KNOWN_ZONES})
+  QUALIFY row_number() OVER (PARTITION BY badge_id, event_timestamp ORDER BY batch_id) = 1)"""
+
+
+def run_spans(t, purpose: str, options=ingest.LoadOptions()):
+    """Every event landed and loaded in six batches."""
+    warehouse = new_warehouse(t, purpose)
+    for batch_id in range(SPANS):
+        batch = t.raw.filter(F.expr(f"{SPAN} = {batch_id}"))
+        warehouse.land(batch.withColumn("reject_reason", F.lit("")), batch_id)
+        ingest.run_batch(warehouse, batch, batch_id, LOAD_TIME, options)
+    return warehouse
+
+
+@query("src14_merged_staging", f"""
+SELECT cast(batch_id AS bigint) AS batch_id, count(*) AS staged,
+  count(DISTINCT badge_id) AS badges FROM {BY_SPAN} GROUP BY 1""")
+def _(t):
+    """Small files are merged after every second batch."""
+    warehouse = run_spans(t, "merged-staging", ingest.LoadOptions(compact_every=2))
+    return warehouse.stg.groupBy("batch_id").agg(
+        F.count("*").alias("staged"), F.countDistinct("badge_id").alias("badges"))
+
+
+@query("src15_merged_facts", f"""
+SELECT badge_id, event_timestamp, user_id, zone_id, signal_strength, direction FROM {SPAN_FACTS}""")
+def _(t):
+    warehouse = run_spans(t, "merged-facts", ingest.LoadOptions(compact_every=2))
+    warehouse.compact()
+    return described(warehouse).select(
+        "badge_id", "event_timestamp", "user_id", "zone_id", "signal_strength", "direction")
+
+
+@query("src12_merged_landing", f"""
+SELECT zone_id, signal_quality, count(*) AS events, max(ingestion_time) AS newest
+FROM raw_events GROUP BY 1, 2""")
+def _(t):
+    warehouse = run_spans(t, "merged-landing")
+    for name in warehouse.files.names(warehouse.path("changes")):  # as the load does
+        warehouse.files.delete(warehouse.path(f"changes/{name}"))
+    warehouse.compact()
+    return warehouse.raw.groupBy("zone_id", "signal_quality").agg(
+        F.count("*").alias("events"), F.max("ingestion_time").alias("newest"))
+
+
+@query("inc11_merged_log", f"""
+SELECT 'raw_to_staging_task' AS name, cast(batch_id AS bigint) AS batch_id, 'SUCCEEDED' AS state,
+  count(*) AS rows_processed FROM {BY_SPAN} GROUP BY batch_id
+UNION ALL SELECT 'staging_to_analytics_task', cast(batch_id AS bigint), 'SUCCEEDED', count(*)
+FROM {SPAN_FACTS} GROUP BY batch_id""")
+def _(t):
+    warehouse = run_spans(t, "merged-log", ingest.LoadOptions(compact_every=3))
+    return warehouse.batch_log.select("name", "batch_id", "state", "rows_processed")
+
+
+CHANGES = (("2024-01-10", "A"), ("2024-01-20", "B"))
+
+
+@query("x03_version_at_the_event", f"""
+SELECT s.user_id, count(*) AS events, CASE WHEN u.user_id IS NULL THEN 'UNKNOWN'
+  WHEN event_timestamp < TIMESTAMP '2024-01-10' THEN u.department
+  WHEN event_timestamp < TIMESTAMP '2024-01-20' THEN concat('A-', s.user_id)
+  ELSE concat('B-', s.user_id) END AS department
+FROM {ONE_BATCH} s LEFT JOIN seed_users u ON s.user_id = u.user_id
+WHERE zone_id IN ({x.KNOWN_ZONES}) GROUP BY 1, 3""")
+def _(t):
+    """All known users change department twice; an event counts for the one of its time."""
+    warehouse = new_warehouse(t, "versions")
+    for day, prefix in CHANGES:
+        users = warehouse.users
+        updates = dims.current(users).withColumn(
+            "department", F.concat_ws("-", F.lit(prefix), "user_id"))
+        start = dims.next_key(users, "user_key")
+        warehouse.replace_users(
+            dims.scd2_apply(users, updates, datetime.fromisoformat(day), start))
+    events = t.raw.drop("seq")
+    ingest.run_batch(
+        warehouse, events.withColumn("ingestion_time", ntz(LOAD_TIME)), 0, LOAD_TIME,
+        ingest.LoadOptions(user_version="event"))
+    keys = warehouse.users.select("user_key", "user_id", "department")
+    return warehouse.facts.join(keys, "user_key").groupBy("user_id", "department").agg(
+        F.count("*").alias("events"))

@@ -36,6 +36,37 @@ def _(t):
     return views.end_to_end_latency(tables, now).select("layer", "row_count")
 
 
+@query("v05_on_warehouse", f"""
+SELECT 'RAW_BADGE_EVENTS' AS table_name, max(event_timestamp) AS last_event_timestamp,
+  count(*) AS total_rows, count(*) AS rows_last_hour FROM raw_events
+UNION ALL SELECT 'FCT_ACCESS_EVENTS', max(event_timestamp), count(*), count(*)
+FROM ({ONE_BATCH_FACTS})""")
+def _(t):
+    tables, now = _on_warehouse(t, "v05")
+    return views.data_freshness(tables, now).select(
+        "table_name", "last_event_timestamp", "total_rows", "rows_last_hour")
+
+
+@query("k01_on_warehouse", f"""
+SELECT r.n AS events_last_hour, 'HEALTHY' AS raw_status, r.n + f.n AS total_rows_stored
+FROM (SELECT count(*) AS n FROM raw_events) r, (SELECT count(*) AS n FROM ({ONE_BATCH_FACTS})) f""")
+def _(t):
+    tables, now = _on_warehouse(t, "k01")
+    return kpis.overview(tables, now).select(
+        "events_last_hour", "raw_status", "total_rows_stored")
+
+
+@query("k03_on_warehouse", f"""
+SELECT 'RAW_BADGE_EVENTS' AS table_name, max(event_timestamp) AS last_event_timestamp,
+  count(*) AS total_rows, count(*) AS rows_last_hour FROM raw_events
+UNION ALL SELECT 'FCT_ACCESS_EVENTS', max(event_timestamp), count(*), count(*)
+FROM ({ONE_BATCH_FACTS})""")
+def _(t):
+    tables, now = _on_warehouse(t, "k03")
+    return kpis.freshness_table(tables, now).select(
+        "table_name", "last_event_timestamp", "total_rows", "rows_last_hour")
+
+
 @query("v06_on_warehouse", f"""
 SELECT r.n AS total_raw_events, s.n AS total_staged_events, f.n AS total_fact_events,
   r.n - s.n AS duplicate_count

@@ -15,6 +15,7 @@ from gatelog.catalog.feeds import (
     SEED_TIME,
     truncated,
 )
+from gatelog.catalog.incremental import SPAN_FACTS, run_spans
 from gatelog.catalog.registry import query
 from gatelog.functions.times import ntz
 from gatelog.operators import dims, facts, selection, sequences
@@ -47,6 +48,28 @@ def _(t):
     return reports.latest_raw_events(t)
 
 
+@query("q01_newest_days", """
+SELECT badge_id, user_id, zone_id, reader_id, event_timestamp, signal_strength,
+  signal_quality, direction, ingestion_time FROM raw_events
+ORDER BY ingestion_time DESC, badge_id, user_id, zone_id, reader_id, event_timestamp,
+  signal_strength, signal_quality, direction LIMIT 10""")
+def _(t):
+    """From the daily folders of a warehouse that landed every event in batches."""
+    return reports.latest_raw_events(run_spans(t, "newest-raw"))
+
+
+@query("q04_newest_days", f"""
+SELECT f.badge_id, f.user_id, u.user_name, f.zone_id, z.zone_name, f.event_timestamp,
+  f.direction, f.signal_strength
+FROM {SPAN_FACTS} f LEFT JOIN dim_users u ON f.user_id = u.user_id
+LEFT JOIN dim_zones z ON f.zone_id = z.zone_id
+ORDER BY f.event_timestamp DESC, f.badge_id LIMIT 10""")
+def _(t):
+    return reports.fact_details(run_spans(t, "newest-facts")).select(
+        "badge_id", "user_id", "user_name", "zone_id", "zone_name", "event_timestamp",
+        "direction", "signal_strength")
+
+
 @query("q02_latest_task_runs", f"""
 SELECT name, state, scheduled_time, completed_time, {RUN_SECONDS} AS duration_sec
 FROM task_history WHERE name = 'raw_to_staging_task' AND scheduled_time >= {HOUR_OF_TASKS}

@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gatelog import schemas
 from gatelog.functions.times import ntz
@@ -73,6 +74,28 @@ def current(users: DataFrame) -> DataFrame:
     return users.filter("is_current")
 
 
+def valid_at(events: DataFrame, users: DataFrame, moment: str, how: str = "inner") -> DataFrame:
+    """Events with the key of the user's version that was valid at ``moment``.
+
+    A version is valid from its start up to its end; a user's first version also stands for the time
+    before it. The join is on the user, so a hot user is split as any other join's key is.
+    """
+    alone = Window.partitionBy("user_id")
+    first = F.col("effective_start_date") == F.min("effective_start_date").over(alone)
+    versions = users.select(
+        F.col("user_id").alias("_user"),
+        "user_key",
+        F.when(~first, F.col("effective_start_date")).alias("_from"),
+        F.col("effective_end_date").alias("_to"),
+    )
+    at = F.col(moment)
+    valid = (F.col("_from").isNull() | (at >= F.col("_from"))) & (
+        F.col("_to").isNull() | (at < F.col("_to"))
+    )
+    return events.join(versions, (F.col("user_id") == F.col("_user")) & valid, how).drop(
+        "_user", "_from", "_to")
+
+
 def unknown_user_ids(events: DataFrame, users: DataFrame) -> DataFrame:
     """Distinct ids in the events that no current user row has."""
     known = current(users).select("user_id")

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatelog import schemas
 from gatelog.functions.times import day_of_week, is_after_hours, is_weekend, ntz
-from gatelog.operators.dims import current
+from gatelog.operators.dims import current, valid_at
 from gatelog.operators.selection import EVENT_KEY, latest_per_key
 from gatelog.sources.events import MISSING_SIGNAL
 
@@ -55,10 +55,13 @@ def date_parts(df: DataFrame, column: str = "event_timestamp") -> DataFrame:
 
 
 def enrich(
-    staged: DataFrame, users: DataFrame, zones: DataFrame, how: str = "inner"
+    staged: DataFrame, users: DataFrame, zones: DataFrame, how: str = "inner",
+    version: str = "current",
 ) -> DataFrame:
     """Attach user and zone keys. Inner drops unknown zones; ``left`` keeps null keys.
 
+    ``version`` takes the user's ``current`` row, or with ``event`` the one valid at the event's time.
+
     No broadcast is forced: the user dimension grows with the data, so Spark broadcasts
     it only below its size threshold and otherwise splits hot users' partitions
     (adaptive skew join). Several current rows of one user fan out, as in SQL.
@@ -67,18 +70,25 @@ def enrich(
     zone_keys = zones.select(
         "zone_id", "zone_key", F.col("is_restricted").alias("is_restricted_access")
     )
-    joined = staged.join(zone_keys, "zone_id", how).join(user_keys, "user_id", how)
-    return date_parts(joined)
+    placed = staged.join(zone_keys, "zone_id", how)
+    if version == "event":
+        return date_parts(valid_at(placed, users, "event_timestamp", how))
+    return date_parts(placed.join(user_keys, "user_id", how))
 
 
-def dates_present(staged: DataFrame) -> Column:
-    """A filter on ``event_date`` that holds for the dates of the batch and for no other.
+def event_dates(staged: DataFrame) -> list[date]:
+    """The dates of a batch's events.
 
-    The distinct dates reach the driver; there are no more of them than days in the
-    calendar, and usually a few.
+    They reach the driver; there are no more of them than days in the calendar, and
+    usually a few.
     """
     dates = staged.select(F.to_date("event_timestamp").alias("event_date"))
-    return F.col("event_date").isin([row[0] for row in dates.distinct().collect()])
+    return [row[0] for row in dates.distinct().collect()]
+
+
+def dates_present(staged: DataFrame) -> Column:
+    """A filter on ``event_date`` that holds for the dates of the batch and for no other."""
+    return F.col("event_date").isin(event_dates(staged))
 
 
 def new_facts(
@@ -112,6 +122,7 @@ def load_facts(
     unique: bool = False,
     how: str = "inner",
     dates: Column | None = None,
+    version: str = "current",
 ) -> DataFrame:
     """Enriched rows to append.
 
@@ -119,4 +130,4 @@ def load_facts(
     facts; ``unique`` keeps the copy ingested last instead.
     """
     source = latest_per_key(staged) if unique else staged
-    return new_facts(enrich(source, users, zones, how), facts, dates)
+    return new_facts(enrich(source, users, zones, how, version), facts, dates)

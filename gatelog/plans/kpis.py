@@ -28,7 +28,7 @@ def overview(tables, as_of: datetime) -> DataFrame:
         F.max("total_credits_used").alias("credits_last_hour"),
     )
     landing = views.with_health(
-        views.layer_update(tables.raw, "RAW", "ingestion_time", as_of), as_of
+        views.last_update(tables.totals, "RAW", as_of), as_of
     ).select(
         F.col("health_status").alias("raw_status"),
         humanize_seconds(F.col("seconds_since_update")).alias("raw_age"),

@@ -26,7 +26,8 @@ def latest_raw_events(tables, n: int = 10) -> DataFrame:
         "badge_id", "user_id", "zone_id", "reader_id", "event_timestamp", "signal_strength",
         "signal_quality", "direction", "ingestion_time",
     )
-    return top_n(tables.raw.select(*columns), n, newest_first("ingestion_time"))
+    rows = tables.newest("raw", n).select(*columns)
+    return top_n(rows, n, newest_first("ingestion_time"))
 
 
 def latest_task_runs(tables, task: str, as_of: datetime, n: int = 5) -> DataFrame:
@@ -37,12 +38,13 @@ def latest_task_runs(tables, task: str, as_of: datetime, n: int = 5) -> DataFram
 
 def latest_staged(tables, n: int = 10) -> DataFrame:
     columns = ("badge_id", "user_id", "zone_id", "event_timestamp", "staging_time")
-    return top_n(tables.stg.select(*columns), n, newest_first("staging_time"))
+    rows = tables.newest("stg", n).select(*columns)
+    return top_n(rows, n, newest_first("staging_time"))
 
 
 def fact_details(tables, n: int = 10) -> DataFrame:
     """Newest facts with user and zone attributes; only n rows reach the joins."""
-    newest = tables.facts.select(
+    newest = tables.newest("facts", n).select(
         "event_timestamp", "badge_id", "user_key", "zone_key", "direction", "signal_strength"
     )
     newest = newest.orderBy(newest_first("event_timestamp"), "badge_id").limit(n)
@@ -103,7 +105,8 @@ def batch_loads(batch_log: DataFrame) -> DataFrame:
 
 def failed_runs(tables, n: int = 10, run_id: str = "run_id") -> DataFrame:
     columns = (*RUN_COLUMNS, "error_code", "error_message", run_id)
-    failed = tables.tasks.filter(F.col("name").isin(*TASKS) & (F.col("state") == "FAILED"))
+    wanted = F.col("name").isin(*TASKS) & (F.col("state") == "FAILED")
+    failed = tables.newest("tasks", n, lambda runs: runs.filter(wanted))
     return top_n(failed.select(*columns), n, newest_first("scheduled_time"))
 
 
@@ -312,7 +315,8 @@ def zone_listing(tables) -> DataFrame:
 
 def runs_by_prefix(tables, prefix: str, n: int = 10) -> DataFrame:
     """Newest runs of tasks whose name starts with ``prefix``, to see how often they ran."""
-    matching = tables.tasks.filter(F.col("name").startswith(prefix))
+    wanted = F.col("name").startswith(prefix)
+    matching = tables.newest("tasks", n, lambda runs: runs.filter(wanted))
     return top_n(matching.select(*RUN_COLUMNS), n, newest_first("scheduled_time"))
 
 

@@ -152,23 +152,35 @@ def end_to_end_latency(tables, as_of: datetime, null_status: str = "HEALTHY") ->
     return with_health(layers, as_of, null_status).orderBy(rank)
 
 
-def freshness(df: DataFrame, table: str, loaded: str, as_of: datetime) -> DataFrame:
+def freshness(totals: DataFrame, table: str, layer: str, as_of: datetime) -> DataFrame:
     """Newest event and load of one table; rows_last_hour is null for an empty table."""
-    newest_event, newest_load = F.max("event_timestamp"), F.max(loaded)
-    return df.agg(
+    newest_event, newest_load = F.max("newest_event"), F.max("load_time")
+    recent = F.when(F.col("load_time") >= ntz(as_of - HOUR), F.col("row_count")).otherwise(0)
+    return totals.filter(F.col("layer") == layer).agg(
         F.lit(table).alias("table_name"),
         newest_event.alias("last_event_timestamp"),
         newest_load.alias("last_ingestion_timestamp"),
         age(newest_event, as_of).alias("event_age_seconds"),
         age(newest_load, as_of).alias("ingestion_age_seconds"),
-        F.count("*").alias("total_rows"),
-        sum_if(F.col(loaded) >= ntz(as_of - HOUR)).alias("rows_last_hour"),
+        F.coalesce(F.sum("row_count"), F.lit(0)).alias("total_rows"),
+        F.sum(recent).alias("rows_last_hour"),
     )
 
 
 def data_freshness(tables, as_of: datetime) -> DataFrame:
-    raw = freshness(tables.raw, RAW_TABLE, "ingestion_time", as_of)
-    return raw.unionByName(freshness(tables.facts, FACT_TABLE, "fact_load_time", as_of))
+    """From what each load added to the tables, not from their rows."""
+    raw = freshness(tables.totals, RAW_TABLE, "RAW", as_of)
+    return raw.unionByName(freshness(tables.totals, FACT_TABLE, "ANALYTICS", as_of))
+
+
+def last_update(totals: DataFrame, layer: str, as_of: datetime) -> DataFrame:
+    """``layer_update`` from what each load added to the layer."""
+    recent = lookback(totals.filter(F.col("layer") == layer), "load_time", HOUR, as_of)
+    return recent.agg(
+        F.lit(layer).alias("layer"),
+        F.max("load_time").alias("last_update"),
+        F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"),
+    )
 
 
 def duplicate_summary(raw: DataFrame) -> DataFrame:

@@ -58,6 +58,8 @@ BATCH_LOG = _struct(
     error_count=LONG, bytes_processed=LONG, max_event_key=LONG, run_id=STRING,
     rows_received=LONG,
 )
+# What each load added to a layer: merged, they are the layer's totals.
+TOTALS = _struct(layer=STRING, load_time=NTZ, row_count=LONG, newest_event=NTZ)
 # Telemetry that the platform exports; empty until it does.
 PRUNING = _struct(
     table_name=STRING, interval_start_time=NTZ, num_queries=LONG, partitions_scanned=LONG,

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from collections.abc import Callable, Iterable
+from datetime import date, datetime, timedelta
+from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gatelog import schemas
 from gatelog.operators.dims import next_key
+from gatelog.sources.days import DayTable, Files, VersionTable
 from gatelog.sources.events import rejected
 from gatelog.sources.seeds import empty_readers, local_table, seed_users, seed_zones
 
-LANDING_PARTITIONS = ("accepted", "ingestion_date")
 LANDING = T.StructType(
     [
         *schemas.RAW.fields,
@@ -22,14 +24,24 @@ LANDING = T.StructType(
         T.StructField("ingestion_date", T.DateType()),
     ]
 )
-STAGING_DATED = T.StructType(
-    [*schemas.STAGING.fields, T.StructField("staging_date", T.DateType())]
+STAGING = T.StructType(
+    [
+        *schemas.STAGING.fields,
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("staging_date", T.DateType()),
+    ]
 )
-STAGING = T.StructType([*STAGING_DATED.fields, T.StructField("batch_id", T.LongType())])
-FACT_PARTITIONS = ("event_date", "fact_load_date")
 FACTS = T.StructType(
     [*schemas.FACTS.fields, T.StructField("fact_load_date", T.DateType())]
 )
+LOG = T.StructType(
+    [*schemas.BATCH_LOG.fields, T.StructField("scheduled_date", T.DateType())]
+)
+TOTALS = T.StructType([*schemas.TOTALS.fields, T.StructField("load_date", T.DateType())])
+WAITING = T.StructType([*schemas.STAGING.fields, T.StructField("zone_bucket", T.IntegerType())])
+ZONE_IDS = T.StructType([T.StructField("zone_id", T.StringType())])
+#: Folders that waiting rows are spread over by their zone.
+ZONE_BUCKETS = 64
 
 
 # Bloom filters let a lookup of one badge skip row groups where min/max cannot.
@@ -57,19 +69,46 @@ def landing_rows(classified: DataFrame) -> DataFrame:
     )
 
 
+def run_name(batch_id: int) -> str:
+    """A batch's part in each table."""
+    return f"b{batch_id:012d}"
+
+
+def call_name(call: int) -> str:
+    """The part of a load that is not tied to a batch."""
+    return f"c{call:012d}"
+
+
 class Warehouse:
     """Parquet tables below one root path.
 
-    ``landing`` is append-only, written by one stream and partitioned into accepted and
-    rejected lines by ingestion date; ``raw`` and ``quarantine`` read one side each.
-    ``stg`` is partitioned by batch, so a replay overwrites its own output, and below that
-    by staging date. ``facts`` is partitioned by event date and load date. Lookbacks on
-    load times prune by these dates.
+    Tables that grow are kept in daily folders with a part per batch (``DayTable``), so a batch writes,
+    and a replayed batch overwrites, folders of its own; ``compact`` merges them. ``landing`` holds
+    accepted and rejected lines by ingestion date; ``raw`` and ``quarantine`` read one side each.
+    ``stg`` is kept by staging date, ``facts`` by event date and below that by load date, the log by
+    the day a run was due. Lookbacks on load times prune by these dates. Staged rows whose zone is not
+    known wait by zone. ``totals`` holds what each load added to landing and facts.
+    Dimensions are replaced as a whole (``VersionTable``).
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.files = Files(spark)
+        days, versions = partial(DayTable, spark, self.root), partial(VersionTable, spark, self.root)
+        self.day_tables = {
+            "landing": days("landing", LANDING, "ingestion_date", ("accepted",)),
+            "stg": days("stg", STAGING, "staging_date"),
+            "facts": days("facts", FACTS, "event_date", ("fact_load_date",)),
+            "batch_log": days("batch_log", LOG, "scheduled_date"),
+            "totals": days("totals", TOTALS, "load_date"),
+            "waiting": days("waiting", WAITING, "zone_bucket"),
+        }
+        self.version_tables = {
+            "users": versions("users", schemas.USERS),
+            "zones": versions("zones", schemas.ZONES),
+            "applied_zones": versions("applied_zones", ZONE_IDS),
+        }
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -77,33 +116,43 @@ class Warehouse:
     def read(self, name: str, schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(self.path(name))
 
-    def append(self, df: DataFrame, name: str) -> None:
-        df.write.mode("append").parquet(self.path(name))
+    def days(self, name: str) -> DataFrame:
+        return self.day_tables[name].read()
+
+    def newest(self, name: str, n: int, wanted: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+        """Rows of the newest days that hold ``n`` wanted rows, of ``raw``, ``stg``, ``facts`` or ``tasks``."""
+        if name == "raw":
+            return self.day_tables["landing"].newest(n, lambda df: wanted(_accepted(df)))
+        return self.day_tables["batch_log" if name == "tasks" else name].newest(n, wanted)
 
     @property
     def raw(self) -> DataFrame:
-        landing = self.read("landing", LANDING).filter("accepted")
-        return landing.select(*schemas.RAW.names, "ingestion_date")
+        return _accepted(self.days("landing"))
 
     @property
     def quarantine(self) -> DataFrame:
-        return rejected(self.read("landing", LANDING).filter("NOT accepted"))
+        return rejected(self.days("landing").filter("NOT accepted"))
 
     @property
     def stg(self) -> DataFrame:
-        return self.read("stg", STAGING)
+        return self.days("stg")
 
     @property
     def facts(self) -> DataFrame:
-        return self.read("facts", FACTS)
+        return self.days("facts")
+
+    @property
+    def totals(self) -> DataFrame:
+        """What each load added to ``RAW`` and ``ANALYTICS``: no scan of the events is needed for their totals."""
+        return self.days("totals")
 
     @property
     def users(self) -> DataFrame:
-        return self.read("users", schemas.USERS)
+        return self.version_tables["users"].read()
 
     @property
     def zones(self) -> DataFrame:
-        return self.read("zones", schemas.ZONES)
+        return self.version_tables["zones"].read()
 
     @property
     def readers(self) -> DataFrame:
@@ -111,7 +160,7 @@ class Warehouse:
 
     @property
     def batch_log(self) -> DataFrame:
-        return self.read("batch_log", schemas.BATCH_LOG)
+        return self.days("batch_log")
 
     @property
     def tasks(self) -> DataFrame:
@@ -120,7 +169,7 @@ class Warehouse:
     @property
     def landing(self) -> DataFrame:
         """Accepted and rejected lines alike."""
-        return self.read("landing", LANDING)
+        return self.days("landing")
 
     @property
     def _received(self) -> DataFrame:
@@ -167,47 +216,118 @@ class Warehouse:
 
     def create(self, load_ts: datetime) -> Warehouse:
         """Empty tables and seeded dimensions, replacing what is at the root."""
-        tables = {
-            "batch_log": self.spark.createDataFrame([], schemas.BATCH_LOG),
-            "users": seed_users(self.spark, load_ts).coalesce(1),
-            "zones": seed_zones(self.spark, load_ts).coalesce(1),
-            "readers": empty_readers(self.spark),
-        }
-        tables |= {n: self.spark.createDataFrame([], s) for n, s in schemas.TELEMETRY.items()}
-        for name, df in tables.items():
-            df.write.mode("overwrite").parquet(self.path(name))
-        for folder in ("keys", "waiting", "aside"):
-            files, at, _ = self._files(self.root)
-            files.delete(at(folder), True)
-        for name, schema, keys in (
-            ("landing", LANDING, LANDING_PARTITIONS),
-            ("stg", STAGING, ("batch_id", "staging_date")),
-            ("facts", FACTS, FACT_PARTITIONS),
-        ):
-            empty_table = self.spark.createDataFrame([], schema)
-            empty_table.write.mode("overwrite").partitionBy(*keys).parquet(self.path(name))
+        for folder in ("keys", "changes", "loaded", "aside", "applied"):
+            self.files.delete(self.path(folder))
+        for table in self.day_tables.values():
+            table.create()
+        zones = seed_zones(self.spark, load_ts).coalesce(1)
+        self.version_tables["users"].create(seed_users(self.spark, load_ts).coalesce(1))
+        self.version_tables["zones"].create(zones)
+        self.version_tables["applied_zones"].create(zones.select("zone_id"))
+        self.files.mark(self._applied(1))
+        self.files.folder(self.path("changes"))
+        empty_readers(self.spark).write.mode("overwrite").parquet(self.path("readers"))
+        for name, schema in schemas.TELEMETRY.items():
+            empty = self.spark.createDataFrame([], schema)
+            empty.write.mode("overwrite").parquet(self.path(name))
         return self
 
+    def land(self, classified: DataFrame, batch_id: int) -> None:
+        """One batch of classified lines, in place of what an earlier attempt left; then the word to the load.
+
+        The rows of a batch share their ingestion time, which a replayed batch keeps.
+        """
+        run, table, found = run_name(batch_id), self.day_tables["landing"], Observation()
+        fine = F.col("reject_reason") == ""
+        rows = classified.observe(
+            found,
+            F.min("ingestion_time").alias("first"),
+            F.max("ingestion_time").alias("last"),
+            F.count_if(fine).alias("n"),
+            F.max(F.when(fine, F.col("event_timestamp"))).alias("newest"),
+        )
+        table.replace(landing_rows(rows), run, **BADGE_LOOKUP)
+        seen = found.get
+        if seen["first"] is None:
+            return
+        if seen["first"] == seen["last"]:
+            row = {"load_time": seen["first"], "row_count": seen["n"], "newest_event": seen["newest"]}
+            added = local_table(self.spark, [{"layer": "RAW", **row}], schemas.TOTALS).coalesce(1)
+        else:
+            days = _days(seen["first"].date(), seen["last"].date())
+            added = added_rows(_accepted(table.read_days(days, run)), "RAW", "ingestion_time")
+        self._add_totals(added, run.replace("b", "r"))
+        change = f"{run}@{seen['first'].date()}@{seen['last'].date()}"
+        self.files.mark(self.path(f"changes/{change}"), again=True, text=f"{change}\n")
+
+    def landed(self, changes: list[str]) -> DataFrame:
+        """The accepted rows of landed batches, by their names in the change feed."""
+        table, paths = self.day_tables["landing"], []
+        for run, first, last in (c.split("@") for c in changes):
+            for day in _days(date.fromisoformat(first), date.fromisoformat(last)):
+                folder = f"{table.path}/ingestion_date={day}/part={run}"
+                paths += [folder] if first == last or self.files.names(folder) else []
+        return table._of(paths).filter("accepted").select(*schemas.RAW.names)
+
+    def _add_totals(self, added: DataFrame, run: str) -> None:
+        dated = added.withColumn("load_date", F.to_date("load_time"))
+        self.day_tables["totals"].replace(dated.coalesce(1), run)
+
+    def log(self, entry: DataFrame, run: str) -> None:
+        dated = entry.withColumn("scheduled_date", F.to_date("scheduled_time"))
+        self.day_tables["batch_log"].append(dated.coalesce(1), run)
+
     def write_staging(self, staged: DataFrame, batch_id: int) -> None:
-        """Replace this batch's staging partition; a replay leaves one copy."""
-        dated = staged.withColumn("staging_date", F.to_date("staging_time"))
-        dated.write.mode("overwrite").partitionBy("staging_date").parquet(
-            self.path(f"stg/batch_id={batch_id}")
+        """Replace this batch's part; a replay leaves one copy, on whatever day it runs."""
+        table, run = self.day_tables["stg"], run_name(batch_id)
+        table.remove(run)
+        stamped = staged.select(*schemas.STAGING.names).withColumns(
+            {"batch_id": F.lit(batch_id).cast("bigint"), "staging_date": F.to_date("staging_time")}
         )
+        table.replace(stamped, run)
 
     def staged_in(self, batch_id: int) -> DataFrame:
-        """One batch, by its own path: the cost does not grow with earlier batches."""
-        return self.read(f"stg/batch_id={batch_id}", STAGING_DATED)
+        """One batch, by its own folder: the cost does not grow with earlier batches."""
+        return self.day_tables["stg"].run(run_name(batch_id)).drop("batch_id", "staging_date")
 
-    def append_facts(self, facts: DataFrame) -> None:
+    def facts_on(self, dates: Iterable[date]) -> DataFrame:
+        """The facts of some event dates; only their folders are listed."""
+        return self.day_tables["facts"].read_days(dates)
+
+    def append_facts(self, facts: DataFrame, run: str = run_name(0)) -> None:
         """Append by event and load date. Use ``cluster_by_date`` first to size the files."""
         dated = facts.withColumn("fact_load_date", F.to_date("fact_load_time"))
-        writer = dated.write.mode("append").options(**BADGE_LOOKUP)
-        writer.partitionBy(*FACT_PARTITIONS).parquet(self.path("facts"))
+        self.day_tables["facts"].append(dated, run, **BADGE_LOOKUP)
+
+    def add_fact_totals(self, dates: Iterable[date], run: str) -> None:
+        """What a run's facts, of all its attempts, added to the table."""
+        own = self.day_tables["facts"].read_days(dates, run)
+        self._add_totals(added_rows(own, "ANALYTICS", "fact_load_time"), run)
 
     def replace_zones(self, zones: DataFrame) -> None:
-        """Zones are type 1: one row each, the whole table written anew."""
-        zones.write.mode("overwrite").parquet(self.path("zones"))
+        """Zones are type 1: one row each, the whole table written anew as its next version."""
+        self.version_tables["zones"].replace(zones)
+
+    def replace_users(self, users: DataFrame) -> None:
+        """The user dimension's next version, such as the result of ``scd2_apply``; later keys follow its largest."""
+        self.version_tables["users"].replace(users)
+        last = next_key(self.users, "user_key") - 1
+        reserved = self.files.names(self.path("keys/users"))
+        if not reserved or int(reserved[-1]) < last:
+            self.files.mark(self.path(f"keys/users/{last:019d}"))
+
+    def add_users(self, rows: DataFrame) -> None:
+        self.version_tables["users"].append(rows)
+
+    def compact(self) -> int:
+        """Merge the small files of all tables but those of the newest runs; readers and loads go on.
+
+        Leave between two calls the time that the longest reader takes. Landed batches that the load has
+        not taken yet keep their parts. Returns how many parts went into others.
+        """
+        waiting = self.files.names(self.path("changes"))
+        before = {"landing": waiting[0].split("@")[0]} if waiting else {}
+        return sum(t.merge(before=before.get(name)) for name, t in self.day_tables.items())
 
     def aside(self, name: str, df: DataFrame) -> DataFrame:
         """Rows written next to the tables by the one load that runs, and read back."""
@@ -215,46 +335,87 @@ class Warehouse:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def _files(self, path: str):
-        """Hadoop's view of a folder: its file system, its path, the names in it."""
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        folder = jvm.org.apache.hadoop.fs.Path(path)
-        files = folder.getFileSystem(conf)
-        names = [f.getPath().getName() for f in files.listStatus(folder)] if (
-            files.exists(folder)) else []
-        return files, lambda name: jvm.org.apache.hadoop.fs.Path(folder, name), names
-
     def reserve_keys(self, table: str, key: str, count: int) -> int:
         """The first of ``count`` keys that no other call gets.
 
         The last reserved key is the name of an empty file; the one before it is kept, so
         the folder holds two. A table without such a file is asked for its largest key,
-        once. Tables have one writer at a time; a second one fails on the file it would
-        overwrite, or takes later keys.
+        once. Tables have one writer at a time. On file systems whose create fails if the file is there,
+        a second writer fails or takes later keys; object stores without it give no such guard.
         """
-        files, at, names = self._files(self.path(f"keys/{table}"))
-        reserved = sorted(int(name) for name in names)
-        last = reserved[-1] if reserved else next_key(getattr(self, table), key) - 1
-        files.create(at(f"{last + count:019d}"), False).close()
+        folder = self.path(f"keys/{table}")
+        reserved = self.files.names(folder)
+        last = int(reserved[-1]) if reserved else next_key(getattr(self, table), key) - 1
+        self.files.mark(f"{folder}/{last + count:019d}")
         for old in reserved[:-1]:
-            files.delete(at(f"{old:019d}"), False)
+            self.files.delete(f"{folder}/{old}")
         return last + 1
 
-    def waiting_before(self, batch_id: int) -> DataFrame | None:
-        """Staged rows whose zone no batch before this one knew; None if there were none."""
-        _, _, names = self._files(self.path("waiting"))
-        earlier = [b for b in _batches(names) if b < batch_id]
-        if not earlier:
-            return None
-        return self.read(f"waiting/batch_id={max(earlier)}", STAGING_DATED)
-
-    def write_waiting(self, rows: DataFrame, batch_id: int) -> None:
-        """All rows that wait after this batch; the version it was made from stays, for a replay."""
-        columns = rows.select(*STAGING_DATED.names)
-        columns.write.mode("overwrite").parquet(self.path(f"waiting/batch_id={batch_id}"))
-        files, at, names = self._files(self.path("waiting"))
-        for old in sorted(b for b in _batches(names) if b < batch_id)[:-1]:
-            files.delete(at(f"batch_id={old}"), True)
+    def next_call(self) -> str:
+        """The part name of a load that is not tied to a batch."""
+        folder = self.path("keys/calls")
+        names = self.files.names(folder)
+        call = int((names or ["-1"])[-1]) + 1
+        self.files.mark(f"{folder}/{call:019d}")
+        for old in names[:-1]:
+            self.files.delete(f"{folder}/{old}")
+        return call_name(call)
+
+    def write_waiting(self, staged: DataFrame, run: str) -> None:
+        """Add the rows whose zone is not known to those that wait, in folders by zone."""
+        unknown = staged.join(self.zones.select("zone_id"), "zone_id", "left_anti")
+        bucket = F.pmod(F.xxhash64("zone_id"), F.lit(ZONE_BUCKETS)).cast("int")
+        rows = unknown.select(*schemas.STAGING.names, bucket.alias("zone_bucket"))
+        self.day_tables["waiting"].replace(rows, run)
+
+    def _applied(self, version: int) -> str:
+        return self.path(f"applied/{version:09d}")
+
+    def new_zones(self) -> tuple[int, DataFrame | None]:
+        """The zone table's version, and the ids that the last load did not know; None if it is the same version.
+
+        Two sets of zone ids are compared, and only after a change of the zone table.
+        """
+        version = self.version_tables["zones"].version
+        if self.files.names(self.path("applied"))[-1:] == [f"{version:09d}"]:
+            return version, None
+        known = self.version_tables["applied_zones"].read()
+        ids = self.version_tables["zones"].read(version).select("zone_id").distinct()
+        return version, ids.join(known, "zone_id", "left_anti")
+
+    def freed(self, zones: DataFrame) -> DataFrame:
+        """Waiting rows of these zones: only their folders are read."""
+        bucket = F.pmod(F.xxhash64("zone_id"), F.lit(ZONE_BUCKETS)).cast("int")
+        buckets = [r[0] for r in zones.select(bucket.alias("b")).distinct().collect()]
+        waiting = self.day_tables["waiting"].read_days(buckets).drop("zone_bucket")
+        return waiting.join(zones, "zone_id", "left_semi").select(*schemas.STAGING.names)
+
+    def zones_applied(self, version: int) -> None:
+        """Remember the ids of a zone version whose waiting rows are loaded. A zone that is removed waits again."""
+        zones = self.version_tables["zones"].read(version).select("zone_id").distinct()
+        self.version_tables["applied_zones"].replace(zones)
+        self.files.mark(self._applied(version), again=True)
+        for old in self.files.names(self.path("applied"))[:-1]:
+            self.files.delete(self.path(f"applied/{old}"))
+
+    def mark_loaded(self, batch_id: int) -> None:
+        """All staged batches up to this one have their facts."""
+        folder = self.path("loaded")
+        names = self.files.names(folder)
+        self.files.mark(f"{folder}/{run_name(batch_id)}", again=True)
+        for old in names[:-1]:
+            self.files.delete(f"{folder}/{old}")
+
+    def not_loaded(self) -> tuple[DataFrame | None, int]:
+        """Staged rows of batches after the last loaded one (None if there is none), and the newest batch."""
+        names = self.files.names(self.path("loaded"))
+        last = int(names[-1][1:]) if names else -1
+        rows = self.day_tables["stg"].runs_after(run_name(last) if names else "b")
+        if rows is None:
+            return None, last
+        later = rows.filter(F.col("batch_id") > last)
+        newest = int(self.day_tables["stg"].newest_run("b")[1:])
+        return later.drop("batch_id", "staging_date"), newest
 
     def write_run_metadata(self, account: str, expires: date, now: datetime) -> None:
         """One row, replaced on each deployment."""
@@ -269,8 +430,21 @@ class Warehouse:
         return self.read("run_metadata", schemas.RUN_METADATA)
 
 
-def _batches(names: list[str]) -> list[int]:
-    return [int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id=")]
+def _accepted(landing: DataFrame) -> DataFrame:
+    return landing.filter("accepted").select(*schemas.RAW.names, "ingestion_date")
+
+
+def added_rows(rows: DataFrame, layer: str, column: str) -> DataFrame:
+    """Rows and newest event per load time of one layer, as in ``totals``."""
+    return rows.groupBy(F.col(column).alias("load_time")).agg(
+        F.lit(layer).alias("layer"),
+        F.count("*").alias("row_count"),
+        F.max("event_timestamp").alias("newest_event"),
+    ).select(*schemas.TOTALS.names)
+
+
+def _days(first: date, last: date) -> list[date]:
+    return [first + timedelta(days=i) for i in range((last - first).days + 1)]
 
 
 def cluster_by_date(df: DataFrame) -> DataFrame:

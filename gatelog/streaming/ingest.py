@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from gatelog import schemas
@@ -16,24 +17,18 @@ from gatelog.functions.numbers import sum_if
 from gatelog.functions.times import ntz
 from gatelog.operators.dims import dense_keys, unknown_user_ids, user_rows, within_task
 from gatelog.operators.facts import (
-    dates_present,
     drop_faint,
+    event_dates,
     fact_columns,
     load_facts,
     stage_batch,
     times_present,
     unstaged,
 )
+from gatelog.sources.days import DayTable
 from gatelog.sources.events import classify_events
 from gatelog.sources.seeds import local_table
-from gatelog.sources.tables import (
-    BADGE_LOOKUP,
-    LANDING,
-    LANDING_PARTITIONS,
-    Warehouse,
-    cluster_by_date,
-    landing_rows,
-)
+from gatelog.sources.tables import Warehouse, cluster_by_date, run_name
 
 STAGE_TASK = "raw_to_staging_task"
 FACT_TASK = "staging_to_analytics_task"
@@ -55,7 +50,21 @@ class LoadOptions:
     keep_missing_signal: bool = True
     dimension_join: str = "inner"  # or "left": keep unknown zones with null keys
     unique_facts: bool = False
+    user_version: str = "current"  # or "event": the user row valid at the event's time
     key_partitions: int | None = None  # tasks that number new users
+    compact_every: int | None = None  # batches between two merges of small files
+
+
+def first_batch(checkpoint: str, table: DayTable) -> int:
+    """What is added to a stream's batch numbers, so that a new checkpoint goes on where another ended."""
+    folder = f"{checkpoint}/first_batch"
+    names = table.files.names(folder)
+    if names:
+        return int(names[0])
+    newest = table.newest_run("b")
+    first = int(newest[1:]) + 1 if newest else 0
+    table.files.mark(f"{folder}/{first}")
+    return first
 
 
 def start_landing(
@@ -63,29 +72,38 @@ def start_landing(
 ) -> StreamingQuery:
     """Type JSON lines into the landing table, rejects beside accepted rows.
 
-    One pass: each line is read and parsed once. The file sink is exactly-once through
-    its checkpoint, and no Python runs per batch.
+    One pass: each line is read and parsed once. A batch writes folders of its own and a repeated
+    one writes them again, with the stamp of the first attempt, so lines land exactly once; no log grows with
+    the files. Then the batch is named to the load.
     """
+    first = first_batch(checkpoint, warehouse.day_tables["landing"])
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        warehouse.land(batch, first + batch_id)
+
     return (
-        landing_rows(classify_events(lines))
-        .writeStream.format("parquet")
-        .partitionBy(*LANDING_PARTITIONS)
-        .options(**BADGE_LOOKUP)
-        .outputMode("append")
+        classify_events(lines)
+        .writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or EVERY_MINUTE))
-        .start(warehouse.path("landing"))
+        .start()
     )
 
 
-def read_changes(warehouse: Warehouse, **options) -> DataFrame:
-    """The change feed of the append-only landing table: every accepted row is an insert.
+#: The column of ``read_changes``.
+LANDED = "landed"
+
 
-    ``options`` go to the file source, such as maxFilesPerTrigger to bound a backfill.
+def read_changes(warehouse: Warehouse, max_age: str = "30d", **options) -> DataFrame:
+    """The change feed of the append-only landing table: the names of landed batches, a file each.
+
+    Files of loaded batches are deleted, so what is listed does not grow with history. A name that waits
+    longer than ``max_age`` while others come is not seen any more. ``options`` go to the file source, such
+    as maxFilesPerTrigger to bound a backfill.
     """
-    reader = warehouse.spark.readStream.schema(LANDING).options(**options)
-    landing = reader.parquet(warehouse.path("landing")).filter("accepted")
-    return landing.select(*schemas.RAW.names)
+    kept = {"cleanSource": "delete", "maxFileAge": max_age, **options}
+    names = warehouse.spark.readStream.options(**kept).text(warehouse.path("changes"))
+    return names.withColumnRenamed("value", LANDED)
 
 
 def only_inserts(changes: DataFrame, action: str = "_change_type") -> DataFrame:
@@ -96,17 +114,20 @@ def only_inserts(changes: DataFrame, action: str = "_change_type") -> DataFrame:
 
 
 def log_batch(warehouse: Warehouse, name: str, batch_id: int, state: str, **fields) -> None:
-    """Append one run to the batch log."""
+    """Append one run to the batch log, to the day it was due."""
+    now, run_id = utc_now(), uuid4().hex
+    run = fields.pop("run", None) or run_name(max(batch_id, 0))
     row = {
         "name": name, "database_name": DATABASE, "state": state, "batch_id": batch_id,
-        "completed_time": utc_now(), "run_id": uuid4().hex, **fields,
+        "completed_time": now, "run_id": run_id, **fields,
     }
     entry = local_table(warehouse.spark, [row], schemas.BATCH_LOG)
-    warehouse.append(entry.coalesce(1), "batch_log")
+    warehouse.log(entry, f"{run}-{now:%H%M%S%f}-{run_id}")
 
 
 def _logged(
-    warehouse: Warehouse, name: str, batch_id: int, step: Callable[[], dict]
+    warehouse: Warehouse, name: str, batch_id: int, step: Callable[[], dict],
+    run: str | None = None,
 ) -> dict:
     """Run one step and log its outcome; a failure is logged, then raised again."""
     started = utc_now()
@@ -115,12 +136,13 @@ def _logged(
     except Exception as error:
         log_batch(
             warehouse, name, batch_id, "FAILED", scheduled_time=started, rows_processed=0,
-            error_count=1, error_code=type(error).__name__, error_message=str(error),
+            error_count=1, error_code=type(error).__name__, error_message=str(error), run=run,
         )
         raise
     state = "SUCCEEDED" if result["rows_processed"] else "SKIPPED"
     log_batch(
-        warehouse, name, batch_id, state, scheduled_time=started, error_count=0, **result
+        warehouse, name, batch_id, state, scheduled_time=started, error_count=0, run=run,
+        **result,
     )
     return result
 
@@ -139,7 +161,7 @@ def _stage(
     )
     staged = stage_batch(seen)
     if options.dedupe_scope == "table":
-        others = warehouse.stg.filter(F.col("batch_id") != batch_id)
+        others = warehouse.day_tables["stg"].read(without=run_name(batch_id))
         staged = unstaged(staged, others.filter(times_present(rows)))
     stamped = staged.withColumn("staging_time", ntz(load_ts))
     warehouse.write_staging(stamped.observe(kept, F.count("*").alias("rows")), batch_id)
@@ -159,10 +181,12 @@ def create_unknown_users(
     if n:
         first = warehouse.reserve_keys("users", "user_key", n)
         keyed = dense_keys(ids, "user_key", first, ["user_id"], partitions)
-        warehouse.append(user_rows(keyed, load_ts), "users")
+        warehouse.add_users(user_rows(keyed, load_ts))
 
 
-def append_new_facts(warehouse: Warehouse, rows: DataFrame, load_ts: datetime) -> dict:
+def append_new_facts(
+    warehouse: Warehouse, rows: DataFrame, load_ts: datetime, run: str = run_name(0)
+) -> dict:
     """Append facts with the next keys, without gaps; returns rows written and last key.
 
     The rows are written aside once, so that they can be counted per task before they get
@@ -176,35 +200,36 @@ def append_new_facts(warehouse: Warehouse, rows: DataFrame, load_ts: datetime) -
     first = warehouse.reserve_keys("facts", "event_key", n)
     key = F.lit(first) + within_task(aside, F.col("_row"))
     keyed = aside.withColumn("event_key", key).drop("_row")
-    warehouse.append_facts(fact_columns(cluster_by_date(keyed), F.col("event_key"), load_ts))
+    facts = fact_columns(cluster_by_date(keyed), F.col("event_key"), load_ts)
+    warehouse.append_facts(facts, run)
     return {"rows_processed": n, "max_event_key": first + n - 1}
 
 
 def _load(
-    warehouse: Warehouse, batch_id: int, load_ts: datetime, options: LoadOptions
+    warehouse: Warehouse, staged: DataFrame, run: str, load_ts: datetime, options: LoadOptions
 ) -> dict:
-    staged = warehouse.staged_in(batch_id)
+    """Facts of staged rows, and of rows that waited for a zone that is new since the last load.
+
+    A batch adds its own rows of unknown zones to those that wait, and reads none of them unless the zone
+    table has changed.
+    """
     create_unknown_users(warehouse, staged, load_ts, options.key_partitions)
+    new = None
     if options.dimension_join == "inner":
-        staged = _with_waiting(warehouse, staged, batch_id)
+        warehouse.write_waiting(staged, run)
+        version, new = warehouse.new_zones()
+        if new is not None:
+            staged = staged.unionByName(warehouse.freed(new))
+    dates = event_dates(staged)
     rows = load_facts(
-        staged, warehouse.users, warehouse.zones, warehouse.facts,
-        unique=options.unique_facts, how=options.dimension_join, dates=dates_present(staged),
+        staged, warehouse.users, warehouse.zones, warehouse.facts_on(dates),
+        unique=options.unique_facts, how=options.dimension_join, version=options.user_version,
     )
-    return append_new_facts(warehouse, rows, load_ts)
-
-
-def _with_waiting(warehouse: Warehouse, staged: DataFrame, batch_id: int) -> DataFrame:
-    """The batch and what waited for its zone; what still has none waits on.
-
-    The cost is that of the batch and of the waiting rows, whatever has been staged.
-    """
-    waiting = warehouse.waiting_before(batch_id)
-    both = staged if waiting is None else staged.unionByName(waiting)
-    unknown = both.join(warehouse.zones.select("zone_id"), "zone_id", "left_anti")
-    if waiting is not None or not unknown.isEmpty():
-        warehouse.write_waiting(unknown, batch_id)
-    return both
+    result = append_new_facts(warehouse, rows, load_ts, run)
+    warehouse.add_fact_totals(dates, run)
+    if new is not None:
+        warehouse.zones_applied(version)
+    return result
 
 
 def run_batch(
@@ -229,8 +254,12 @@ def run_batch(
     if staged["rows_processed"]:
         _logged(
             warehouse, FACT_TASK, batch_id,
-            lambda: _load(warehouse, batch_id, load_ts, options),
+            lambda: _load(
+                warehouse, warehouse.staged_in(batch_id), run_name(batch_id), load_ts, options),
         )
+        warehouse.mark_loaded(batch_id)
+    if options.compact_every and batch_id % options.compact_every == options.compact_every - 1:
+        warehouse.compact()
 
 
 def start_load(
@@ -240,10 +269,20 @@ def start_load(
     trigger: dict | None = None,
     options: LoadOptions = LoadOptions(),
 ) -> StreamingQuery:
-    """Run ``run_batch`` for every non-empty micro-batch of the change feed."""
+    """Run ``run_batch`` for every non-empty micro-batch of the change feed.
+
+    ``changes`` is ``read_changes``, or any stream of raw rows.
+    """
+    first = first_batch(checkpoint, warehouse.day_tables["stg"])
+    named = changes.columns == [LANDED]
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        run_batch(warehouse, batch, batch_id, options=options)
+        if named:
+            names = sorted(r[LANDED] for r in batch.collect())
+            if not names:
+                return
+            batch = warehouse.landed(names)
+        run_batch(warehouse, batch, first + batch_id, options=options)
 
     return (
         changes.writeStream.foreachBatch(load)
@@ -258,20 +297,23 @@ def process_badge_events(
 ) -> dict:
     """Enrich everything staged and not yet loaded, in one call.
 
-    Reads all of staging, so two staged copies of a key first seen in the same call are
-    both loaded; the streaming path never meets that case.
+    Batches up to the last loaded one are not read; a call without later ones, and without new zones,
+    reads nothing. Two staged copies of a key first seen in the same call are both loaded; the
+    streaming path never meets that case.
     """
-    staged = warehouse.stg.drop("batch_id")
+    run, options = warehouse.next_call(), LoadOptions(key_partitions=partitions)
 
     def load() -> dict:
-        create_unknown_users(warehouse, staged, load_ts, partitions)
-        rows = load_facts(
-            staged, warehouse.users, warehouse.zones, warehouse.facts,
-            dates=dates_present(staged),
-        )
-        return append_new_facts(warehouse, rows, load_ts)
-
-    loaded = _logged(warehouse, FACT_TASK, WHOLE_STAGING, load)
+        staged, newest = warehouse.not_loaded()
+        if staged is None:
+            if warehouse.new_zones()[1] is None:
+                return {"rows_processed": 0}
+            staged = warehouse.spark.createDataFrame([], schemas.STAGING)
+        result = _load(warehouse, staged, run, load_ts, options)
+        warehouse.mark_loaded(newest)
+        return result
+
+    loaded = _logged(warehouse, FACT_TASK, WHOLE_STAGING, load, run)
     return {"status": "COMPLETED", "facts_loaded": loaded["rows_processed"]}
 
 
@@ -297,25 +339,57 @@ def hourly_metrics(events: DataFrame, watermark: str | None = None) -> DataFrame
     )
 
 
+PARTIAL_HOURS = T.StructType(
+    [
+        T.StructField("ingestion_hour", T.TimestampNTZType()),
+        T.StructField("event_count", T.LongType()),
+        T.StructField("signal_sum", T.DecimalType(15, 2)),
+        T.StructField("weak_signal_count", T.LongType()),
+        T.StructField("entry_count", T.LongType()),
+        T.StructField("exit_count", T.LongType()),
+        T.StructField("day", T.DateType()),
+    ]
+)
+
+
+def hourly_table(spark: SparkSession, path: str) -> DayTable:
+    """The partial hours that ``start_hourly_metrics`` writes."""
+    root, _, name = path.rstrip("/").rpartition("/")
+    return DayTable(spark, root, name, PARTIAL_HOURS, "day")
+
+
 def start_hourly_metrics(
     events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Keep the table of all hours up to date: a partition per hour, rewritten when it changes.
+    """Keep the hours up to date, whatever arrives late, without state.
 
-    A micro-batch writes the hours it has events of and no others. A repeated batch
-    writes the same rows again.
+    A micro-batch writes its own counts per hour, a few rows in the folders of the days it has events
+    of, and a repeated batch writes the same part again. ``read_hourly_metrics`` adds them up;
+    ``hourly_table(…).merge()`` puts small parts together.
     """
+    table = hourly_table(events.sparkSession, path)
+    if not table.files.names(path):
+        table.create()
+    first = first_batch(checkpoint, table)
 
-    def publish(hours: DataFrame, batch_id: int) -> None:
-        named = hours.withColumn("hour", F.date_format("ingestion_hour", "yyyy-MM-dd-HH"))
-        writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("hour").parquet(path)
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        hours = hourly_metrics(batch).withColumn("day", F.to_date("ingestion_hour"))
+        table.replace(hours.select(*PARTIAL_HOURS.names).coalesce(1), run_name(first + batch_id))
 
     return (
-        hourly_metrics(events)
-        .writeStream.outputMode("update")
-        .foreachBatch(publish)
+        events.writeStream.foreachBatch(publish)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or EVERY_MINUTE))
         .start()
     )
+
+
+def read_hourly_metrics(
+    spark: SparkSession, path: str, days: Iterable[date] | None = None
+) -> DataFrame:
+    """All hours, or those of some days, each once."""
+    table = hourly_table(spark, path)
+    partial = table.read() if days is None else table.read_days(days)
+    counts = [n for n in PARTIAL_HOURS.names if n not in ("ingestion_hour", "day")]
+    return partial.groupBy("ingestion_hour").agg(
+        *[F.sum(n).cast(PARTIAL_HOURS[n].dataType).alias(n) for n in counts])

@@ -61,7 +61,7 @@ def test_replaying_a_batch_changes_nothing(warehouse, batches):
 
 def test_a_failed_load_is_logged_and_completed_on_replay(warehouse, batches, monkeypatch):
     ingest.run_batch(warehouse, batches[0], 0, NOW)
-    monkeypatch.setattr(warehouse, "append_facts", lambda df: 1 / 0)
+    monkeypatch.setattr(warehouse, "append_facts", lambda df, run: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         ingest.run_batch(warehouse, batches[1], 1, NOW)
     monkeypatch.undo()

@@ -12,10 +12,8 @@ from gatelog.plans import views
 from gatelog.sources.events import validate_events
 from gatelog.sources.tables import (
     BADGE_LOOKUP,
-    LANDING_PARTITIONS,
     Warehouse,
     cluster_by_date,
-    landing_rows,
 )
 from gatelog.streaming import ingest
 
@@ -58,8 +56,7 @@ def stored(spark, feeds, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("stored"))
     warehouse = Warehouse(spark, root).create(NOW)
     ingest.run_batch(warehouse, feeds.raw, 0, NOW)
-    rows = landing_rows(feeds.raw.drop("seq").withColumn("reject_reason", F.lit("")))
-    rows.write.mode("append").partitionBy(*LANDING_PARTITIONS).parquet(warehouse.path("landing"))
+    warehouse.land(feeds.raw.drop("seq").withColumn("reject_reason", F.lit("")), 0)
     return warehouse
 
 

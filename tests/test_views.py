@@ -24,7 +24,7 @@ def empty(spark):
     return SimpleNamespace(
         raw=table(schemas.RAW), stg=table(schemas.STAGING), facts=table(schemas.FACTS),
         users=seed_users(spark, NOW), zones=seed_zones(spark, NOW),
-        tasks=table(schemas.BATCH_LOG),
+        tasks=table(schemas.BATCH_LOG), totals=table(schemas.TOTALS),
         migration=table(
             "table_name string, end_time timestamp_ntz, num_rows_migrated bigint, "
             "num_bytes_migrated bigint, credits_used decimal(18,6)"),

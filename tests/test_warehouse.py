@@ -7,7 +7,6 @@ from shared import NOW
 from pyspark.sql import functions as F
 
 from gatelog.plans import alerts, kpis, reports, views
-from gatelog.sources.tables import landing_rows
 from gatelog.streaming import ingest
 
 
@@ -20,9 +19,7 @@ def loaded(spark, tmp_path_factory, raw_rows):
         now = ingest.utc_now()
         rows = raw_rows(*[
             {"badge_id": f"B{n}", "ingestion_time": now, "event_timestamp": now} for n in range(5)])
-        landed = landing_rows(rows.withColumn("reject_reason", F.lit("")))
-        landed.write.mode("append").partitionBy("accepted", "ingestion_date").parquet(
-            tables.path("landing"))
+        tables.land(rows.withColumn("reject_reason", F.lit("")), i)
         ingest.run_batch(tables, rows, i)
     return tables
 
@@ -100,4 +97,4 @@ def test_staged_rows_load_when_their_zone_appears(spark, warehouse, raw_rows):
     for _replay in range(2):
         ingest.run_batch(warehouse, raw_rows({"badge_id": "D"}), 2, NOW)
         assert sorted(r.badge_id for r in warehouse.facts.collect()) == ["A", "B", "D"]
-    assert [r.badge_id for r in warehouse.waiting_before(3).collect()] == ["C"]
+    assert warehouse.new_zones()[1] is None

@@ -10,9 +10,11 @@ levels is missed by a tree with a probability of about 0.12 for s = 0.85 and 0.2
 trees with about 1 in 40,000 and 1 in 1,600.
 
 Every link is confirmed on the full sets, after the sketches of a pair agree enough. Equal sets are one
-text throughout, and members of a node are first compared with the node's least text only: what that
-joins need not be compared pair by pair, so a large group of near copies costs one comparison a member,
-and only texts of different groups that meet in a node are compared with each other.
+text throughout. Only links that join groups matter: members of a node are first compared with one of
+them, a different one on each of the first levels, and nodes whose members are then of one group are done with. In the
+nodes that are left, a task compares the sketches of members of different groups and keeps the members
+that have a likely partner; their texts are then compared in full, pairs that have come into one group
+meanwhile no more, and what leaves the task is a forest. So no step puts out pairs by the square of a node.
 """
 
 from __future__ import annotations
@@ -30,9 +32,13 @@ from gatelog.llm.graph import components
 from gatelog.llm.shingles import distinct, mixed, shingles, sketches
 
 #: Coordinates that a tree branches by, trees (256 at most), most members of a node compared exhaustively,
-#: and children per node by level; after the last level a node is compared whatever its size, in cells of
-#: about so many members from each of two parts.
-COORDINATES, TREES, SMALL, CHILDREN, CELL = 32, 5, 4, (2, 2, 1, 1, 1), 256
+#: and children per node by level; after the last level a node is compared whatever its size.
+COORDINATES, TREES, SMALL, CHILDREN = 32, 5, 32, (2, 2, 1, 1, 1)
+#: Levels on which members are compared with one of them; members of a node that a task compares by sketches,
+#: and in full, with those of another such part at most, and shingle bytes of the latter (about).
+STARS, SKETCHED, WHOLE, WHOLE_BYTES = 3, 2048, 1024, 16 << 20
+#: Members that a task compares with one text.
+CHUNK = 512
 #: One-byte coordinates that estimate a similarity. A pair is compared in full unless they agree in less
 #: than the similarity minus the slack, four standard deviations.
 BYTES, SLACK = 192, 0.115
@@ -90,32 +96,49 @@ def sketched(docs: DataFrame, key: str, text: str, size: int, trees: int = TREES
     return source.mapInArrow(run, f"doc_id {kind}, {columns}")
 
 
+def texts_of(units: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """The texts of some units, one each: few others leave the scan, copies go before the shuffle."""
+    named = units.select(F.col("unit").alias("text_key")).distinct()
+    whole = docs.select(digest(utf8(F.col(text))).alias("text_key"), utf8(F.col(text)).alias("text"))
+    once = likely(whole, "text_key", named).dropDuplicates(["text_key"])
+    return stored(once.join(named, "text_key").select(F.col("text_key").alias("unit"), "text"))
+
+
+def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets reach the similarity: 100 · |a ∩ b| ≥ percent · |a ∪ b|."""
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, text: str, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity: 100 · |a ∩ b| ≥ percent · |a ∪ b|.
+    """The pairs (a, b) whose full sets reach the similarity; few different a, many b each.
 
-    The texts of the pairs, and few others, leave the scan; one of each is kept in the shared folder.
+    A text a goes with each chunk of its partners once, so neither a frequent a nor its text weighs on one task.
     """
-    named = pairs.select(F.explode(F.array("a", "b")).alias("text_key")).distinct()
-    whole = docs.select(digest(utf8(F.col(text))).alias("text_key"), utf8(F.col(text)).alias("text"))
-    texts = likely(whole, "text_key", named).join(named, "text_key")  # a semi-join would slip below the map
-    texts = stored(texts.dropDuplicates(["text_key"]))
-    right = pairs.join(texts.select(F.col("text_key").alias("b"), F.col("text").alias("text_b")), "b")
-    both = right.join(texts.select(F.col("text_key").alias("a"), F.col("text").alias("text_a")), "a")
+    texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("unit")), docs, text)
+    chunks = stored(pairs.groupBy("a").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")))
+    dealt = pairs.join(chunks, "a").select("a", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int").alias("chunk"), "b")
+    members = dealt.join(texts.withColumnRenamed("unit", "b"), "b").select("a", "chunk", "b", "text")
+    first = chunks.join(texts.withColumnRenamed("unit", "a"), "a")
+    first = first.select("a", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(None).cast("binary").alias("b"), "text")
+    placed = first.union(members).repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, known = None, np.empty(0, np.uint64)
+        known = np.empty(0, np.uint64)
         for batch in batches:
-            a, b = batch.column(0), batch.column(1)
-            keep = []
+            keep = np.zeros(batch.num_rows, bool)
+            partner, column = batch.column(2), batch.column(3)
             for i in range(batch.num_rows):
-                if a[i].as_py() != last:
-                    last, known = a[i].as_py(), distinct([batch.column(2)[i].as_py()], size)[0]
-                other = distinct([batch.column(3)[i].as_py()], size)[0]
-                common = len(np.intersect1d(known, other, assume_unique=True))
-                keep.append(100 * common >= percent * (len(known) + len(other) - common))
-            yield pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                own = distinct([column[i].as_py()], size)[0]
+                if partner[i].is_valid:
+                    keep[i] = alike(known, own, percent)
+                else:
+                    known = own
+            yield pa.RecordBatch.from_arrays([batch.column(0), partner], ["a", "b"]).filter(pa.array(keep))
 
-    return stored(both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary"))
+    return stored(placed.select("a", "chunk", "b", "text").mapInArrow(run, "a binary, b binary"))
 
 
 def _node(name: Column, tree: Column) -> Column:
@@ -136,24 +159,18 @@ def children(node: Column, level: int) -> list[Column]:
     return [_node(F.xxhash64(node, place, F.get("sketch", place.cast("int"))), tree) for place in places]
 
 
-def _counted(rows: DataFrame) -> DataFrame:
-    """Adds a node's least member; nodes with one member go."""
-    nodes = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("unit").alias("center")).where("n > 1")
-    return stored(rows.join(stored(nodes.drop("n")), "node"))
-
-
 def _mixed_nodes(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """Adds each member's group so far; nodes whose members are all of one group go."""
+    """Adds each member's group so far (grp) and the node's size (n); nodes whose members are all of one group go."""
     named = stored(rows.join(groups, "unit", "left").select("node", "unit", F.coalesce("component", "unit").alias("grp")))
     nodes = named.groupBy("node").agg(F.min("grp").alias("l"), F.max("grp").alias("g"), F.count("*").alias("n"))
     return stored(named.join(stored(nodes.where("l <> g").select("node", "n")), "node"))
 
 
-def _pairs(rows: DataFrame) -> DataFrame:
-    """Members of different groups that meet in a node."""
-    left = rows.select("node", F.col("unit").alias("a"), F.col("grp").alias("ga"))
-    right = rows.select("node", F.col("unit").alias("b"), F.col("grp").alias("gb"))
-    return left.join(right, "node").where("a < b and ga <> gb").select("a", "b")
+def _stars(rows: DataFrame, order: Column) -> DataFrame:
+    """The node's member that comes first, and each member of another group."""
+    first = rows.groupBy("node").agg(F.min(F.struct(order.alias("order"), "unit", "grp")).alias("first"))
+    both = rows.join(stored(first), "node").where("grp <> first.grp")
+    return both.select(F.col("first.unit").alias("a"), F.col("unit").alias("b")).distinct()
 
 
 @F.arrow_udf(T.IntegerType())
@@ -164,51 +181,155 @@ def _same(a: pa.Array, b: pa.Array) -> pa.Array:
 
 
 def _agreeing(pairs: DataFrame, fine: DataFrame, least: int) -> DataFrame:
-    """The distinct pairs whose sketches agree in at least so many bytes."""
+    """The pairs whose sketches agree in at least so many bytes."""
     fa, fb = (fine.select(F.col("unit").alias(x), F.col("fine").alias(f"f{x}")) for x in "ab")
-    met = pairs.distinct().join(fa, "a").join(fb, "b")
+    met = pairs.join(fa, "a").join(fb, "b")
     return stored(met.where(_same("fa", "fb") >= least).select("a", "b"))
 
 
-def _pairs_of_large(rows: DataFrame, fine: DataFrame, least: int) -> DataFrame:
-    """The same for nodes of any size: members are dealt into parts, two parts are compared at a time.
+def _cells(rows: DataFrame, parts: Column) -> DataFrame:
+    """Members dealt into cells (node, i, j) of the node's parts i and j, in place of n; ``part`` is the own part.
 
-    A cell holds two parts of about ``CELL`` members, whatever the node's size, and puts out only pairs
-    of different groups that agree enough.
+    Any two members meet in a cell: those of a part in (part, part) and, like those of two parts, in (i, j).
     """
-    parts = F.ceil(F.col("n") / CELL).cast("int")
-    own = F.pmod(F.xxhash64("unit"), parts).cast("int")
-    cell = F.transform(F.sequence(F.lit(0), parts - 1), lambda x: F.struct(F.least(own, x).alias("i"), F.greatest(own, x).alias("j")))
-    dealt = rows.select("node", "unit", "grp", own.alias("part"), F.explode(cell).alias("cell"))
-    named = dealt.select("node", "cell.i", "cell.j", "part", "unit", "grp").join(fine, "unit")
-    placed = named.select("node", "i", "j", "part", "unit", "grp", "fine").repartition("node", "i", "j").sortWithinPartitions("node", "i", "j")
-
-    def compared(i, j, members):
-        part = np.array([m[0] for m in members])
-        data = np.frombuffer(b"".join(m[3] for m in members), np.uint8).reshape(len(members), BYTES)
-        for r in np.flatnonzero(part == i):
-            others = np.arange(r + 1, len(members)) if i == j else np.flatnonzero(part == j)
-            for k in others[(data[others] == data[r]).sum(axis=1) >= least]:
-                if members[r][2] != members[k][2]:
-                    yield sorted((members[r][1], members[k][1]))
+    own = F.pmod(F.xxhash64("unit"), F.col("parts")).cast("int")
+    cell = F.transform(
+        F.sequence(F.lit(0), F.col("parts") - 1), lambda x: F.struct(F.least("part", x).alias("i"), F.greatest("part", x).alias("j"))
+    )
+    dealt = rows.withColumn("parts", parts.cast("int")).withColumn("part", own).withColumn("cell", F.explode(cell))
+    return dealt.select("node", "cell.i", "cell.j", "part", "unit", "grp")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def packed(pairs):
-            columns = [pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)]
-            return pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
+def _in_cells(placed: DataFrame, run, schema: str) -> DataFrame:
+    """Runs ``run`` on the members (part, unit, grp, more) of each cell of rows (node, i, j, part, unit, grp, more)."""
+    columns = placed.columns
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, members = None, []
         for batch in batches:
             for node, i, j, *member in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (node, i, j) != last:
-                    if last:
-                        yield packed(list(compared(last[1], last[2], members)))
+                    if members:
+                        yield run(*last, members)
                     last, members = (node, i, j), []
                 members.append(member)
-        if last:
-            yield packed(list(compared(last[1], last[2], members)))
+        if members:
+            yield run(*last, members)
+
+    ordered = placed.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j", "unit")
+    return ordered.select(*columns).mapInArrow(each, schema)
+
+
+class Cell:
+    """The members of a cell with their sketches, and their groups as far as they are known."""
+
+    def __init__(self, i: int, j: int, members: list[tuple]):
+        self.part = np.array([m[0] for m in members])
+        self.i, self.j = i, j
+        _, self.group = np.unique(np.array([m[2] for m in members], dtype=object).astype("S16"), return_inverse=True)
+        self.fine = np.frombuffer(b"".join(m[3] for m in members), np.uint8).reshape(len(members), BYTES)
+
+    def partners(self, row: int, least: int) -> np.ndarray:
+        """Later members of another group, of the other part in a cell of two, whose sketches agree enough."""
+        if self.i == self.j:
+            others = np.arange(row + 1, len(self.part))
+        else:
+            others = np.flatnonzero(self.part == self.j) if self.part[row] == self.i else np.empty(0, np.int64)
+        others = others[self.group[others] != self.group[row]]
+        return others[(self.fine[others] == self.fine[row]).sum(axis=1) >= least]
+
+
+def _likely_members(rows: DataFrame, fine: DataFrame, least: int) -> DataFrame:
+    """The members (node, unit, grp, fine) that have a likely partner of another group in their node."""
+
+    def run(node: int, i: int, j: int, members: list[tuple]) -> pa.RecordBatch:
+        cell, found = Cell(i, j, members), np.zeros(len(members), bool)
+        for row in range(len(members)):
+            partners = cell.partners(row, least)
+            found[partners] = True
+            found[row] |= len(partners) > 0
+        kept = [members[k] for k in np.flatnonzero(found)]
+        columns = [pa.array([node] * len(kept), pa.int64()), *(pa.array([m[k] for m in kept], pa.binary()) for k in (1, 2, 3))]
+        return pa.RecordBatch.from_arrays(columns, ["node", "unit", "grp", "fine"])
+
+    placed = _cells(rows, F.ceil(F.col("n") / SKETCHED)).join(fine, "unit").select("node", "i", "j", "part", "unit", "grp", "fine")
+    found = stored(_in_cells(placed, run, "node long, unit binary, grp binary, fine binary"))
+    return found.dropDuplicates(["node", "unit"])
+
+
+def _forest(members: DataFrame, sizes: DataFrame, docs: DataFrame, text: str, size: int, percent: int, least: int) -> DataFrame:
+    """Links (a, b) that join the groups of members (node, unit, grp, fine): per cell no more than members."""
+    texts = texts_of(members, docs, text)
+    weighed = members.join(sizes, "unit")
+    nodes = weighed.groupBy("node").agg(F.count("*").alias("n"), F.sum(8 * F.col("n_shingles")).alias("bytes"))
+    parts = F.greatest(F.ceil(F.col("n") / WHOLE), F.ceil(F.col("bytes") / WHOLE_BYTES))
+    cells = _cells(members.drop("fine").join(stored(nodes), "node"), parts)
+    fine = members.select("unit", "fine").dropDuplicates(["unit"])
+    placed = cells.join(fine, "unit").join(texts, "unit").select("node", "i", "j", "part", "unit", "grp", "fine", "text")
+
+    def run(node: int, i: int, j: int, members: list[tuple]) -> pa.RecordBatch:
+        cell, found, known = Cell(i, j, members), [], {}
+
+        def whole(k: int) -> np.ndarray:
+            if k not in known:
+                known[k] = distinct([members[k][4]], size)[0]
+            return known[k]
+
+        for row in range(len(members)):
+            for k in cell.partners(row, least):
+                if cell.group[k] != cell.group[row] and alike(whole(row), whole(k), percent):
+                    found.append((members[row][1], members[k][1]))
+                    cell.group[cell.group == cell.group[k]] = cell.group[row]
+        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.binary()) for k in (0, 1)], ["a", "b"])
+
+    return stored(_in_cells(placed, run, "a binary, b binary"))
+
+
+def grouped(docs: DataFrame, key: str, text: str, size: int, percent: int, trees: int) -> DataFrame:
+    """Per row of ``docs``: doc_id, text_key, n_shingles, component (a key of the group; null without shingles)."""
+    rows = stored(sketched(docs, key, text, size, trees))
+    units = stored(
+        rows.where("n_shingles > 0")
+        .groupBy("set_key")
+        .agg(F.min(F.struct("text_key", "sketch", "fine", "n_shingles")).alias("first"))
+        .select("set_key", F.col("first.text_key").alias("unit"), "first.sketch", "first.fine", "first.n_shingles")
+    )
+    sketch, fine, sizes = units.select("unit", "sketch"), units.select("unit", "fine"), units.select("unit", "n_shingles")
+    least = round((percent / 100 - SLACK) * BYTES)
 
-    return placed.mapInArrow(run, "a binary, b binary")
+    def linked(stars: DataFrame) -> DataFrame:
+        return confirmed(_agreeing(stars, fine, least), docs, text, size, percent)
+
+    def closed(links: DataFrame) -> DataFrame:
+        return stored(components(links).withColumnRenamed("node", "unit"))
+
+    left = stored(sketch.select("unit", F.explode(F.array(*(c for r in roots(trees) for c in children(r, 0)))).alias("node")))
+    alone = units.select("unit", F.col("unit").alias("component"))
+    links = docs.sparkSession.createDataFrame([], "a binary, b binary")
+    so_far, small = alone, None
+    for level in range(len(CHILDREN)):
+        nodes = _mixed_nodes(left, so_far)
+        for order in ([F.col("unit")] if level == 0 else []) + [F.xxhash64("node", "unit")] * (level < STARS):
+            found = linked(_stars(nodes, order))
+            if not found.isEmpty():
+                links = links.union(found)
+                so_far = closed(links)
+                nodes = _mixed_nodes(nodes.select("node", "unit"), so_far)
+        few = nodes.where(F.col("n") <= SMALL)
+        small = few if small is None else small.union(few)
+        large = nodes.where(F.col("n") > SMALL)
+        if large.isEmpty():
+            break
+        if level + 1 == len(CHILDREN):
+            small = small.union(large)
+            break
+        wide = large.select("node", "unit").join(sketch, "unit")
+        left = stored(wide.select("unit", F.explode(F.array(*children(F.col("node"), level + 1))).alias("node")))
+    members = stored(_likely_members(_mixed_nodes(small.select("node", "unit"), so_far), fine, least))
+    if not members.isEmpty():
+        so_far = closed(links.union(_forest(members, sizes, docs, text, size, percent, least)))
+    named = units.join(so_far, "unit", "left").select("set_key", F.coalesce("component", "unit").alias("component"))
+    return rows.drop("sketch", "fine").join(stored(named), "set_key", "left").select("doc_id", "text_key", "n_shingles", "component")
 
 
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, percent: int = 85, trees: int = TREES) -> DataFrame:
@@ -220,46 +341,10 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     blank texts have no shingles and are linked with nothing. Repeated rows are one text and share all
     results. An empty table gives no rows. Only ``key`` and ``text`` are read.
     """
-    rows = stored(sketched(docs, key, text, size, trees))
-    units = stored(
-        rows.where("n_shingles > 0")
-        .groupBy("set_key")
-        .agg(F.min(F.struct("text_key", "sketch", "fine")).alias("first"), F.min("doc_id").alias("root"))
-        .select("set_key", F.col("first.text_key").alias("unit"), "first.sketch", "first.fine", "root")
-    )
-    sketch, fine = units.select("unit", "sketch"), units.select("unit", "fine")
-
-    least = round((percent / 100 - SLACK) * BYTES)
-    first = sketch.select("unit", F.explode(F.array(*(c for r in roots(trees) for c in children(r, 0)))).alias("node"))
-    rows_left = _counted(first)
-    stars = rows_left.where("unit <> center").select(F.col("center").alias("a"), F.col("unit").alias("b"))
-    links = confirmed(_agreeing(stars, fine, least), docs, text, size, percent)
-    so_far = stored(components(links).withColumnRenamed("node", "unit"))
-
-    rows_left, met = rows_left.select("node", "unit"), None
-    for level in range(1, len(CHILDREN) + 1):
-        mixed_nodes = _mixed_nodes(rows_left, so_far)
-        last = level == len(CHILDREN)
-        found = _pairs(mixed_nodes.where(F.col("n") <= SMALL))
-        met = found if met is None else met.union(found)
-        open_nodes = mixed_nodes.where(F.col("n") > SMALL).select("node", "unit")
-        if last or open_nodes.isEmpty():
-            break
-        wide = open_nodes.join(sketch, "unit")
-        rows_left = stored(wide.select("unit", F.explode(F.array(*children(F.col("node"), level))).alias("node")))
-    pairs = _agreeing(met, fine, least)
-    if not open_nodes.isEmpty():
-        pairs = stored(pairs.union(_pairs_of_large(mixed_nodes.where(F.col("n") > SMALL), fine, least)).distinct())
-    if pairs.isEmpty():
-        closed = so_far
-    else:
-        closed = components(links.union(confirmed(pairs, docs, text, size, percent))).withColumnRenamed("node", "unit")
-    named = stored(units.join(closed, "unit", "left").select("set_key", "root", F.coalesce("component", "unit").alias("component")))
-    ids = named.groupBy("component").agg(F.min("root").alias("component_id"))
-    result = named.join(ids, "component").select("set_key", "component_id")
-    alone = F.col("set_key").isNull()
-    own = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.drop("sketch", "fine").join(result, "set_key", "left").select(
+    rows = stored(grouped(docs, key, text, size, percent, trees))
+    ids = rows.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    own = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return rows.join(stored(ids), "component", "left").select(
         "doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"), "text_key"
     )
 
@@ -267,7 +352,11 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
 def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """The rows that stay, with all their columns: one of each component, that with the least ``key``.
 
-    Of rows alike in ``key`` and text one stays.
+    Of a component's rows with the least key, those of one text; where all keys are null, those of one text too.
+    Of rows alike in ``key`` and text one stays. Texts without shingles are no component: all stay, once for each key.
     """
-    kept = groups(docs, key, text, size, percent).where("kept")
+    rows = stored(grouped(docs, key, text, size, percent, TREES))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    first = rows.where("component is not null").groupBy("component").agg(F.min(order).alias("first"))
+    kept = first.select("first.doc_id", "first.text_key").union(rows.where("component is null").select("doc_id", "text_key"))
     return only(docs, kept, doc_id=F.col(key), text_key=digest(utf8(F.col(text))))

@@ -69,6 +69,9 @@ def test_same_as_all_pairs_compared(docs_of, prose, size, percent):
 
 def test_large_nodes_branch_and_stay_whole(docs_of, prose, monkeypatch):
     monkeypatch.setattr(near_dedup, "SMALL", 3)
+    monkeypatch.setattr(near_dedup, "SKETCHED", 8)
+    monkeypatch.setattr(near_dedup, "WHOLE", 5)
+    monkeypatch.setattr(near_dedup, "CHUNK", 4)
     rows = families(prose, members=30)
     assert rows_of(near_dedup.groups(docs_of(*rows))) == by_hand(rows, 3, 85)
 
@@ -119,3 +122,46 @@ def test_trees_miss_independently(spark):
         nodes = nodes.withColumn("node", F.explode(F.array(*near_dedup.children(F.col("node"), level))))
     met = nodes.groupBy("pair", "node").count().where("count > 1").select("pair").distinct().count()
     assert n - met <= n // 500, n - met
+
+
+def mixed_family(prose, members, words=120):
+    """Near copies with more and more edits: about a third of the pairs reach 0.85, a third lie just below."""
+    import random
+
+    chance = random.Random(8)
+    base = prose(5, words).split()
+    rows = []
+    for m in range(members):
+        copy = list(base)
+        for k in chance.sample(range(words), chance.choice([0, 1, 1, 2, 3, 4, 6])):
+            copy[k] = f"x{m}k{k}"
+        rows.append((m, " ".join(copy)))
+    return rows
+
+
+@pytest.mark.parametrize(("size", "percent"), [(3, 85), (5, 80)])
+def test_recall_on_a_large_mixed_family(docs_of, prose, size, percent):
+    """All pairs compared: not a row differs, and what the last step confirms is a forest."""
+    rows = mixed_family(prose, 400)
+    want = by_hand(rows, size, percent)
+    assert 10 < len({r[2] for r in want}) < 390
+    assert rows_of(near_dedup.groups(docs_of(*rows, partitions=6), size=size, percent=percent)) == want
+
+
+def test_cells_put_out_a_forest():
+    """A node's cell gives fewer links than members, whatever the number of linked pairs."""
+    chance = np.random.default_rng(2)
+    fine = chance.integers(0, 256, near_dedup.BYTES, dtype=np.uint8).tobytes()
+    members = [(0, bytes([k] * 16), bytes([k] * 16), fine) for k in range(50)]
+    cell = near_dedup.Cell(0, 0, members)
+    assert sum(len(cell.partners(r, near_dedup.BYTES)) for r in range(50)) == 50 * 49 // 2
+    two = near_dedup.Cell(0, 1, [(k % 2, *m[1:]) for k, m in enumerate(members)])
+    assert sum(len(two.partners(r, near_dedup.BYTES)) for r in range(50)) == 25 * 25
+
+
+def test_dedupe_with_null_and_repeated_ids(docs_of, prose):
+    base = prose(3, 100)
+    near = [base + f" tail{i}" for i in range(3)]
+    rows = [(None, near[0]), (None, near[1]), (None, near[2]), (7, prose(4, 90)), (7, prose(4, 90) + " end"), (8, prose(4, 90))]
+    kept = near_dedup.dedupe(docs_of(*rows)).collect()
+    assert sorted((r.doc_id is None, r.doc_id) for r in kept) == [(False, 7), (True, None)]

@@ -61,7 +61,7 @@ def test_merging_keeps_rows_and_bounds_parts(table):
     for day in table.days():
         assert len(table._parts(day)) <= 2  # one merged part, and the newest run's
     assert table.files.names(table.swaps) == [] and numbers(table.read()) == list(range(40))
-    put(table, 40, (1, 40))
+    put(table, 40, (3, 40))
     assert numbers(table.runs_after("b000000000039")) == [40]
     assert table.runs_after("b000000000040") is None and table.newest_run("b") == "b000000000040"
 

@@ -11,7 +11,7 @@ trees with about 1 in 40,000 and 1 in 1,600.
 
 Every link is confirmed on the full sets, after the sketches of a pair agree enough. Equal sets are one
 text throughout. Only links that join groups matter: members of a node are first compared with one of
-them, a different one on each of the first levels, and nodes whose members are then of one group are done with. In the
+them and then with another, and nodes whose members are then of one group are done with. In the
 nodes that are left, a task compares the sketches of members of different groups and keeps the members
 that have a likely partner; their texts are then compared in full, pairs that have come into one group
 meanwhile no more, and what leaves the task is a forest. So no step puts out pairs by the square of a node.
@@ -34,9 +34,9 @@ from gatelog.llm.shingles import distinct, mixed, shingles, sketches
 #: Coordinates that a tree branches by, trees (256 at most), most members of a node compared exhaustively,
 #: and children per node by level; after the last level a node is compared whatever its size.
 COORDINATES, TREES, SMALL, CHILDREN = 32, 5, 32, (2, 2, 1, 1, 1)
-#: Levels on which members are compared with one of them; members of a node that a task compares by sketches,
+#: Levels on which members are compared with one of them (with two on the first); members of a node that a task compares by sketches,
 #: and in full, with those of another such part at most, and shingle bytes of the latter (about).
-STARS, SKETCHED, WHOLE, WHOLE_BYTES = 3, 2048, 1024, 16 << 20
+STARS, SKETCHED, WHOLE, WHOLE_BYTES = 1, 2048, 1024, 16 << 20
 #: Members that a task compares with one text.
 CHUNK = 512
 #: One-byte coordinates that estimate a similarity. A pair is compared in full unless they agree in less
@@ -309,7 +309,7 @@ def grouped(docs: DataFrame, key: str, text: str, size: int, percent: int, trees
     so_far, small = alone, None
     for level in range(len(CHILDREN)):
         nodes = _mixed_nodes(left, so_far)
-        for order in ([F.col("unit")] if level == 0 else []) + [F.xxhash64("node", "unit")] * (level < STARS):
+        for order in ([F.col("unit")] if level == 0 else []) + [F.xxhash64("unit", F.lit(level))] * (level < STARS):
             found = linked(_stars(nodes, order))
             if not found.isEmpty():
                 links = links.union(found)

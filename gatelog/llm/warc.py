@@ -8,6 +8,7 @@ Content-Length, so payloads may hold anything, line ends and record headers incl
 
 from __future__ import annotations
 
+import base64
 import hashlib
 from collections.abc import Iterator
 
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from gatelog.llm.common import scratch, utf8
 
 #: Fixed by the WARC 1.1 format.
-VERSION = "WARC/1.1"
+VERSION, VERSIONS = "WARC/1.1", (b"WARC/1.0\r\n", b"WARC/1.1\r\n")
 END = b"\r\n\r\n"
 SAME_PAYLOAD = "http://netpreservefoundation.org/warc/1.1/revisit/identical-payload-digest"
 #: Payloads below this size are never replaced by a revisit record.
@@ -108,8 +109,10 @@ def write(records: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z") ->
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Per record: page_id (string, null if absent), url, record_type, payload, payload_bytes, payload_digest, refers_to.
 
-    A file is read as a stream by one task, which holds one record at a time. Payloads that do not
-    match their digest raise an error.
+    A file is read as a stream by one task, which holds one record at a time. Versions 1.0 and 1.1 are read;
+    records of other types than response and revisit are passed over. The payload of an HTTP response is what
+    follows its head. A digest may be hexadecimal or base 32; without one it is the payload's. Payloads that do not match their
+    digest, files that end within a record, and bytes that are no record raise an error.
     """
     lines = spark.read.option("lineSep", END.decode()).text(path)
     source = lines.select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("data"))
@@ -122,46 +125,64 @@ def read(spark: SparkSession, path: str) -> DataFrame:
             columns: list[list] = [[] for _ in names]
             for file, data in zip(*batch.columns, strict=True):
                 if file.as_py() != current:
+                    ended(current, pending)
                     current, pending, needed = file.as_py(), bytearray(), 0
                 pending += (data.as_py() or b"") + END
-                while len(pending) > needed and pending.startswith(VERSION.encode()):
+                while len(pending) > needed and pending != END:
+                    if not pending.startswith(VERSIONS):
+                        raise ValueError(f"{current}: no record of a known version where one should begin")
                     fields, begin, needed = head(pending)
                     if len(pending) < needed:
                         needed -= 1
                         break
-                    for column, item in zip(columns, content(fields, pending, begin), strict=True):
-                        column.append(item)
+                    if pending[needed - len(END) : needed] != END:
+                        raise ValueError(f"{current}: a record is longer than it says")
+                    if fields["warc-type"] in ("response", "revisit"):
+                        for column, item in zip(columns, content(fields, pending, begin), strict=True):
+                            column.append(item)
                     del pending[:needed]
                     needed = 0
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+        ended(current, pending)
 
     return source.mapInArrow(
         run, "page_id string, url string, record_type string, payload binary, payload_bytes long, payload_digest string, refers_to string"
     )
 
 
+def ended(file: str | None, pending: bytearray) -> None:
+    if pending.strip(b"\r\n"):
+        raise ValueError(f"{file} ends within a record")
+
+
 def head(data: bytearray) -> tuple[dict[str, str], int, int]:
-    """The header fields of the record that ``data`` begins with, where its block begins and where it ends."""
+    """The header fields, by lower-case name, of the record that ``data`` begins with, where its block begins and where it ends."""
     split = data.find(END)
-    fields = dict(line.split(": ", 1) for line in data[:split].decode().split("\r\n")[1:])
+    lines = (line.partition(":") for line in data[:split].decode().split("\r\n")[1:])
+    fields = {name.strip().lower(): value.strip() for name, _, value in lines}
     begin = split + len(END)
-    return fields, begin, begin + int(fields["Content-Length"]) + len(END)
+    return fields, begin, begin + int(fields["content-length"]) + len(END)
 
 
 def content(fields: dict[str, str], data: bytearray, begin: int) -> tuple:
     """The row of a record; a payload that does not match its digest raises."""
-    kind, digest = fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha1:")
-    payload = bytes(data[begin : begin + int(fields["Content-Length"])])
-    if kind == "response" and hashlib.sha1(payload).hexdigest() != digest:
-        raise ValueError(f"payload of {fields['WARC-Record-ID']} does not match its digest")
+    kind, payload = fields["warc-type"], bytes(data[begin : begin + int(fields["content-length"])])
+    if kind == "response" and fields.get("content-type", "").startswith("application/http"):
+        payload = payload.partition(END)[2]
+    own = hashlib.sha1(payload).hexdigest()
+    digest = fields.get("warc-payload-digest", own).removeprefix("sha1:")
+    if len(digest) == 32:
+        digest = base64.b32decode(digest).hex()
+    if kind == "response" and own != digest.lower():
+        raise ValueError(f"payload of {fields.get('warc-record-id')} does not match its digest")
     return (
-        fields.get("Page-ID"),
-        fields["WARC-Target-URI"],
+        fields.get("page-id"),
+        fields.get("warc-target-uri"),
         kind,
         payload if kind == "response" else None,
-        int(fields["Payload-Length"]),
-        digest,
-        fields.get("Refers-To-Page-ID"),
+        int(fields.get("payload-length", len(payload))),
+        digest.lower(),
+        fields.get("refers-to-page-id"),
     )
 
 

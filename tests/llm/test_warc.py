@@ -72,3 +72,36 @@ def test_a_damaged_payload_raises():
 
 def test_no_pages(spark):
     assert warc.round_trip(spark.createDataFrame([], PAGES)).collect() == []
+
+
+def record(kind, block, version="1.1", **fields):
+    named = "".join(f"{k.replace('_', '-')}: {v}\r\n" for k, v in fields.items())
+    head = f"WARC/{version}\r\nWARC-Type: {kind}\r\n{named}Content-Length: {len(block)}\r\n\r\n"
+    return head.encode() + block + b"\r\n\r\n"
+
+
+def test_foreign_archives(spark, tmp_path):
+    """Version 1.0, other record types, an HTTP head, a digest in base 32, and none."""
+    import base64
+    import gzip
+    import hashlib
+
+    page = b"<p>line\r\n\r\nWARC/1.0\r\n end</p>"
+    code = base64.b32encode(hashlib.sha1(page).digest()).decode()
+    data = record("warcinfo", b"software: x\r\n", "1.0")
+    http = b"HTTP/1.1 200 OK\r\nA: b\r\n\r\n" + page
+    data += record("response", http, "1.0", Content_Type="application/http; msgtype=response", WARC_Target_URI="http://a/", WARC_Payload_Digest=f"sha1:{code}")
+    data += record("request", b"GET /", "1.0") + record("response", b"plain", "1.1", warc_target_uri="http://b/")
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(data))
+    found = sorted((r.url, bytes(r.payload), r.payload_digest) for r in warc.read(spark, str(tmp_path)).collect())
+    assert found == [("http://a/", page, hashlib.sha1(page).hexdigest()), ("http://b/", b"plain", hashlib.sha1(b"plain").hexdigest())]
+
+
+@pytest.mark.parametrize("damage", [lambda d: d[:-40], lambda d: d[:-4] + b"junk", lambda d: b"x" + d, lambda d: d.replace(b"WARC/1.1", b"WARC/9.9")])
+def test_damaged_archives_raise(spark, tmp_path, damage):
+    import gzip
+
+    data = b"".join(record("response", bytes([65 + i]) * 100, WARC_Target_URI=f"http://{i}/") for i in range(3))
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(damage(data)))
+    with pytest.raises(Exception, match="record|digest"):
+        warc.read(spark, str(tmp_path)).collect()

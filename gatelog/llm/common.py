@@ -79,6 +79,18 @@ def likely(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     return joined.where(is_set).select(*df.columns)
 
 
+def likely_marks(df: DataFrame, key: str, wanted: DataFrame, name: str) -> DataFrame:
+    """All rows, with a mark ``name`` on those that ``likely`` would keep."""
+    bit = F.pmod(F.xxhash64(key), F.lit(MAP_BITS))
+    page, place = F.floor(bit / PAGE_BITS), (bit % PAGE_BITS).cast("int")
+    pages = wanted.select(bit.alias("bit")).groupBy(F.floor(F.col("bit") / PAGE_BITS).alias("map_page"))
+    pages = pages.agg(F.bitmap_construct_agg(F.col("bit") % PAGE_BITS).alias("map_bits"))
+    byte = F.conv(F.hex(F.substring("map_bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte.cast("long"), place % 8) == 1
+    joined = df.withColumn("map_page", page).join(F.broadcast(pages), "map_page", "left")
+    return joined.select(*df.columns, F.coalesce(is_set, F.lit(False)).alias(name))
+
+
 def numbered(df: DataFrame, keys: list[str], order: list[Column], name: str, per_bucket: int = 20_000) -> DataFrame:
     """Adds ``name``: 0, 1, 2, … without gaps within ``keys``, in an arbitrary but fixed order.
 

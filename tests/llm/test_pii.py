@@ -105,17 +105,73 @@ def test_terms_far_from_the_entity_and_in_other_texts(docs_of, prose):
 
 def test_places_of_terms(spark, prose):
     texts = ["", "a", "abc", "É😀été, don't ß_x  Straße", " " * 700 + "end", prose(1, 900), "x" * 3000, "." * 256 + "abc." * 300]
-    got = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select("i", pii._terms(F.col("text")).alias("t")).collect()
-    for r in got:
-        found = [(m[0].lower(), m.start(), m.end()) for m in re.finditer(r"[^\W\d_]{3,}", texts[r.i])]
-        assert [tuple(t) for t in r.t] == found
+    rows = spark.createDataFrame(list(enumerate(texts)), "row int, text string")
+    wanted = sorted({m.lower() for t in texts for m in re.findall(r"[^\W\d_]{3,}", t)})
+    got = pii._places(rows, spark.createDataFrame([(w,) for w in wanted], "term string")).collect()
+    for i, text in enumerate(texts):
+        found = [(m[0].lower(), m.start(), m.end()) for m in re.finditer(r"[^\W\d_]{3,}", text)]
+        assert sorted(((r.term, r.start, r.end) for r in got if r.row == i), key=lambda x: x[1]) == found
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 64, 5000])
+def test_running_sums_and_maxima(spark, n):
+    values = [(i * 7919) % 101 for i in range(n)]
+    df = spark.createDataFrame([(values,)], "v array<int>")
+    row = df.select(pii._sums(F.col("v")).alias("sums"), pii._before(F.col("v"), F.greatest).alias("most")).first()
+    assert row.sums == [sum(values[:i]) for i in range(n + 1)]
+    assert row.most == [max(values[:i], default=0) for i in range(n + 1)]
+
+
+def test_many_spans_in_one_text(spark, docs_of):
+    text = " ".join(f"é{i}x@host{i}.example" for i in range(20_000))
+    row = pii.digests(docs_of((1, text), (2, text + " end"))).where("doc_id = 1").collect()[0]
+    clean = pii.sanitised(docs_of((1, text))).first().text
+    spans = [f"email:{s}:{e}" for s, _, e in by_hand(text)]
+    assert row.n_email == 20_000 and row.base_sha256 == hashlib.sha256(",".join(spans).encode()).hexdigest()
+    assert clean == " ".join(["é[email]"] * 20_000)
+
+
+def replaced(text, spans):
+    """Spans as (start, end, kind, value): runs of overlapping ones give way to the first's label."""
+    out, at = "", 0
+    for start, end, kind, value in sorted(spans, key=lambda s: (s[0], -s[1], s[2])):
+        if start >= at:
+            label = f"[{pii.KINDS[kind]}]" if kind < 4 else "" if value == "removed" else value
+            out += text[at:start] + label
+        at = max(at, end)
+    return out + text[at:]
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.tuples(st.integers(0, 1300), st.integers(1, 400), st.integers(0, 4)), max_size=12), min_size=10, max_size=10))
+def test_cleaned_like_plain_python(spark, drawn):
+    text = "aé😀b\n" * 300
+    rows = [(i, text, sorted({(k, s, min(s + n, 1500), "removed" if s % 2 else "ab*") for s, n, k in spans})) for i, spans in enumerate(drawn)]
+    docs = spark.createDataFrame(rows, f"i int, text string, spans array<{pii._SPAN}>")
+    for r in docs.select("i", pii._clean(F.col("text"), F.col("spans")).alias("clean")).collect():
+        assert r.clean == replaced(text, [(s, e, k, v) for k, s, e, v in rows[r.i][2]])
+
+
+def test_clean_digest_is_of_the_sanitised_text(corpus):
+    clean = {r.doc_id: r.text for r in pii.sanitised(corpus).collect()}
+    for r in pii.digests(corpus).collect():
+        assert r.clean_sha256 == hashlib.sha256(clean[r.doc_id].encode()).hexdigest()
+        assert r.n_generalised + r.n_removed == r.n_term == r.spans.count("term:")
+
+
+def test_classes_tell_less_than_the_threshold(spark):
+    """A class is the longest beginning that a word in enough texts shares."""
+    counts = spark.createDataFrame([("quixotte", 4), ("quite", 700), ("quixotic", 5), ("zz", 900), ("zebrano", 4)], "term string, d_term long")
+    shares = spark.createDataFrame([("quixotte", 4), ("zebrano", 4)], "term string, d_entity long")
+    got = {r.term: r["class"] for r in pii.classes(shares, counts, 1000).collect()}
+    assert got == {"quixotte": "qui"}
 
 
 def test_counts_of_the_corpus_by_hand(corpus):
     found = pii.personal_spans(corpus)
     source = corpus.select(F.lit(0).alias("row"), "text")
     assert found.count() == source.count()
-    told = {(r.entity, r.term): r.share for r in pii.disclosures(_found(corpus), corpus).collect()}
+    told = {(r.entity, r.term): r.share for r in pii.disclosures(_found(corpus), pii.vocabulary(corpus), corpus.count()).collect()}
     texts = [r.text for r in corpus.collect()]
     n, entity = len(texts), "q.x@mail.example"
     d_entity = sum(entity in t for t in texts)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatelog.llm.common import scratch, utf8
+from gatelog.llm.common import scratch, stored, utf8
 
 #: Fixed by the WARC 1.1 format.
 VERSION, VERSIONS = "WARC/1.1", (b"WARC/1.0\r\n", b"WARC/1.1\r\n")
@@ -89,8 +89,6 @@ def write(records: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z") ->
             _uuid(F.col("refers_to")),
             F.lit("\r\nWARC-Refers-To-Target-URI: "),
             clean(other),
-            F.lit("\r\nRefers-To-Page-ID: "),
-            F.col("refers_to").cast("string"),
         )).otherwise(none),
         F.when(F.col("page_id").isNotNull(), F.concat(F.lit("\r\nPage-ID: "), F.col("page_id").cast("string"))).otherwise(none),
         F.lit("\r\nPayload-Length: "),
@@ -107,7 +105,7 @@ def write(records: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z") ->
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """Per record: page_id (string, null if absent), url, record_type, payload, payload_bytes, payload_digest, refers_to.
+    """Per record: record_id, page_id (string, null if absent), url, record_type, payload, payload_bytes, payload_digest, refers_to (a record id).
 
     A file is read as a stream by one task, which holds one record at a time. Versions 1.0 and 1.1 are read;
     records of other types than response and revisit are passed over. The payload of an HTTP response is what
@@ -116,8 +114,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     """
     lines = spark.read.option("lineSep", END.decode()).text(path)
     source = lines.select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("data"))
-    names = ["page_id", "url", "record_type", "payload", "payload_bytes", "payload_digest", "refers_to"]
-    types = [pa.string(), pa.string(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.string()]
+    names = ["record_id", "page_id", "url", "record_type", "payload", "payload_bytes", "payload_digest", "refers_to"]
+    types = [pa.string(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, pending, needed = None, bytearray(), 0
@@ -146,7 +144,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         ended(current, pending)
 
     return source.mapInArrow(
-        run, "page_id string, url string, record_type string, payload binary, payload_bytes long, payload_digest string, refers_to string"
+        run, "record_id string, page_id string, url string, record_type string, payload binary, payload_bytes long, payload_digest string, refers_to string"
     )
 
 
@@ -176,27 +174,58 @@ def content(fields: dict[str, str], data: bytearray, begin: int) -> tuple:
     if kind == "response" and own != digest.lower():
         raise ValueError(f"payload of {fields.get('warc-record-id')} does not match its digest")
     return (
+        fields.get("warc-record-id"),
         fields.get("page-id"),
         fields.get("warc-target-uri"),
         kind,
         payload if kind == "response" else None,
         int(fields.get("payload-length", len(payload))),
         digest.lower(),
-        fields.get("refers-to-page-id"),
+        fields.get("warc-refers-to"),
     )
 
 
+def joined(records: DataFrame, *wanted: str) -> DataFrame:
+    """The revisits among ``records``, each with the columns ``wanted`` of its original as ``original_…``.
+
+    A revisit is joined to the response whose record id it names, or to one of its payload digest if it
+    names none. Of several such responses (repeated rows) the one with the greatest columns ``wanted``
+    counts; without one they are null. Responses are one row per key before the join, and a key that
+    many revisits name is split by the engine.
+    """
+    by_digest = F.concat(F.lit("sha1:"), F.col("payload_digest"))
+    keys = F.explode(F.array("record_id", by_digest)).alias("key")
+    responses = records.where("record_type = 'response'").select(keys, F.struct(*wanted).alias("own")).where(F.col("key").isNotNull())
+    originals = responses.groupBy("key").agg(F.max("own").alias("own"))
+    revisits = records.where("record_type = 'revisit'").withColumn("key", F.coalesce("refers_to", by_digest))
+    found = revisits.join(originals, "key", "left")
+    return found.select(*records.columns, *(F.col("own").getField(c).alias(f"original_{c}") for c in wanted))
+
+
+def restored(spark: SparkSession, path: str) -> DataFrame:
+    """Per record of the archives: record_id, page_id, url, payload; a revisit has its original's payload, or null if that is not there."""
+    records = stored(read(spark, path))
+    again = joined(records, "payload").withColumn("payload", F.col("original_payload"))
+    columns = ["record_id", "page_id", "url", "payload"]
+    return records.where("record_type = 'response'").select(*columns).unionByName(again.select(*columns))
+
+
 def round_trip(pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html", least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """Archives the pages, reads the archives back and returns a row per record, without payloads."""
+    """Archives the pages, reads the archives back, joins revisits to their originals and returns a row per record, without payloads.
+
+    Nulls, repeated rows and empty tables as for ``resolve``; only the named columns are read.
+    """
     spark = pages.sparkSession
     path = scratch(spark)
     write(resolve(pages, key, url, payload, least_bytes), path)
     kind = pages.schema[key].dataType
-    return read(spark, path).select(
+    records = stored(read(spark, path).drop("payload"))
+    responses = records.where("record_type = 'response'").withColumn("original_page_id", F.lit(None).cast("string"))
+    return responses.unionByName(joined(records, "page_id")).select(
         F.col("page_id").cast(kind).alias("page_id"),
         "payload_bytes",
         "payload_digest",
         "record_type",
-        F.col("refers_to").cast(kind).alias("refers_to"),
+        F.col("original_page_id").cast(kind).alias("refers_to"),
         "url",
     )

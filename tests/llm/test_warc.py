@@ -48,6 +48,27 @@ def test_payloads_come_back_byte_for_byte_and_revisits_have_none(spark, pages):
     assert warc.read(spark, path).filter("record_type = 'revisit'").agg(F.max("payload")).first()[0] is None
 
 
+def test_every_page_is_restored(spark, pages):
+    path = scratch_dir(spark, "warc-test")
+    warc.write(warc.resolve(pages), path)
+    got = sorted(((r.page_id, bytes(r.payload)) for r in warc.restored(spark, path).collect()), key=repr)
+    assert got == sorted(((None if r.page_id is None else str(r.page_id), (r.html or "").encode()) for r in pages.collect()), key=repr)
+
+
+def test_foreign_revisits(spark, tmp_path):
+    """By record id, by digest without one, and one whose original is not there; files in any order."""
+    import gzip
+
+    sha = hashlib.sha1(b"page").hexdigest()
+    first = record("revisit", b"", WARC_Record_ID="<b>", WARC_Refers_To="<a>", WARC_Payload_Digest=f"sha1:{sha}", WARC_Target_URI="http://b/")
+    first += record("revisit", b"", WARC_Record_ID="<c>", WARC_Payload_Digest=f"sha1:{sha}", WARC_Target_URI="http://c/")
+    first += record("revisit", b"", WARC_Record_ID="<d>", WARC_Refers_To="<gone>", WARC_Payload_Digest=f"sha1:{sha}", WARC_Target_URI="http://d/")
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(first))
+    (tmp_path / "b.warc.gz").write_bytes(gzip.compress(record("response", b"page", WARC_Record_ID="<a>", WARC_Target_URI="http://a/")))
+    got = {r.record_id: r.payload and bytes(r.payload) for r in warc.restored(spark, str(tmp_path)).collect()}
+    assert got == {"<a>": b"page", "<b>": b"page", "<c>": b"page", "<d>": None}
+
+
 def test_file_is_a_valid_archive(spark, pages):
     """Parsed by the format's rules: version, header lines, Content-Length, two line ends."""
     path = scratch_dir(spark, "warc-test")

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gatelog.llm.common import stored
+
 #: Labelled rows trained on at most; words per category; least rows with a word; least chi-square of a word; folds.
 MAX_ROWS, MAX_WORDS, LEAST_ROWS, LEAST_CHI2, FOLDS = 10_000, 300, 4, 25.0, 3
 #: Probability from which a text is rejected; strength of the penalty on weights.
@@ -106,14 +108,15 @@ class Chain:
 def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], key: str = "doc_id", text: str = "text", label_key: str = "doc_id", max_rows: int = MAX_ROWS) -> Chain:
     """A chain over ``categories`` (name → 0/1 column of ``labels``), in their order.
 
-    Labels with a null id or category are left out; of repeated ids the greatest labels count; texts of
-    a repeated id are all used.
+    Labels with a null id or category are left out; of repeated ids the greatest labels count and the
+    least text does, so that ``max_rows`` bounds the rows, too.
     """
     names = list(categories)
     told = labels.select(F.col(label_key).alias("id"), *(c.cast("int").alias(f"y{i}") for i, c in enumerate(categories.values()))).dropna()
     unique = told.groupBy("id").agg(*(F.max(f"y{i}").alias(f"y{i}") for i in range(len(names))))
     sample = unique.orderBy(F.xxhash64("id"), "id").limit(max_rows)  # so the broadcast has max_rows short rows at most
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(sample), "id")
+    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(sample), "id")
+    rows = stored(texts.groupBy("id").agg(F.min("text").alias("text"), *(F.first(f"y{i}").alias(f"y{i}") for i in range(len(names)))))
     ys = [f"y{i}" for i in range(len(names))]
     rows = rows.select("id", "text", F.pmod(F.xxhash64(F.lit("fold"), F.col("id").cast("string")), F.lit(FOLDS)).cast("int").alias("fold"), *ys)
 

@@ -75,6 +75,14 @@ def test_odd_rows_and_bounded_sample(odd_docs, corpus):
     assert len(few.weights) == 2
 
 
+def test_a_repeated_id_is_one_row(corpus):
+    """One id with more rows than the bound changes nothing but by its least text."""
+    docs, labels = corpus
+    again = docs.unionByName(docs.where("doc_id = 1").withColumn("text", F.explode(F.array_repeat(F.concat("text", F.lit(" zz")), 500))))
+    one, two = (toxicity.train(d, labels, categories()) for d in (docs, again))
+    assert one.numbers == two.numbers and all(np.array_equal(a, b) for a, b in zip(one.weights, two.weights, strict=True))
+
+
 def test_empty_tables(docs_of, corpus):
     docs, labels = corpus
     assert toxicity.scored(docs_of(), labels, categories(), "toxic").collect() == []

@@ -132,13 +132,14 @@ class DayTable:
         rows = self._of([self.path], parts=True)
         return (rows.filter(F.col("part") != without) if without else rows).select(*self.schema.names)
 
-    def read_days(self, days: Iterable, run: str | None = None) -> DataFrame:
-        """Some days' rows, and of one run if it is named; only these folders are listed."""
+    def read_days(self, days: Iterable, run: str | None = None, without: str | None = None) -> DataFrame:
+        """Some days' rows, of one run or without one if it is named; only these folders are listed."""
         wanted = {f"{self.day}={d}" for d in days}
         found = [d for d in self.days() if d in wanted]
         if not found:
             return self.spark.createDataFrame([], self.schema)
         rows = self._of([f"{self.path}/{d}" for d in found], parts=True)
+        rows = rows.filter(F.col("part") != without) if without else rows
         return (rows if run is None else rows.filter(F.col("part") == run)).select(*self.schema.names)
 
     def run(self, run: str) -> DataFrame:

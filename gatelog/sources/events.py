@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import datetime
+from dataclasses import dataclass
+from datetime import datetime, timedelta
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gatelog import schemas
 from gatelog.functions.labels import signal_quality
@@ -129,6 +131,56 @@ def with_variant(df: DataFrame, column: str = "raw_json") -> DataFrame:
     return df.withColumn("payload", F.try_parse_json(column))
 
 
+@dataclass(frozen=True)
+class Retries:
+    """How a producer's resent lines are told: the payload's token, and the time that ends a row of copies.
+
+    A line is a resend if an accepted line with its token arrived at most ``delay`` before it, a resend
+    itself or not. Rejected lines and lines without token are none, and a line that follows a rejected
+    one is none either.
+    """
+
+    path: str = "$.token"
+    delay: timedelta = timedelta(hours=2)
+
+    def tokens(self, classified: DataFrame) -> DataFrame:
+        """The columns of ``classify_events``, with the token of accepted lines."""
+        token = F.get_json_object("raw_json", self.path)
+        return classified.withColumn(TOKEN, F.when(F.col("reject_reason") == "", token))
+
+
+#: The column of ``Retries.tokens``.
+TOKEN = "retry_token"
+
+
+def first_sends(df: DataFrame, token: str, arrived: str, delay: timedelta) -> DataFrame:
+    """One row of each row of copies: those of a token that arrive at most ``delay`` after one another.
+
+    The earliest stays; of those that arrive at once the least by the other columns, in their order.
+    Rows without token or arrival all stay. Copies within a span of ``delay`` are put together before
+    the shuffle, so a token that is resent without end moves one row per span and task, and its window
+    holds one row per span. The columns must be orderable.
+    """
+    span = _micros(delay)
+    micros = F.unix_micros(F.col(arrived).cast("timestamp"))
+    start = micros - F.pmod(micros, F.lit(span))
+    others = [c for c in df.columns if c not in (token, arrived)]
+    known = F.col(token).isNotNull() & F.col(arrived).isNotNull()
+    spans = df.filter(known).groupBy(F.col(token).alias("_token"), start.alias("_span")).agg(
+        F.min(F.struct(arrived, token, *others)).alias("_first"), F.max(arrived).alias("_last"))
+    before = F.lag("_last").over(Window.partitionBy("_token").orderBy("_span"))
+    gap = F.make_dt_interval(secs=F.lit(span).cast("decimal(18,6)") / 1_000_000)
+    kept = spans.withColumn("_before", before).filter(
+        F.col("_before").isNull() | (F.col(f"_first.{arrived}") > F.col("_before") + gap))
+    return kept.select("_first.*").select(*df.columns).unionByName(df.filter(~known))
+
+
+def _micros(delay: timedelta) -> int:
+    if delay <= timedelta(0):
+        raise ValueError("the delay must be positive")
+    return delay // timedelta(microseconds=1)
+
+
 def _newest_copies(token: str, event_time: str):
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,18 +192,20 @@ def _newest_copies(token: str, event_time: str):
     return keep
 
 
-def dedupe_retries(df: DataFrame, token: str, event_time: str, delay: str) -> DataFrame:
-    """Drop resent rows by producer token; streaming state is bounded by ``delay``.
+def dedupe_retries(df: DataFrame, token: str, event_time: str, delay: timedelta) -> DataFrame:
+    """Drop resent rows by producer token: ``first_sends``, or its like with state on a stream.
 
-    Spark's streaming duplicate check shuffles every copy to the task that owns the
-    token. Dropping copies inside each Arrow batch first keeps a token that is resent
-    without end from swamping that task. The copy with the newest event time stays: if
-    that one is too late for the watermark, so are all others.
+    A stream keeps one row of copies that all lie within ``delay`` of the first, as the batch form does;
+    of a longer row it may let more pass, and it drops rows later than the watermark. Landing with
+    ``Retries`` does neither. Spark's streaming duplicate check shuffles every copy to the task that owns
+    the token; dropping copies inside each Arrow batch first keeps a token that is resent without end
+    from swamping that task. The copy with the newest event time stays: if that one is too late for the
+    watermark, so are all others, and no older copy decides when the token is forgotten.
     """
     if not df.isStreaming:
-        return df.dropDuplicates([token])
+        return first_sends(df, token, event_time, delay)
     timed = df.mapInArrow(_newest_copies(token, event_time), df.schema).withColumn(
         "_event_time", F.col(event_time).cast("timestamp")
     )
-    kept = timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark([token])
-    return kept.drop("_event_time")
+    marked = timed.withWatermark("_event_time", f"{_micros(delay)} microseconds")
+    return marked.dropDuplicatesWithinWatermark([token]).drop("_event_time")

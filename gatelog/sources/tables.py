@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gatelog import schemas
+from gatelog.functions.times import ntz
 from gatelog.operators.dims import next_key
 from gatelog.sources.days import DayTable, Files, VersionTable
-from gatelog.sources.events import rejected
+from gatelog.sources.events import TOKEN, Retries, first_sends, rejected
 from gatelog.sources.seeds import empty_readers, local_table, seed_users, seed_zones
 
 LANDING = T.StructType(
@@ -39,6 +40,13 @@ LOG = T.StructType(
 )
 TOTALS = T.StructType([*schemas.TOTALS.fields, T.StructField("load_date", T.DateType())])
 WAITING = T.StructType([*schemas.STAGING.fields, T.StructField("zone_bucket", T.IntegerType())])
+TOKENS = T.StructType(
+    [
+        T.StructField(TOKEN, T.StringType()),
+        T.StructField("arrival_time", T.TimestampNTZType()),
+        T.StructField("arrival_date", T.DateType()),
+    ]
+)
 ZONE_IDS = T.StructType([T.StructField("zone_id", T.StringType())])
 #: Folders that waiting rows are spread over by their zone.
 ZONE_BUCKETS = 64
@@ -87,7 +95,8 @@ class Warehouse:
     accepted and rejected lines by ingestion date; ``raw`` and ``quarantine`` read one side each.
     ``stg`` is kept by staging date, ``facts`` by event date and below that by load date, the log by
     the day a run was due. Lookbacks on load times prune by these dates. Staged rows whose zone is not
-    known wait by zone. ``totals`` holds what each load added to landing and facts.
+    known wait by zone. ``totals`` holds what each load added to landing and facts, ``tokens`` the
+    producers' tokens by arrival if landing tells resent lines.
     Dimensions are replaced as a whole (``VersionTable``).
     """
 
@@ -103,6 +112,7 @@ class Warehouse:
             "batch_log": days("batch_log", LOG, "scheduled_date"),
             "totals": days("totals", TOTALS, "load_date"),
             "waiting": days("waiting", WAITING, "zone_bucket"),
+            "tokens": days("tokens", TOKENS, "arrival_date"),
         }
         self.version_tables = {
             "users": versions("users", schemas.USERS),
@@ -232,13 +242,41 @@ class Warehouse:
             empty.write.mode("overwrite").parquet(self.path(name))
         return self
 
-    def land(self, classified: DataFrame, batch_id: int) -> None:
+    def without_resent(self, classified: DataFrame, run: str, retries: Retries) -> DataFrame:
+        """A batch's lines but for those resent, by the tokens of earlier batches and its own.
+
+        The tokens are kept by the day they arrived, a part per batch, so only the days within ``delay``
+        are listed, and of those files only the tokens that arrived within it are read. A replayed batch
+        does not look at its own part.
+        """
+        table, found = self.day_tables["tokens"], Observation()
+        tagged = retries.tokens(classified)
+        own = tagged.filter(F.col(TOKEN).isNotNull()).select(TOKEN, F.col("ingestion_time").alias("arrival_time")).distinct()
+        arrived = own.withColumn("arrival_date", F.to_date("arrival_time")).observe(
+            found, F.min("arrival_time").alias("first"), F.max("arrival_time").alias("last"))
+        table.replace(arrived, run)
+        first, last = found.get["first"], found.get["last"]
+        if first is None:
+            return classified
+        oldest = first - retries.delay
+        earlier = table.read_days(_days(oldest.date(), last.date()), without=run)
+        earlier = earlier.filter(F.col("arrival_time") >= ntz(oldest)).select(
+            F.col(TOKEN).alias("_seen"), F.col("arrival_time").alias("_at"))
+        once = first_sends(tagged, TOKEN, "ingestion_time", retries.delay)
+        gap = F.make_dt_interval(secs=F.lit(retries.delay.total_seconds()).cast("decimal(18,6)"))
+        resent = (F.col(TOKEN) == F.col("_seen")) & (F.col("ingestion_time") <= F.col("_at") + gap)
+        return once.join(earlier, resent, "left_anti").drop(TOKEN)
+
+    def land(self, classified: DataFrame, batch_id: int, retries: Retries | None = None) -> None:
         """One batch of classified lines, in place of what an earlier attempt left; then the word to the load.
 
-        The rows of a batch share their ingestion time, which a replayed batch keeps.
+        The rows of a batch share their ingestion time, which a replayed batch keeps. With ``retries``
+        resent lines are left out.
         """
         run, table, found = run_name(batch_id), self.day_tables["landing"], Observation()
         fine = F.col("reject_reason") == ""
+        if retries:
+            classified = self.without_resent(classified, run, retries)
         rows = classified.observe(
             found,
             F.min("ingestion_time").alias("first"),

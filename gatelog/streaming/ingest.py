@@ -26,7 +26,7 @@ from gatelog.operators.facts import (
     unstaged,
 )
 from gatelog.sources.days import DayTable
-from gatelog.sources.events import classify_events
+from gatelog.sources.events import Retries, classify_events
 from gatelog.sources.seeds import local_table
 from gatelog.sources.tables import Warehouse, cluster_by_date, run_name
 
@@ -68,9 +68,10 @@ def first_batch(checkpoint: str, table: DayTable) -> int:
 
 
 def start_landing(
-    lines: DataFrame, warehouse: Warehouse, checkpoint: str, trigger: dict | None = None
+    lines: DataFrame, warehouse: Warehouse, checkpoint: str, trigger: dict | None = None,
+    retries: Retries | None = None,
 ) -> StreamingQuery:
-    """Type JSON lines into the landing table, rejects beside accepted rows.
+    """Type JSON lines into the landing table, rejects beside accepted rows, without lines resent if told how.
 
     One pass: each line is read and parsed once. A batch writes folders of its own and a repeated
     one writes them again, with the stamp of the first attempt, so lines land exactly once; no log grows with
@@ -79,7 +80,7 @@ def start_landing(
     first = first_batch(checkpoint, warehouse.day_tables["landing"])
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        warehouse.land(batch, first + batch_id)
+        warehouse.land(batch, first + batch_id, retries)
 
     return (
         classify_events(lines)

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from gatelog.operators.selection import EVENT_KEY, duplicate_keys
 from gatelog.plans import reports, views
-from gatelog.sources.events import dedupe_retries, read_events
+from gatelog.sources.events import (
+    Retries, accepted, classify_events, dedupe_retries, first_sends, read_events,
+)
 from gatelog.streaming import ingest
 
 ONCE = {"availableNow": True}
@@ -205,12 +207,12 @@ def test_a_token_resent_without_end_is_kept_once(spark, tmp_path):
         F.lit(NOW).alias("sent"), F.lit(Decimal("1.50")).alias("amount"))
     rows.write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
-    once = dedupe_retries(stream, "token", "sent", "1 hour")
+    once = dedupe_retries(stream, "token", "sent", timedelta(hours=1))
     once.writeStream.format("parquet").option(
         "checkpointLocation", str(tmp_path / "ckpt")
     ).trigger(**ONCE).start(str(tmp_path / "out")).awaitTermination()
     kept = spark.read.schema(once.schema).parquet(str(tmp_path / "out"))
-    whole = dedupe_retries(rows, "token", "sent", "1 hour")
+    whole = dedupe_retries(rows, "token", "sent", timedelta(hours=1))
     assert kept.count() == whole.count() == 6001
     assert kept.exceptAll(whole).isEmpty()
 
@@ -237,7 +239,89 @@ def test_a_timely_copy_survives_beside_a_late_one(spark, tmp_path):
             new.rename(inbox / f"{i}-{new.name.removeprefix('part-')}")
     stream = spark.readStream.schema("token int, at timestamp_ntz").option(
         "maxFilesPerTrigger", 1).parquet(str(inbox))
-    once = dedupe_retries(stream, "token", "at", "1 hour")
+    once = dedupe_retries(stream, "token", "at", timedelta(hours=1))
     once.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ckpt")).trigger(
         availableNow=True).start(str(tmp_path / "out")).awaitTermination()
     assert sorted(r.token for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 7]
+
+
+def sends(tokens):
+    """Lines with a token each; the reader tells copies apart."""
+    return [
+        json.dumps({
+            "badge_id": f"B{t}", "user_id": "USR-001", "zone_id": "ZONE-LOBBY-1", "reader_id": f"R{i}",
+            "event_timestamp": "2024-01-31T08:00:00", "token": t})
+        for i, t in enumerate(tokens)]
+
+
+def test_resent_lines_land_once_as_in_one_batch(spark, warehouse):
+    """Batches minutes apart through landing, and the rule over all their lines at once, keep the same rows."""
+    batches = [  # minutes, tokens
+        (0, ["a"] * 400 + ["b", None, None]), (50, ["a", "c"]), (100, ["a", "b", "c"]), (161, ["a", "b", "c"]),
+        (162, ["a"]), (300, [None, "a", "d"])]
+    rule, lines = Retries(delay=timedelta(hours=1)), []
+    for batch_id, (minutes, tokens) in enumerate(batches):
+        frame = spark.createDataFrame([(v,) for v in sends(tokens)], "value string").repartition(3)
+        classified = classify_events(frame, NOW + minutes * MINUTE)
+        lines.append(classified)
+        for _ in range(1 + (batch_id == 3)):  # a repeated batch does not meet its own tokens
+            warehouse.land(classified, batch_id, rule)
+    every = lines[0]
+    for more in lines[1:]:
+        every = every.unionByName(more)
+    whole = accepted(first_sends(rule.tokens(every), "retry_token", "ingestion_time", rule.delay))
+    kept = warehouse.raw.drop("ingestion_date")
+    assert kept.exceptAll(whole).isEmpty() and whole.exceptAll(kept).isEmpty()
+    by_badge = {r.badge_id: r["count"] for r in kept.groupBy("badge_id").count().collect()}
+    # a: 0-100 are one row of copies, 161 follows 61 minutes later; b, c alike; 300 is new again
+    assert by_badge == {"Ba": 3, "Bb": 3, "Bc": 2, "Bd": 1, "BNone": 3}
+
+
+def test_a_rejected_line_does_not_hide_its_correction(spark, warehouse):
+    bad = json.dumps({"badge_id": "B1", "token": "t"})
+    for batch_id, lines in enumerate(([bad], sends(["t"]), [bad])):
+        frame = spark.createDataFrame([(v,) for v in lines], "value string")
+        warehouse.land(classify_events(frame, NOW + batch_id * MINUTE), batch_id, Retries())
+    assert warehouse.raw.count() == 1 and warehouse.quarantine.count() == 2
+
+
+def test_landing_stream_leaves_out_resent_lines(spark, warehouse, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    for i, tokens in enumerate((["a", "a", "b"], ["b", "c"], ["a", "d"])):
+        (inbox / f"{i}.json").write_text("\n".join(sends(tokens)))
+        stream = read_events(spark, str(inbox))
+        ingest.start_landing(
+            stream, warehouse, str(tmp_path / "ckpt"), ONCE, Retries(delay=timedelta(hours=1))
+        ).awaitTermination()
+    assert sorted(r.badge_id for r in warehouse.raw.collect()) == ["Ba", "Bb", "Bc", "Bd"]
+    assert len(warehouse.files.names(warehouse.path("changes"))) == 3
+
+
+def test_a_token_resent_without_end_is_combined_before_the_shuffle(spark):
+    """A token with 10^5 copies, a microsecond to a second apart: a row per span and task is shuffled."""
+    rows = spark.range(0, 150_000, 1, 4).select(
+        F.when(F.col("id") < 100_000, "hot").otherwise(F.col("id").cast("string")).alias("token"),
+        (F.lit(NOW).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id") / 50)).alias("at"))
+    once = first_sends(rows, "token", "at", timedelta(minutes=10))
+    assert once.count() == 50_001
+    assert once.filter("token = 'hot'").first()["at"] == NOW
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan and "partial_max" in plan
+
+
+def test_rows_of_copies_by_brute_force(spark):
+    import random
+
+    chance = random.Random(5)
+    rows = [(chance.choice("abcde") if chance.random() > 0.1 else None,
+             NOW + timedelta(seconds=chance.randrange(20_000)), chance.randrange(3)) for _ in range(300)]
+    rows += [("f", NOW, 2), ("f", NOW, 1), ("f", NOW + timedelta(seconds=60), 0), ("f", NOW + timedelta(seconds=121), 0)]
+    want, last = [], {}
+    for token, at, n in sorted(rows, key=lambda r: (r[1], r[2])):
+        if token is None or token not in last or at - last[token] > timedelta(seconds=60):
+            want.append((token, at, n))
+        last[token] = at
+    frame = spark.createDataFrame(rows, "token string, at timestamp_ntz, n int").repartition(3)
+    got = first_sends(frame, "token", "at", timedelta(seconds=60)).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)

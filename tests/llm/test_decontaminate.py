@@ -74,12 +74,44 @@ def test_short_items(docs_of, spark):
     assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()} >= {(1, 1), (3, 2)}
 
 
-def test_parts_give_the_same(docs_of, benchmark, prose, monkeypatch):
+def test_scores_do_not_depend_on_the_parts(docs_of, benchmark, prose, monkeypatch):
     texts = [r.text for r in benchmark.filter("item_id < 30").collect()]
     docs = docs_of(*[(i, f"{prose(i, 100)} {t} {prose(i + 40, 100)}") for i, t in enumerate(texts)])
+
+    def pairs():
+        found = decontaminate.contaminated(docs, benchmark).collect()
+        return sorted((r.doc_id, -1 if r.item_id is None else r.item_id, round(r.score, 9)) for r in found)
+
+    once = pairs()
+    assert {d for d, _, _ in once} == set(range(30)) and len(once) == 32
     monkeypatch.setattr(decontaminate, "PART_BYTES", 900)
-    found = {r.doc_id for r in decontaminate.contaminated(docs, benchmark.filter("item_id < 30")).collect()}
-    assert found == set(range(30))
+    parts = decontaminate.index_parts(decontaminate.named_items(benchmark))
+    assert parts.count() > 3
+    assert pairs() == once
+    monkeypatch.setattr(decontaminate, "SCAN_BYTES", 1)
+    assert pairs() == once
+    assert decontaminate.remove_contaminated(docs, benchmark).isEmpty()
+
+
+def test_sums_some_segments_at_a_time_give_the_same(prose, monkeypatch):
+    items = [(str(i), prose(600 + i, 30), prose(700 + i, 9)) for i in range(40)]
+    index = Index.build(items)
+    texts = [plain(f"{prose(i, i * 7)} {items[i][1]} {items[i][2]} {prose(50 + i, 40)}") for i in range(40)]
+    whole = index.matches(texts)
+    monkeypatch.setattr(decontaminate, "SUMS", 1)
+    assert index.matches(texts) == whole
+
+
+def test_many_items_need_little_memory():
+    """Words by blocks as a whole array would take 300 MB here."""
+    chance = random.Random(9)
+    items = [(str(i), " ".join(f"w{chance.randrange(60_000)}" for _ in range(20)), f"a{i} b{i} c{i}") for i in range(6000)]
+    index = Index.build(items)
+    held = sum(x.nbytes for x in (index.begins, index.blocks, index.maxima))
+    assert len(index.terms) * len(index.needed) * 4 > 200 << 20
+    assert held < 4 << 20
+    found = index.matches([plain(" ".join(items[i][1:])) for i in range(0, 6000, 500)])
+    assert [next(index.names[k] for k in own) for own in found] == [str(i) for i in range(0, 6000, 500)]
 
 
 def test_empty_tables(docs_of, benchmark, odd_docs):

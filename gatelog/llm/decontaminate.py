@@ -90,15 +90,17 @@ class Index:
     parts: list[tuple[np.ndarray, np.ndarray]]  # shingles of question and answer
     needed: np.ndarray  # the threshold of each block of items
     greatest: list[float] = field(init=False)
+    looked_up: dict[int, dict[int, float]] = field(init=False, default_factory=dict)
 
     def __post_init__(self) -> None:
         self.greatest = np.maximum.reduceat(self.maxima, self.begins[:-1]).tolist() if len(self.terms) else []
 
-    def bound(self, term: int, block: int) -> float:
-        """The greatest impact of a term in a block."""
-        first, last = self.begins[term], self.begins[term + 1]
-        at = first + np.searchsorted(self.blocks[first:last], block)
-        return float(self.maxima[at]) if at < last and self.blocks[at] == block else 0.0
+    def bounds(self, term: int) -> dict[int, float]:
+        """The greatest impact of a term by block; kept, and no larger than the term's list of items."""
+        if term not in self.looked_up:
+            own = slice(self.begins[term], self.begins[term + 1])
+            self.looked_up[term] = dict(zip(self.blocks[own].tolist(), self.maxima[own].tolist(), strict=True))
+        return self.looked_up[term]
 
     def spread(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The blocks of all terms one after another: the term's place in ``terms``, the block, the greatest impact."""
@@ -148,6 +150,7 @@ class Index:
     def retrieve(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
         """All (item, score) with a score of at least ``threshold`` for a query of distinct terms: block-max WAND."""
         cursors = [[self.postings[t][0][0], 0, t] for t in terms]  # item, place in the list, term
+        bounds = {t: self.bounds(t) for t in terms}
         found = []
         slack = threshold - 1e-6  # bounds are kept in single precision
         while cursors:
@@ -164,7 +167,7 @@ class Index:
             while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == item:
                 pivot += 1
             block = item // BLOCK
-            if sum(self.bound(c[2], block) for c in cursors[: pivot + 1]) < slack:
+            if sum(bounds[c[2]].get(block, 0.0) for c in cursors[: pivot + 1]) < slack:
                 # nothing in this block before the next list begins: go on behind both
                 target = (block + 1) * BLOCK
                 if pivot + 1 < len(cursors):

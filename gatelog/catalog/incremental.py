@@ -90,6 +90,20 @@ def slices(t):
     return [(i, t.raw.filter(f"cast(ingestion_time AS date) {s}")) for i, s in enumerate(SLICES)]
 
 
+def batches(t, batch: str, n: int):
+    """The raw events as ``n`` batches by an expression.
+
+    The feed is computed and written once, a folder per batch, and a batch reads its own folder: its
+    cost follows its rows, not those of all batches.
+    """
+    path = scratch_dir(t.spark, "batches")
+    rows = t.raw.withColumn("_batch", F.expr(batch))
+    rows.write.partitionBy("_batch").parquet(path)
+    written = t.spark.read.schema(rows.schema).parquet(path)
+    return [(i, written.filter(F.col("_batch") == i).drop("_batch")) for i in range(n)]
+
+
+
 BY_SLICE = "(" + " UNION ALL ".join(
     f"SELECT *, {i} AS batch_id FROM raw_events WHERE cast(ingestion_time AS date) {s} "
     "QUALIFY row_number() OVER (PARTITION BY badge_id, event_timestamp "
@@ -278,8 +292,7 @@ SPAN_FACTS = f"""(SELECT * FROM {BY_SPAN} WHERE zone_id IN ({x.KNOWN_ZONES})
 def run_spans(t, purpose: str, options=ingest.LoadOptions()):
     """Every event landed and loaded in six batches."""
     warehouse = new_warehouse(t, purpose)
-    for batch_id in range(SPANS):
-        batch = t.raw.filter(F.expr(f"{SPAN} = {batch_id}"))
+    for batch_id, batch in batches(t, SPAN, SPANS):
         warehouse.land(batch.withColumn("reject_reason", F.lit("")), batch_id)
         ingest.run_batch(warehouse, batch, batch_id, LOAD_TIME, options)
     return warehouse

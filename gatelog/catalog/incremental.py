@@ -103,6 +103,9 @@ def batches(t, batch: str, n: int):
     return [(i, written.filter(F.col("_batch") == i).drop("_batch")) for i in range(n)]
 
 
+SLICE = "CASE " + " ".join(
+    f"WHEN cast(ingestion_time AS date) {s} THEN {i}" for i, s in enumerate(SLICES)) + " END"
+
 
 BY_SLICE = "(" + " UNION ALL ".join(
     f"SELECT *, {i} AS batch_id FROM raw_events WHERE cast(ingestion_time AS date) {s} "
@@ -114,7 +117,7 @@ SLICE_FACTS = f"""(SELECT * FROM {BY_SLICE} WHERE zone_id IN ({x.KNOWN_ZONES})
 
 def run_slices(t, purpose: str, options=ingest.LoadOptions(), replay: bool = False):
     warehouse = new_warehouse(t, purpose)
-    for batch_id, batch in slices(t):
+    for batch_id, batch in batches(t, SLICE, len(SLICES)):
         for _attempt in range(2 if replay else 1):
             ingest.run_batch(warehouse, batch, batch_id, LOAD_TIME, options)
     return warehouse
@@ -164,7 +167,7 @@ def _(t):
     warehouse = new_warehouse(t, "late-zones")
     zones = t.zones.coalesce(1)
     warehouse.replace_zones(zones.filter(F.col("zone_id") != LATE_ZONE))
-    for batch_id, batch in slices(t):
+    for batch_id, batch in batches(t, SLICE, len(SLICES)):
         if batch_id == 2:
             warehouse.replace_zones(zones)
         ingest.run_batch(warehouse, batch, batch_id, LOAD_TIME)
@@ -226,7 +229,7 @@ SELECT event_date, count(*) AS events FROM (
   SELECT cast(event_timestamp AS date) AS event_date FROM {SLICE_FACTS}) GROUP BY 1""")
 def _(t):
     warehouse = new_warehouse(t, "late-data")
-    for batch_id, batch in reversed(slices(t)):  # newest first: the older batches are late
+    for batch_id, batch in reversed(batches(t, SLICE, len(SLICES))):  # newest first: the older batches are late
         ingest.run_batch(warehouse, batch, batch_id, LOAD_TIME)
     return warehouse.facts.groupBy("event_date").agg(F.count("*").alias("events"))
 

@@ -7,8 +7,11 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
@@ -46,3 +49,14 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         base = _own_folder()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def together(spark: SparkSession, steps: Iterable[Callable]) -> list:
+    """Results of steps that do not depend on each other, whose Spark jobs run side by side.
+
+    All have ended when this returns or raises.
+    """
+    targets = [inheritable_thread_target(spark)(step) for step in steps]
+    with ThreadPoolExecutor(max(len(targets), 1)) as pool:
+        running = [pool.submit(target) for target in targets]
+    return [step.result() for step in running]

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from gatelog import schemas
 from gatelog.functions.times import ntz
 from gatelog.operators.dims import next_key
+from gatelog.session import together
 from gatelog.sources.days import DayTable, Files, VersionTable
 from gatelog.sources.events import TOKEN, Retries, first_sends, rejected
 from gatelog.sources.seeds import empty_readers, local_table, seed_users, seed_zones
@@ -231,15 +232,18 @@ class Warehouse:
         for table in self.day_tables.values():
             table.create()
         zones = seed_zones(self.spark, load_ts).coalesce(1)
-        self.version_tables["users"].create(seed_users(self.spark, load_ts).coalesce(1))
-        self.version_tables["zones"].create(zones)
-        self.version_tables["applied_zones"].create(zones.select("zone_id"))
+        first = {
+            "users": seed_users(self.spark, load_ts).coalesce(1), "zones": zones,
+            "applied_zones": zones.select("zone_id"),
+        }
+        empty = {"readers": empty_readers(self.spark)} | {
+            name: self.spark.createDataFrame([], schema) for name, schema in schemas.TELEMETRY.items()}
+        together(
+            self.spark,
+            [partial(self.version_tables[name].create, rows) for name, rows in first.items()]
+            + [partial(rows.write.mode("overwrite").parquet, self.path(name)) for name, rows in empty.items()])
         self.files.mark(self._applied(1))
         self.files.folder(self.path("changes"))
-        empty_readers(self.spark).write.mode("overwrite").parquet(self.path("readers"))
-        for name, schema in schemas.TELEMETRY.items():
-            empty = self.spark.createDataFrame([], schema)
-            empty.write.mode("overwrite").parquet(self.path(name))
         return self
 
     def without_resent(self, classified: DataFrame, run: str, retries: Retries) -> DataFrame:
@@ -293,7 +297,7 @@ class Warehouse:
             added = local_table(self.spark, [{"layer": "RAW", **row}], schemas.TOTALS).coalesce(1)
         else:
             days = _days(seen["first"].date(), seen["last"].date())
-            added = added_rows(_accepted(table.read_days(days, run)), "RAW", "ingestion_time")
+            added = added_rows(_accepted(table.read_days(days, run)), "RAW", "ingestion_time").hint("rebalance")
         self._add_totals(added, run.replace("b", "r"))
         change = f"{run}@{seen['first'].date()}@{seen['last'].date()}"
         self.files.mark(self.path(f"changes/{change}"), again=True, text=f"{change}\n")
@@ -309,7 +313,7 @@ class Warehouse:
 
     def _add_totals(self, added: DataFrame, run: str) -> None:
         dated = added.withColumn("load_date", F.to_date("load_time"))
-        self.day_tables["totals"].replace(dated.coalesce(1), run)
+        self.day_tables["totals"].replace(dated, run)
 
     def log(self, entry: DataFrame, run: str) -> None:
         dated = entry.withColumn("scheduled_date", F.to_date("scheduled_time"))
@@ -332,6 +336,12 @@ class Warehouse:
         """The facts of some event dates; only their folders are listed."""
         return self.day_tables["facts"].read_days(dates)
 
+    def fact_dates(self, dates: Iterable[date]) -> list[date]:
+        """Which of these event dates have a folder of facts."""
+        table = self.day_tables["facts"]
+        days = set(table.days())
+        return [d for d in dates if f"{table.day}={d}" in days]
+
     def append_facts(self, facts: DataFrame, run: str = run_name(0)) -> None:
         """Append by event and load date. Use ``cluster_by_date`` first to size the files."""
         dated = facts.withColumn("fact_load_date", F.to_date("fact_load_time"))
@@ -340,7 +350,7 @@ class Warehouse:
     def add_fact_totals(self, dates: Iterable[date], run: str) -> None:
         """What a run's facts, of all its attempts, added to the table."""
         own = self.day_tables["facts"].read_days(dates, run)
-        self._add_totals(added_rows(own, "ANALYTICS", "fact_load_time"), run)
+        self._add_totals(added_rows(own, "ANALYTICS", "fact_load_time").coalesce(1), run)
 
     def replace_zones(self, zones: DataFrame) -> None:
         """Zones are type 1: one row each, the whole table written anew as its next version."""
@@ -365,7 +375,8 @@ class Warehouse:
         """
         waiting = self.files.names(self.path("changes"))
         before = {"landing": waiting[0].split("@")[0]} if waiting else {}
-        return sum(t.merge(before=before.get(name)) for name, t in self.day_tables.items())
+        merges = [partial(t.merge, before=before.get(name)) for name, t in self.day_tables.items()]
+        return sum(together(self.spark, merges))
 
     def aside(self, name: str, df: DataFrame) -> DataFrame:
         """Rows written next to the tables by the one load that runs, and read back."""

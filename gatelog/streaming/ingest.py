@@ -164,8 +164,9 @@ def _stage(
     if options.dedupe_scope == "table":
         others = warehouse.day_tables["stg"].read(without=run_name(batch_id))
         staged = unstaged(staged, others.filter(times_present(rows)))
-    stamped = staged.withColumn("staging_time", ntz(load_ts))
-    warehouse.write_staging(stamped.observe(kept, F.count("*").alias("rows")), batch_id)
+    counted = staged.observe(kept, F.count("*").alias("rows"))
+    # Stamped above the count, the time is seen to be one value, and the writer need not sort by its day.
+    warehouse.write_staging(counted.withColumn("staging_time", ntz(load_ts)), batch_id)
     return {
         "rows_processed": kept.get["rows"],
         "bytes_processed": received.get["bytes"],

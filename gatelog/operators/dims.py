@@ -46,17 +46,18 @@ def dense_keys(
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = df.repartition(n, F.xxhash64(*by)).sortWithinPartitions(*by)
-    return placed.withColumn(key, F.lit(start) + within_task(placed))
+    row = F.monotonically_increasing_id()
+    return placed.withColumn(key, F.lit(start) + within_task(task_counts(placed, row), row))
 
 
-def within_task(placed: DataFrame, row: Column | None = None) -> Column:
-    """A row's place among all rows, task after task; ``row`` is its monotonic id."""
-    row = F.monotonically_increasing_id() if row is None else row
-    counts = {
-        r["task"]: r["n"]
-        for r in placed.select(F.shiftright(row, 33).alias("task"))
-        .groupBy("task").agg(F.count("*").alias("n")).collect()
-    }
+def task_counts(placed: DataFrame, row: Column) -> dict[int, int]:
+    """Rows per task; ``row`` is a row's monotonic id."""
+    tasks = placed.select(F.shiftright(row, 33).alias("task")).groupBy("task")
+    return {r["task"]: r["n"] for r in tasks.agg(F.count("*").alias("n")).collect()}
+
+
+def within_task(counts: dict[int, int], row: Column) -> Column:
+    """A row's place among all rows, task after task, by the rows per task."""
     before, total = [], 0
     for task in range(max(counts, default=-1) + 1):
         before.append(total)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
@@ -92,15 +93,24 @@ def dates_present(staged: DataFrame) -> Column:
 
 
 def new_facts(
-    enriched: DataFrame, facts: DataFrame, dates: Column | None = None
+    enriched: DataFrame, facts: DataFrame, dates: Column | None = None,
+    held: Sequence[date] | None = None,
 ) -> DataFrame:
     """Rows whose event key is not loaded yet.
 
-    ``dates`` narrows the facts to the batch's date partitions before the join.
+    ``dates`` narrows the facts to the batch's date partitions before the join. ``held`` names the
+    dates that any of the facts have, if they are known: rows of other dates, usually nearly all, are
+    new and need no join, so they are not shuffled for it.
     """
     keys = ["event_date", *EVENT_KEY]
     loaded = (facts if dates is None else facts.filter(dates)).select(*keys)
-    return enriched.join(loaded, keys, "left_anti")
+    if held is None:
+        return enriched.join(loaded, keys, "left_anti")
+    if not held:
+        return enriched
+    asked = F.coalesce(F.col("event_date").isin(list(held)), F.lit(False))
+    unloaded = enriched.filter(asked).join(loaded, keys, "left_anti").select(*enriched.columns)
+    return enriched.filter(~asked).unionByName(unloaded)
 
 
 def fact_columns(df: DataFrame, event_key: Column, load_ts: datetime) -> DataFrame:
@@ -123,11 +133,12 @@ def load_facts(
     how: str = "inner",
     dates: Column | None = None,
     version: str = "current",
+    held: Sequence[date] | None = None,
 ) -> DataFrame:
-    """Enriched rows to append.
+    """Enriched rows to append; ``held`` as in ``new_facts``.
 
     Two staged copies of one key in the same call both pass the check against the
     facts; ``unique`` keeps the copy ingested last instead.
     """
     source = latest_per_key(staged) if unique else staged
-    return new_facts(enrich(source, users, zones, how, version), facts, dates)
+    return new_facts(enrich(source, users, zones, how, version), facts, dates, held)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
+from functools import partial
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from gatelog import schemas
 from gatelog.functions.numbers import sum_if
 from gatelog.functions.times import ntz
-from gatelog.operators.dims import dense_keys, unknown_user_ids, user_rows, within_task
+from gatelog.operators.dims import dense_keys, task_counts, unknown_user_ids, user_rows, within_task
 from gatelog.operators.facts import (
     drop_faint,
     event_dates,
@@ -25,6 +26,7 @@ from gatelog.operators.facts import (
     times_present,
     unstaged,
 )
+from gatelog.session import together
 from gatelog.sources.days import DayTable
 from gatelog.sources.events import Retries, classify_events
 from gatelog.sources.seeds import local_table
@@ -196,11 +198,12 @@ def append_new_facts(
     a gap, never a key that is used twice.
     """
     aside = warehouse.aside("facts", rows.withColumn("_row", F.monotonically_increasing_id()))
-    n = aside.count()
+    counts = task_counts(aside, F.col("_row"))
+    n = sum(counts.values())
     if not n:
         return {"rows_processed": 0}
     first = warehouse.reserve_keys("facts", "event_key", n)
-    key = F.lit(first) + within_task(aside, F.col("_row"))
+    key = F.lit(first) + within_task(counts, F.col("_row"))
     keyed = aside.withColumn("event_key", key).drop("_row")
     facts = fact_columns(cluster_by_date(keyed), F.col("event_key"), load_ts)
     warehouse.append_facts(facts, run)
@@ -215,17 +218,23 @@ def _load(
     A batch adds its own rows of unknown zones to those that wait, and reads none of them unless the zone
     table has changed.
     """
-    create_unknown_users(warehouse, staged, load_ts, options.key_partitions)
-    new = None
-    if options.dimension_join == "inner":
-        warehouse.write_waiting(staged, run)
+    inner, new = options.dimension_join == "inner", None
+    steps = [
+        partial(event_dates, staged),
+        partial(create_unknown_users, warehouse, staged, load_ts, options.key_partitions),
+    ]
+    dates = together(warehouse.spark, steps + [partial(warehouse.write_waiting, staged, run)] * inner)[0]
+    if inner:
         version, new = warehouse.new_zones()
         if new is not None:
-            staged = staged.unionByName(warehouse.freed(new))
-    dates = event_dates(staged)
+            freed = warehouse.freed(new)
+            dates = list({*dates, *event_dates(freed)})
+            staged = staged.unionByName(freed)
+    held = warehouse.fact_dates(dates)
     rows = load_facts(
-        staged, warehouse.users, warehouse.zones, warehouse.facts_on(dates),
+        staged, warehouse.users, warehouse.zones, warehouse.facts_on(held),
         unique=options.unique_facts, how=options.dimension_join, version=options.user_version,
+        held=held,
     )
     result = append_new_facts(warehouse, rows, load_ts, run)
     warehouse.add_fact_totals(dates, run)

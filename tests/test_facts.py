@@ -59,6 +59,29 @@ def test_loaded_events_are_skipped(spark, raw_rows, star):
     assert [r.badge_id for r in again.collect()] == ["B2"]
 
 
+def test_only_rows_of_dates_that_hold_facts_are_joined(spark, raw_rows, star):
+    day = timedelta(days=1)
+    staged = facts.stage_batch(raw_rows(
+        {}, {"badge_id": "B2"}, {"event_timestamp": NOW + day}, {"badge_id": None, "event_timestamp": None},
+        {"badge_id": None}))
+    enriched = facts.enrich(staged, star.users, star.zones)
+    loaded = facts.fact_columns(enriched.filter("badge_id = 'B1'"), F.lit(1), NOW)
+    loaded = loaded.filter(F.col("event_timestamp") == NOW).cache()
+    held = [NOW.date()]
+
+    def new(given):
+        rows = facts.load_facts(staged, star.users, star.zones, loaded, held=given)
+        return sorted(map(str, rows.select(*selection.EVENT_KEY, "user_key").collect()))
+
+    assert new(held) == new(None) and len(new(held)) == 4
+    # the other dates' rows, however many there are, come without the join
+    other = enriched.filter(F.to_date("event_timestamp") != NOW.date())
+    assert facts.new_facts(other, loaded, held=[]).count() == 1
+    text = facts.load_facts(staged, star.users, star.zones, loaded, held=held)._jdf.queryExecution()
+    assert text.optimizedPlan().toString().lstrip().startswith("Union")
+    loaded.unpersist()
+
+
 def test_two_staged_copies_both_pass_unless_unique(spark, raw_rows, star):
     staged = raw_rows({}, {"ingestion_time": NOW + MINUTE, "zone_id": "ZONE-CONF-3B"})
     none = spark.createDataFrame([], schemas.FACTS)

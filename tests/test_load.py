@@ -325,3 +325,78 @@ def test_rows_of_copies_by_brute_force(spark):
     frame = spark.createDataFrame(rows, "token string, at timestamp_ntz, n int").repartition(3)
     got = first_sends(frame, "token", "at", timedelta(seconds=60)).collect()
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_staging_is_written_without_a_sort_by_its_one_day(spark, warehouse, batches, monkeypatch):
+    """The stamp is one value: sorting rows by it once more, to write one folder, is no use."""
+    seen = []
+    replace = type(warehouse.day_tables["stg"]).replace
+
+    def watched(table, rows, run, **options):
+        if table.day == "staging_date":
+            seen.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return replace(table, rows, run, **options)
+
+    monkeypatch.setattr(type(warehouse.day_tables["stg"]), "replace", watched)
+    ingest.run_batch(warehouse, batches[0], 0, NOW)
+    # the day is a constant above the count of rows, which Spark does not look through
+    (text,) = seen
+    assert text.index("staging_date") < text.index("CollectMetrics")
+    assert text.count("staging_date") == 1 and "to_date" not in text and "cast(staging_time" not in text
+    assert warehouse.stg.select("staging_time").distinct().count() == 1
+
+
+def test_totals_of_many_load_times_are_not_written_by_one_task(spark, warehouse, raw_rows):
+    times = [{"badge_id": f"B{i}", "ingestion_time": NOW + i * timedelta(seconds=1)} for i in range(400)]
+    rows = raw_rows(*times).withColumn("reject_reason", F.lit(""))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        warehouse.land(rows, 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    totals = warehouse.totals
+    assert totals.count() == 400 and totals.agg(F.sum("row_count")).first()[0] == 400
+    assert len(totals.inputFiles()) > 1
+
+
+def test_facts_are_counted_per_task_in_one_job(spark, warehouse, batches, monkeypatch):
+    counted = []
+    task_counts = ingest.task_counts
+    monkeypatch.setattr(
+        ingest, "task_counts", lambda rows, row: counted.append(task_counts(rows, row)) or counted[-1])
+    ingest.run_batch(warehouse, batches[0], 0, NOW)
+    assert [sum(c.values()) for c in counted] == [warehouse.facts.count()]
+    assert sorted(r.event_key for r in warehouse.facts.collect()) == [1, 2]
+
+
+def test_steps_run_side_by_side_and_all_end_before_one_fails(spark):
+    from threading import Barrier
+
+    from gatelog.session import together
+
+    both, ended = Barrier(2, timeout=60), []
+
+    def fails():
+        both.wait()
+        raise ValueError("no")
+
+    def ends():
+        both.wait()
+        ended.append(spark.range(3).count())
+
+    with pytest.raises(ValueError):
+        together(spark, [fails, ends])
+    assert ended == [3] and together(spark, [lambda: 1, lambda: 2]) == [1, 2] and together(spark, []) == []
+
+
+def test_a_batch_of_the_catalog_reads_its_own_rows_only(spark, feeds):
+    from gatelog.catalog import incremental
+
+    for expression, n in ((incremental.SPAN, incremental.SPANS), (incremental.SLICE, 3)):
+        split = incremental.batches(feeds, expression, n)
+        for i, batch in split:
+            metadata = batch.select("_metadata.file_path").distinct().collect()
+            assert metadata and all(f"_batch={i}/" in r[0] for r in metadata)
+            assert batch.schema.names == feeds.raw.schema.names
+            wanted = feeds.raw.filter(F.expr(f"{expression} = {i}"))
+            assert batch.exceptAll(wanted).isEmpty() and wanted.exceptAll(batch).isEmpty()

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gatelog.llm.common import small_batches
+
 #: Encoded pre-tokens a worker remembers, and the longest it remembers (bounds its memory).
 CACHE_ENTRIES, CACHE_LENGTH = 400_000, 64
 
@@ -169,6 +171,7 @@ def digests(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
 
     The ids of one text at a time are held, never those of a batch. A null text counts as empty.
     """
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
 

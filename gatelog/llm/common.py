@@ -31,6 +31,18 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of a batch that goes to a Python worker (about). Spark's own bound lets in whole files, of which the
+#: JVM and the worker hold several copies each, and idle workers keep the memory.
+ARROW_BYTES = 2 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session's Arrow batches are bounded by ``ARROW_BYTES``; a setting of the caller's holds."""
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(bound, None) is None:
+        spark.conf.set(bound, str(ARROW_BYTES))
+
+
 def utf8(text: Column) -> Column:
     """The text's bytes; null counts as empty."""
     return F.coalesce(text, F.lit("")).cast("binary")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gatelog.llm.common import digest, stored, utf8
+from gatelog.llm.common import digest, small_batches, stored, utf8
 from gatelog.llm.near_dedup import blocks
 from gatelog.llm.shingles import mixed, words
 
@@ -276,6 +276,7 @@ def _share(part: np.ndarray, passage: dict[int, np.ndarray]) -> float:
 
 def named_items(benchmark: DataFrame, key: str = "item_id", text: str = "text", question: str | None = None, answer: str | None = None) -> DataFrame:
     """Per item that has words: name, unit (equal for equal items), q, a, n (words), terms (distinct word hashes)."""
+    small_batches(benchmark.sparkSession)
     given = bool(question)
     q, a = (F.coalesce(F.col(c) if c else F.lit(None), F.lit("")) for c in (question, answer))
     source = benchmark.select(

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gatelog.llm.common import only, stored
+from gatelog.llm.common import only, small_batches, stored
 
 #: A prime of 120 bits far from any power of two, so that 256 has no short relations modulo it.
 PRIME = 0xC90FDAA22168C234C4C6628B80DC83
@@ -106,14 +106,16 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", slice
 
 
 def _bit(fp: Column) -> Column:
-    return F.pmod(F.xxhash64(fp), F.lit(MAP_BITS))
+    """A packed fingerprint's bit of the map: its value modulo ``MAP_BITS``."""
+    return F.conv(F.hex(F.substring(fp, 13, 4)), 16, 10).cast("long") % MAP_BITS
 
 
 def differing(docs: DataFrame, rows: DataFrame, text: str = "text", prime: int = PRIME) -> DataFrame:
     """Fingerprints (fp, n_bytes) whose texts are not all equal, found by comparing chunk with chunk.
 
     For each chunk number the least and the greatest chunk of a group are kept; they are combined before
-    the shuffle, so a group with a third of all rows costs each task one row per chunk.
+    the shuffle, so a group with a third of all rows costs each task one row per chunk. One Python step
+    looks fingerprints up and cuts, so a task has one worker and texts that occur once never leave it.
     """
     repeated = rows.groupBy("fp", "n_bytes").agg(F.count("*").alias("n")).where("n > 1").select("fp", "n_bytes")
     bits = repeated.select(_bit(F.col("fp")).alias("bit"))
@@ -124,35 +126,31 @@ def differing(docs: DataFrame, rows: DataFrame, text: str = "text", prime: int =
     )  # at most MAP_BITS bits in all
     known = docs.sparkSession.sparkContext.broadcast({r["bucket"]: bytes(r["map"]) for r in maps})
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            plains = [(t.as_py() or "").encode().translate(None, IGNORED) for t in batch.column(0)]
-            fps = [_packed(fingerprint(p, prime)) for p in plains]
-            sizes = [len(p) for p in plains]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(fps, pa.binary()), pa.array(sizes, pa.int64()), pa.array(plains, pa.binary())], ["fp", "n_bytes", "plain"]
-            )
+    def packed(columns: list[list]) -> pa.RecordBatch:
+        types = (pa.binary(), pa.int64(), pa.int32(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["fp", "n_bytes", "chunk", "data"])
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["fp", "n_bytes", "chunk", "data"]
         for batch in batches:
-            columns: list[list] = [[] for _ in names]
-            for fp, bit, size, plain in zip(*batch.columns, strict=True):
-                at = bit.as_py()
+            columns: list[list] = [[], [], [], []]
+            held = 0
+            for value in batch.column(0):
+                data = (value.as_py() or "").encode().translate(None, IGNORED)
+                fp = fingerprint(data, prime)
+                at = fp % MAP_BITS
                 page = known.value.get(at // PAGE)
                 if page is None or not page[at % PAGE >> 3] >> (at & 7) & 1:
                     continue
-                data = plain.as_py()
                 for i, start in enumerate(range(0, len(data), CHUNK)):
-                    for column, item in zip(columns, (fp.as_py(), size.as_py(), i, data[start : start + CHUNK]), strict=True):
+                    for column, item in zip(columns, (_packed(fp), len(data), i, data[start : start + CHUNK]), strict=True):
                         column.append(item)
-            types = (pa.binary(), pa.int64(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+                held += len(data)
+                if held >= SLICE:
+                    yield packed(columns)
+                    columns, held = [[], [], [], []], 0
+            yield packed(columns)
 
-    plain = docs.select(F.col(text).alias("text")).mapInArrow(cut, "fp binary, n_bytes long, plain binary")
-    cuts = plain.select("fp", _bit(F.col("fp")).alias("bit"), "n_bytes", "plain").mapInArrow(
-        chunks, "fp binary, n_bytes long, chunk int, data binary"
-    )
+    cuts = docs.select(F.col(text).alias("text")).mapInArrow(chunks, "fp binary, n_bytes long, chunk int, data binary")
     ends = cuts.groupBy("fp", "n_bytes", "chunk").agg(F.min("data").alias("least"), F.max("data").alias("greatest"))
     return ends.where("least <> greatest").select("fp", "n_bytes").distinct()
 
@@ -165,6 +163,7 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", prime: int
     the smallest ``key`` (null last); of rows alike in both, one stays. An empty table gives no rows.
     Only ``key`` and ``text`` are read, so other columns can have any name.
     """
+    small_batches(docs.sparkSession)
     rows = fingerprints(docs, key, text, slice_bytes, prime)
     mixed = stored(differing(docs, rows, text, prime)).withColumn("mixed", F.lit(True))
     told = rows.join(mixed, ["fp", "n_bytes"], "left").withColumn("part", F.when(F.col("mixed"), F.col("sha")).otherwise(""))

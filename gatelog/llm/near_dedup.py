@@ -23,11 +23,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gatelog.llm.common import digest, likely, only, stored, utf8
+from gatelog.llm.common import digest, likely, only, small_batches, stored, utf8
 from gatelog.llm.graph import components
 from gatelog.llm.shingles import distinct, mixed, shingles, sketches
 
@@ -48,14 +49,19 @@ BATCH_BYTES = 1 << 20
 
 def blocks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``BATCH_BYTES``."""
+    return ranges([len(t) for t in texts])
+
+
+def ranges(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges whose sizes sum up to about ``BATCH_BYTES``."""
     start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
+    for i, own in enumerate(sizes):
+        size += own
         if size >= BATCH_BYTES:
             yield start, i + 1
             start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
 def sketched(docs: DataFrame, key: str, text: str, size: int, trees: int = TREES) -> DataFrame:
@@ -65,9 +71,9 @@ def sketched(docs: DataFrame, key: str, text: str, size: int, trees: int = TREES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for start, end in blocks(texts):
-                values, begins = shingles(texts[start:end], size)
+            texts = batch.column(2)
+            for start, end in ranges(pc.binary_length(texts).to_pylist()):
+                values, begins = shingles(texts.slice(start, end - start).to_pylist(), size)
                 some = np.diff(begins) > 0
                 whole, short = sketches(values, begins, COORDINATES * trees, BYTES)
                 rows = iter(zip(whole.view(np.int32), short, strict=True))
@@ -287,6 +293,7 @@ def _forest(members: DataFrame, sizes: DataFrame, docs: DataFrame, text: str, si
 
 def grouped(docs: DataFrame, key: str, text: str, size: int, percent: int, trees: int) -> DataFrame:
     """Per row of ``docs``: doc_id, text_key, n_shingles, component (a key of the group; null without shingles)."""
+    small_batches(docs.sparkSession)
     rows = stored(sketched(docs, key, text, size, trees))
     units = stored(
         rows.where("n_shingles > 0")
@@ -305,7 +312,7 @@ def grouped(docs: DataFrame, key: str, text: str, size: int, percent: int, trees
 
     left = stored(sketch.select("unit", F.explode(F.array(*(c for r in roots(trees) for c in children(r, 0)))).alias("node")))
     alone = units.select("unit", F.col("unit").alias("component"))
-    links = docs.sparkSession.createDataFrame([], "a binary, b binary")
+    links = units.limit(0).select(F.col("unit").alias("a"), F.col("unit").alias("b"))  # a local frame would start workers of its own
     so_far, small = alone, None
     for level in range(len(CHILDREN)):
         nodes = _mixed_nodes(left, so_far)

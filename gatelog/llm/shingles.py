@@ -76,7 +76,7 @@ def shingles(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     hashes, begins = words(texts)
     counts = np.diff(begins)
     sums = hashes.copy()
-    for k in range(1, size):  # sums[i] covers up to ``size`` words from i
+    for k in range(1, min(size, len(sums))):  # sums[i] covers up to ``size`` words from i
         sums[: len(sums) - k] = sums[: len(sums) - k] * np.uint64(0xD6E8FEB86659FD93) + hashes[k:]
     out_counts = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
     out_begins = np.concatenate([[0], np.cumsum(out_counts)])

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gatelog.llm.common import stored
+from gatelog.llm.common import small_batches, stored
 
 #: Labelled rows trained on at most; words per category; least rows with a word; least chi-square of a word; folds.
 MAX_ROWS, MAX_WORDS, LEAST_ROWS, LEAST_CHI2, FOLDS = 10_000, 300, 4, 25.0, 3
@@ -111,6 +111,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], key
     Labels with a null id or category are left out; of repeated ids the greatest labels count and the
     least text does, so that ``max_rows`` bounds the rows, too.
     """
+    small_batches(docs.sparkSession)
     names = list(categories)
     told = labels.select(F.col(label_key).alias("id"), *(c.cast("int").alias(f"y{i}") for i, c in enumerate(categories.values()))).dropna()
     unique = told.groupBy("id").agg(*(F.max(f"y{i}").alias(f"y{i}") for i in range(len(names))))

@@ -57,3 +57,26 @@ def test_dedupe_keeps_one_row_with_all_columns(odd_docs):
 @pytest.mark.parametrize("function", [exact_dedup.groups, exact_dedup.dedupe])
 def test_empty_table(docs_of, function):
     assert function(docs_of()).collect() == []
+
+
+def test_repeated_texts_are_cut_by_one_worker_per_task(spark, docs_of, prose, capsys):
+    docs = docs_of(*((i, prose(i % 5, 40)) for i in range(8)), (8, None), (9, None))
+    rows = exact_dedup.fingerprints(docs)
+    found = exact_dedup.differing(docs, rows)
+    capsys.readouterr()
+    found.explain()
+    assert len(re.findall("MapInArrow|ArrowEvalPython", capsys.readouterr().out)) == 1
+    assert found.collect() == []
+
+
+@given(st.binary(max_size=40))
+def test_the_map_is_asked_for_the_bits_that_are_set(data):
+    value = exact_dedup.fingerprint(data)
+    assert int.from_bytes(exact_dedup._packed(value)[12:16], "big") % exact_dedup.MAP_BITS == value % exact_dedup.MAP_BITS
+
+
+def test_a_fingerprint_has_its_bit_on_both_sides(spark):
+    values = [exact_dedup.fingerprint(bytes([i]) * (i + 1)) for i in range(60)] + [0, exact_dedup.PRIME - 1]
+    df = spark.createDataFrame([(exact_dedup._packed(v),) for v in values], "fp binary")
+    bits = [r.bit for r in df.select(exact_dedup._bit(df.fp).alias("bit")).collect()]
+    assert bits == [v % exact_dedup.MAP_BITS for v in values]

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gatelog.llm import near_dedup, shingles
+from gatelog.llm.common import ARROW_BYTES
 from gatelog.llm.graph import components
 
 
@@ -165,3 +166,49 @@ def test_dedupe_with_null_and_repeated_ids(docs_of, prose):
     rows = [(None, near[0]), (None, near[1]), (None, near[2]), (7, prose(4, 90)), (7, prose(4, 90) + " end"), (8, prose(4, 90))]
     kept = near_dedup.dedupe(docs_of(*rows)).collect()
     assert sorted((r.doc_id is None, r.doc_id) for r in kept) == [(False, 7), (True, None)]
+
+
+BOUND = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@pytest.fixture
+def unbounded(spark):
+    before = spark.conf.get(BOUND, None)
+    spark.conf.unset(BOUND)
+    yield
+    spark.conf.unset(BOUND)
+    if before is not None:
+        spark.conf.set(BOUND, before)
+
+
+def test_workers_get_batches_of_bounded_bytes(spark, docs_of, unbounded):
+    few = docs_of((1, "a b c"), (2, "a b c"))
+    near_dedup.dedupe(few).collect()
+
+    def sizes(batches):
+        for batch in batches:
+            yield batch.from_pydict({"n": [batch.nbytes]})
+
+    texts = spark.range(0, 400, 1, 1).select(F.repeat(F.lit("x"), 20_000).alias("text"))  # 8 MB in a task
+    found = [r.n for r in texts.mapInArrow(sizes, "n long").collect()]
+    assert sum(found) >= 8_000_000 and max(found) <= 2 * ARROW_BYTES
+
+
+def test_a_callers_bound_on_batches_holds(spark, docs_of, unbounded):
+    spark.conf.set(BOUND, "123456")
+    near_dedup.dedupe(docs_of((1, "a b c"))).collect()
+    assert spark.conf.get(BOUND) == "123456"
+
+
+def test_no_local_frame_with_workers_of_its_own(spark, docs_of, prose, monkeypatch):
+    text = prose(3, 60)
+    docs = docs_of((1, text), (2, text + " end"), (3, prose(4, 60)))
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda *a, **k: pytest.fail("a local frame"))
+    assert sorted(r.doc_id for r in near_dedup.dedupe(docs).collect()) == [1, 3]
+
+
+@pytest.mark.parametrize("n", range(6))
+def test_few_words_in_all(n):
+    """As in a small last batch."""
+    values, begins = shingles.shingles([b"a b c"[: 2 * n]], 5)
+    assert len(values) == begins[-1] == min(n, 1)
